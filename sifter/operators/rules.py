@@ -17,11 +17,12 @@ recursion (W1).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter import constants as K
 from sifter.functions.text import code_points, scan_text
+from sifter.operators.ordered import running_agg
 from sifter.operators.scan import first_match_col
 
 
@@ -80,33 +81,17 @@ def with_reputation(df: DataFrame, users: DataFrame) -> DataFrame:
 def prior_violations(df: DataFrame, flag_col: str, *, order_col: str = "submitted_at",
                      tie_col: str = "post_id", bucket_ms: int = 3_600_000,
                      out: str = "prior_rejections") -> DataFrame:
-    """Per author, how many earlier rows (order_col, tie_col) have ``flag_col`` = 1.
-
-    A plain ``sum() over (partition by user_id order by ...)`` sends all of an
-    author's rows to one task; one prolific author would then own a third of
-    the job.  Here the order axis is cut into ``bucket_ms`` time buckets:
-
-    1. per (author, bucket) flag totals (partial aggregation, tiny output);
-    2. per author, totals of all earlier buckets (window over that tiny table);
-    3. per (author, bucket) running count inside the bucket (the shuffle is
-       spread over authors x buckets, so a hot author spans many tasks);
-    4. equi-join 2 onto 3 on (author, bucket); 3 is already hash-partitioned
-       on those keys, so only the small side moves (or is broadcast by AQE).
+    """Per author, how many earlier rows in (order_col, tie_col) order have ``flag_col`` = 1.
+
+    A plain ``sum() over (partition by user_id order by ...)`` would send all
+    of an author's rows to one task; :func:`running_agg` spreads them over
+    (author, ``bucket_ms`` time bucket) cells instead.
     """
     t = F.col(order_col)
     ms = F.unix_millis(t) if dict(df.dtypes)[order_col].startswith("timestamp") else t
-    x = df.withColumn("_bucket", F.floor(ms / F.lit(bucket_ms)))
-    per_bucket = x.groupBy("user_id", "_bucket").agg(F.sum(F.col(flag_col)).alias("_n"))
-    before = Window.partitionBy("user_id").orderBy("_bucket") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        F.col("user_id").alias("_ouid"), F.col("_bucket").alias("_ob"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier_buckets"))
-    inside = Window.partitionBy("user_id", "_bucket").orderBy(t, F.col(tie_col)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    within = x.withColumn("_in_bucket", F.coalesce(F.sum(F.col(flag_col)).over(inside), F.lit(0)))
-    j = within.join(offsets, (within["user_id"] == offsets["_ouid"]) & (within["_bucket"] == offsets["_ob"]))
-    return j.select(*df.columns, (F.col("_earlier_buckets") + F.col("_in_bucket")).cast("bigint").alias(out))
+    r = running_agg(df, ["user_id"], [order_col, tie_col], flag_col, "_prior",
+                    F.floor(ms / F.lit(bucket_ms)), fn="sum", inclusive=False)
+    return r.select(*df.columns, F.coalesce(F.col("_prior"), F.lit(0)).cast("bigint").alias(out))
 
 
 def reputation_when_judged(seed_reputation: Column, seed_violations: Column, prior: Column) -> Column:

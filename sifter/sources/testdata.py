@@ -116,12 +116,22 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.unionByName(again)
 
 
-def review_times(p: DataFrame) -> DataFrame:
-    """post_id, submitted_ms, reviewed_ms for every post."""
-    delay = (F.lit(REVIEW_BASE_MS) + (F.col("post_id") * REVIEW_SPREAD_MULT) % REVIEW_SPREAD_MOD
-             + F.when(F.col("post_id") % PARKED_MOD == PARKED_REM, F.lit(PARKED_DELAY_MS))
-             .otherwise(F.lit(0)))
-    return p.select("post_id", "submitted_ms", (F.col("submitted_ms") + delay).alias("reviewed_ms"))
+def reviewed_ms(post_id, submitted_ms):
+    """Review completion time of a post: submit + 50 + (id*37) % 1000 ms, +12 h for parked tasks."""
+    return (submitted_ms + F.lit(REVIEW_BASE_MS) + (post_id * REVIEW_SPREAD_MULT) % REVIEW_SPREAD_MOD
+            + F.when(post_id % PARKED_MOD == PARKED_REM, F.lit(PARKED_DELAY_MS)).otherwise(F.lit(0)))
+
+
+def results(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
+    """Stored results at ``AS_OF_MS``: flagship verdicts + submitted_ms, reviewed_ms."""
+    from sifter.plans.moderation import moderate
+    from sifter.sources.tables import load_block_list
+
+    v = moderate(tasks(spark, sf_dir), load_block_list(spark, raw_words(spark)), users(spark, sf_dir),
+                 strategy=strategy, keep_time=True)
+    v = v.withColumn("submitted_ms", F.unix_millis("submitted_at")).drop("submitted_at")
+    v = v.withColumn("reviewed_ms", reviewed_ms(F.col("post_id"), F.col("submitted_ms")))
+    return v.where(F.col("reviewed_ms") <= AS_OF_MS)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
