@@ -13,6 +13,7 @@ the JVM/Python boundary as a null bit and are not scanned.
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -89,9 +90,9 @@ class Matcher:
         return [w for w, _ in sorted(seen.items(), key=lambda kv: kv[1])]
 
 
-def _matcher(bc) -> Matcher:
+def _matcher(bc, key: str) -> Matcher:
+    """The worker's matcher for the list with content hash ``key`` (built on first use)."""
     cache = sys.__dict__.setdefault(_CACHE_ATTR, {})
-    key = bc.id if hasattr(bc, "id") else id(bc)
     m = cache.get(key)
     if m is None:
         if len(cache) >= 4:  # a few lists per worker at a time keeps memory bounded
@@ -101,18 +102,20 @@ def _matcher(bc) -> Matcher:
 
 
 def _broadcast(words: Sequence[str]):
+    """(broadcast of the list, content hash of the list)."""
     ship_by_value(__name__)
     spark = SparkSession.getActiveSession()
-    return spark.sparkContext.broadcast(tuple(words))
+    key = hashlib.sha1("\x00".join(words).encode("utf-8")).hexdigest()
+    return spark.sparkContext.broadcast(tuple(words)), key
 
 
 def automaton_first_match(text: Column, words: Sequence[str]) -> Column:
     """S3 as an Arrow-batched UDF; ``text`` is raw (folding happens in the worker)."""
-    bc = _broadcast(words)
+    bc, key = _broadcast(words)
 
     @F.pandas_udf("string")
     def first_match_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = _matcher(bc)
+        m = _matcher(bc, key)
         for s in batches:
             yield pd.Series([m.first(x) for x in s], dtype=object)
 
@@ -121,11 +124,11 @@ def automaton_first_match(text: Column, words: Sequence[str]) -> Column:
 
 def automaton_all_matches(text: Column, words: Sequence[str]) -> Column:
     """S4 as an Arrow-batched UDF."""
-    bc = _broadcast(words)
+    bc, key = _broadcast(words)
 
     @F.pandas_udf("array<string>")
     def all_matches_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = _matcher(bc)
+        m = _matcher(bc, key)
         for s in batches:
             yield pd.Series([m.all(x) for x in s], dtype=object)
 

@@ -41,7 +41,9 @@ def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     inside = Window.partitionBy(*keys, "_cell").orderBy(*[F.col(c) for c in order]) \
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     within = x.withColumn("_in", agg("_val").over(inside))
-    cond = [within[k] == offsets[f"_o_{k}"] for k in keys] + [within["_cell"] == offsets["_o_cell"]]
+    # null-safe: a NULL key or order value (e.g. a task without a time) is a group like any other
+    cond = [within[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys] + \
+        [within["_cell"].eqNullSafe(offsets["_o_cell"])]
     j = within.join(offsets, cond)
     if fn == "sum":
         combined = F.when(F.col("_off").isNull() & F.col("_in").isNull(), F.lit(None)) \
