@@ -11,40 +11,48 @@ A refusal feeds back into the state, so this is a fold, not a window.  It
 still parallelises exactly: after a quiet gap of ``ceil(burst_units /
 tokens_per_period)`` ms the bucket is full whatever it held, so the history
 of a key splits into independent segments at those gaps.  Segments are
-found with skew-spread running aggregates (:mod:`sifter.operators.ordered`)
-and folded by ``applyInPandas`` per (key, segment); a busy key is spread
-over as many tasks as it has quiet gaps.  A key that never pauses for a
-full refill is one sequential fold by the definition of a token bucket.
+found with skew-spread running aggregates (:mod:`sifter.operators.ordered`),
+hash-partitioned on (key, segment), sorted, and folded by ``mapInPandas``
+as a stream of batches; a busy key is spread over as many tasks as it has
+quiet gaps.  A key that never pauses for a full refill is one sequential
+fold by the definition of a token bucket (still streamed, never held whole).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sifter import constants as K
 from sifter.functions.pyworker import ship_by_value
 from sifter.operators.ordered import running_agg
 
 
-def _fold_segment(burst_units: int, cost_units: int, per_ms: int, time_col: str, id_col: str):
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([time_col, id_col], kind="mergesort")
-        t = pdf[time_col].to_numpy(dtype=np.int64)
-        admitted = np.zeros(len(t), dtype=bool)
-        left = np.zeros(len(t), dtype=np.int64)
-        tokens, ts = burst_units, None
-        for i, now in enumerate(t.tolist()):
-            if ts is not None:
-                tokens = min(burst_units, tokens + max(0, now - ts) * per_ms)
-            if tokens >= cost_units:
-                tokens -= cost_units
-                admitted[i] = True
-            left[i] = tokens
-            ts = now
-        return pd.DataFrame({id_col: pdf[id_col].to_numpy(), "admitted": admitted, "tokens_left": left})
+def _fold_runs(burst_units: int, cost_units: int, per_ms: int):
+    """Folds runs of rows sorted by (key, segment, time, id); state is carried across batches."""
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cur, tokens, ts = object(), 0, 0  # sentinel: never equal to a (key, segment) pair
+        for pdf in batches:
+            keys = list(zip(pdf["_k"].tolist(), pdf["_seg"].tolist()))
+            t = pdf["_t"].tolist()
+            admitted = np.zeros(len(t), dtype=bool)
+            left = np.zeros(len(t), dtype=np.int64)
+            for i, now in enumerate(t):
+                if keys[i] != cur:          # a new segment starts with a full bucket
+                    cur, tokens = keys[i], burst_units
+                else:
+                    tokens = min(burst_units, tokens + max(0, now - ts) * per_ms)
+                if tokens >= cost_units:
+                    tokens -= cost_units
+                    admitted[i] = True
+                left[i] = tokens
+                ts = now
+            yield pdf.drop(columns=["_k", "_seg", "_t", "_id"]).assign(admitted=admitted, tokens_left=left)
     return fold
 
 
@@ -54,6 +62,9 @@ def token_bucket(requests: DataFrame, *, key: str = "key", time_col: str = "t_ms
     """Every request with ``admitted`` and ``tokens_left`` (in units of 1/period_ms token).
 
     ``requests`` needs ``key``, ``time_col`` (epoch ms) and a unique ``id_col``.
+    Segments are hash-partitioned on (key, segment) and sorted inside each
+    partition; ``mapInPandas`` then folds them as a stream of Arrow batches
+    with O(1) state, so no group is ever held in memory as a whole.
     """
     burst_units = burst * period_ms
     cost_units = cost * period_ms
@@ -61,7 +72,7 @@ def token_bucket(requests: DataFrame, *, key: str = "key", time_col: str = "t_ms
     full_gap = -(-burst_units // per_ms)  # ms of silence that refill any bucket completely
     cell = cell_ms or max(full_gap, 60_000)
 
-    r = requests.select(F.col(key).alias("_k"), F.col(time_col).cast("bigint").alias("_t"),
+    r = requests.select("*", F.col(key).alias("_k"), F.col(time_col).cast("bigint").alias("_t"),
                         F.col(id_col).alias("_id"))
     cellc = F.floor(F.col("_t") / F.lit(cell))
     prev = running_agg(r, ["_k"], ["_t", "_id"], "_t", "_prev_t", cellc, fn="max", inclusive=False)
@@ -70,8 +81,8 @@ def token_bucket(requests: DataFrame, *, key: str = "key", time_col: str = "t_ms
     seg = running_agg(starts, ["_k"], ["_t", "_id"], "_start", "_seg", cellc, fn="sum", inclusive=True)
 
     ship_by_value(__name__)
-    fold = _fold_segment(burst_units, cost_units, per_ms, "_t", "_id")
-    id_type = dict(r.dtypes)["_id"]
-    decided = seg.select("_k", "_seg", "_t", "_id").groupBy("_k", "_seg").applyInPandas(
-        fold, f"_id {id_type}, admitted boolean, tokens_left bigint")
-    return requests.join(decided, requests[id_col] == decided["_id"]).drop("_id")
+    runs = seg.select(*requests.columns, "_k", "_seg", "_t", "_id") \
+        .repartition("_k", "_seg").sortWithinPartitions("_k", "_seg", "_t", "_id")
+    schema = T.StructType(requests.schema.fields + [T.StructField("admitted", T.BooleanType()),
+                                                    T.StructField("tokens_left", T.LongType())])
+    return runs.mapInPandas(_fold_runs(burst_units, cost_units, per_ms), schema)

@@ -41,15 +41,20 @@ def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_C
 
     Only rows that pass the cheap rules reach the scan; the others hand the
     scan a NULL text, which costs nothing on either side of the Arrow hop.
+    The scan text is projected once before the scan: Catalyst does not share
+    sub-expressions inside lambda functions, so inlining it would rebuild it
+    for every word.
     """
-    from sifter.operators.scan import as_word_list
+    from sifter.operators.scan import as_word_list, prepare_scan_text
 
     wl = words if isinstance(words, list) else as_word_list(words)
+    cols = list(tasks.columns)
     pre = content_reason(F.col("content_snapshot"), F.col("image_count"), max_content, max_images)
-    text = F.when(pre.isNull(), scan_text("title", "content_snapshot"))
-    hit = first_match_col(text, wl, strategy)
-    cols = [c for c in tasks.columns]
-    return tasks.select(*cols, pre.alias("_pre"), hit.alias("matched_word")).select(
+    staged = tasks.select(*cols, pre.alias("_pre"))
+    staged = staged.select(*cols, "_pre", prepare_scan_text(
+        F.when(F.col("_pre").isNull(), scan_text("title", "content_snapshot")), wl, strategy).alias("_text"))
+    hit = first_match_col(F.col("_text"), wl, strategy, prepared=True)
+    return staged.select(*cols, "_pre", hit.alias("matched_word")).select(
         *cols,
         F.coalesce(F.col("_pre"), F.when(F.col("matched_word").isNotNull(),
                                          F.lit(K.REASON_SENSITIVE))).alias("rule_reason"),

@@ -44,30 +44,42 @@ def pick_strategy(words: Sequence[str], strategy: str = "auto") -> str:
     return strategy
 
 
-def first_match_col(text: Column, words: Sequence[str], strategy: str = "auto") -> Column:
+def prepare_scan_text(text: Column, words: Sequence[str], strategy: str = "auto") -> Column:
+    """The text as the chosen scan wants it: folded on the JVM for ``native``, raw for the automaton.
+
+    Project this into its own column before calling a ``*_col(..., prepared=True)``
+    function: the native forms reference the text once per word inside
+    lambda functions, where Catalyst does not share sub-expressions.
+    """
+    if words and pick_strategy(words, strategy) == "native":
+        return ascii_fold(text)
+    return text
+
+
+def first_match_col(text: Column, words: Sequence[str], strategy: str = "auto", prepared: bool = False) -> Column:
     """S3 as a column over raw text (NULL text -> NULL, not scanned)."""
     if not words:
         return F.lit(None).cast("string")
     if pick_strategy(words, strategy) == "native":
-        return first_match(ascii_fold(text), words)
+        return first_match(text if prepared else ascii_fold(text), words)
     return ac.automaton_first_match(text, words)
 
 
-def all_matches_col(text: Column, words: Sequence[str], strategy: str = "auto") -> Column:
+def all_matches_col(text: Column, words: Sequence[str], strategy: str = "auto", prepared: bool = False) -> Column:
     """S4 as a column over raw text."""
     if not words:
         return F.array().cast("array<string>")
     if pick_strategy(words, strategy) == "native":
-        return all_matches(ascii_fold(text), words)
+        return all_matches(text if prepared else ascii_fold(text), words)
     return ac.automaton_all_matches(text, words)
 
 
-def contains_any_col(text: Column, words: Sequence[str], strategy: str = "auto") -> Column:
+def contains_any_col(text: Column, words: Sequence[str], strategy: str = "auto", prepared: bool = False) -> Column:
     """S2 as a column over raw text."""
     if not words:
         return F.lit(False)
     if pick_strategy(words, strategy) == "native":
-        return contains_any(ascii_fold(text), words)
+        return contains_any(text if prepared else ascii_fold(text), words)
     return ac.automaton_first_match(text, words).isNotNull()
 
 
@@ -75,8 +87,9 @@ def scan_texts(df: DataFrame, text_col: str, words, strategy: str = "auto",
                keep: Sequence[str] = ()) -> DataFrame:
     """S2+S3 over a table: keep columns, ``hit`` and ``matched_word`` (NULL when none)."""
     wl = as_word_list(words)
-    fm = first_match_col(F.col(text_col), wl, strategy)
-    return df.select(*keep, fm.alias("matched_word")).select(
+    staged = df.select(*keep, prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"))
+    fm = first_match_col(F.col("_text"), wl, strategy, prepared=True)
+    return staged.select(*keep, fm.alias("matched_word")).select(
         *keep, F.col("matched_word").isNotNull().alias("hit"), "matched_word")
 
 
@@ -87,8 +100,9 @@ def word_hits(df: DataFrame, id_col: str, text_col: str, words, strategy: str =
     and then exploded, so there is no nested-loop join of texts x words.
     """
     wl = as_word_list(words)
-    arr = all_matches_col(F.col(text_col), wl, strategy)
-    return df.select(F.col(id_col), F.posexplode(arr).alias("rank", "word")) \
+    staged = df.select(F.col(id_col), prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"))
+    arr = all_matches_col(F.col("_text"), wl, strategy, prepared=True)
+    return staged.select(F.col(id_col), F.posexplode(arr).alias("rank", "word")) \
         .select(id_col, "word", (F.col("rank") + 1).alias("rank"))
 
 

@@ -216,7 +216,8 @@ SELECT p.post_id, EXISTS (SELECT 1 FROM all_hits h WHERE h.post_id = p.post_id)
 def q_posts_with_hits(spark, sf):
     wl = scan.as_word_list(_words(spark))
     p = _posts_with_text(spark, sf)
-    return p.select("post_id", scan.contains_any_col(F.col("text"), wl).alias("hit"))
+    staged = p.select("post_id", scan.prepare_scan_text(F.col("text"), wl).alias("_text"))
+    return staged.select("post_id", scan.contains_any_col(F.col("_text"), wl, prepared=True).alias("hit"))
 
 
 # =========================================================================== S3
