@@ -5,12 +5,15 @@ alone, so a key holding a third of the rows makes one task do a third of
 the work.  ``running_agg`` cuts the order axis into cells (a column that is
 non-decreasing along the order, e.g. ``floor(t / width)``):
 
-1. per (key, cell) totals: partial aggregation, output size keys x cells;
-2. per key, the total of all earlier cells: a window over that small table;
-3. per (key, cell), the running value inside the cell: the big shuffle is
-   spread over keys x cells, so a hot key spans many tasks;
-4. an equi-join of 2 onto 3 on (key, cell).  Side 3 is already
-   hash-partitioned on those columns, so only the small side moves.
+1. per (key, cell), the running value inside the cell and the cell total,
+   in one window pass: the only shuffle of the input is spread over
+   keys x cells, so a hot key spans many tasks;
+2. per key, the total of all earlier cells: a window over the (small)
+   table of cell totals;
+3. an equi-join of 2 onto 1 on (key, cell).  Side 1 is already
+   hash-partitioned on those columns, so only the small side moves (or is
+   broadcast by AQE).  Side 2 is computed from the same shuffle output
+   (Spark reuses the exchange), so the input is computed once.
 """
 
 from __future__ import annotations
@@ -34,13 +37,16 @@ def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     keys = list(keys)
     val = F.col(value) if isinstance(value, str) else value
     x = df.withColumn("_val", val).withColumn("_cell", cell)
-    per_cell = x.groupBy(*keys, "_cell").agg(agg("_val").alias("_cv"))
+    in_cell = Window.partitionBy(*keys, "_cell")
+    inside = in_cell.orderBy(*[F.col(c) for c in order]) \
+        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    # One shuffle of the input on (key, cell); the cell totals come from the
+    # same window pass, so the input (and whatever computed it) is read once.
+    within = x.withColumn("_in", agg("_val").over(inside)).withColumn("_ctot", agg("_val").over(in_cell))
+    per_cell = within.groupBy(*keys, "_cell").agg(F.max("_ctot").alias("_cv"))
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_cell.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_cell").alias("_o_cell"),
                               agg("_cv").over(earlier).alias("_off"))
-    inside = Window.partitionBy(*keys, "_cell").orderBy(*[F.col(c) for c in order]) \
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    within = x.withColumn("_in", agg("_val").over(inside))
     # null-safe: a NULL key or order value (e.g. a task without a time) is a group like any other
     cond = [within[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys] + \
         [within["_cell"].eqNullSafe(offsets["_o_cell"])]

@@ -4,6 +4,7 @@ Plan shape (see ``tests/test_plans.py`` for the checks on it):
 
     tasks ─ A1 dedup (hash aggregate, partial) ─ J2 anti join prior results
           ─ rules 1-3 + word scan (map-only; the text is dropped right after)
+          ─ checkpoint of the slim rows (read twice below, computed once)
           ─ W1 prior rejections per author (bucketed, skew-spread windows)
           ─ J1 users (broadcast when measured small, else shuffle join)
           ─ E2/E3 status and reason
@@ -27,6 +28,7 @@ from sifter.operators.rules import (
     with_reputation,
 )
 from sifter.operators.scan import as_word_list
+from sifter.session import ensure_checkpoint_dir
 
 VERDICT_COLUMNS = ["post_id", "user_id", "status", "reason", "matched_word", "degraded"]
 
@@ -34,7 +36,8 @@ VERDICT_COLUMNS = ["post_id", "user_id", "status", "reason", "matched_word", "de
 def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame | None = None, *,
              max_content: int = K.MAX_CONTENT_CHARS, max_images: int = K.MAX_IMAGES,
              reputation_floor: int = K.REPUTATION_FLOOR, strategy: str = "auto",
-             bucket_ms: int = 3_600_000, dedup: bool = True, keep_time: bool = False) -> DataFrame:
+             bucket_ms: int = 3_600_000, dedup: bool = True, keep_time: bool = False,
+             materialize: bool = True) -> DataFrame:
     """Judge every task once.
 
     ``tasks``: post_id, user_id, title, content_snapshot, image_count,
@@ -43,6 +46,9 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     ``prior_results``: verdicts already stored (post_id, user_id, status); their
     posts are skipped (J2) and their rejections count for the authors.
     Order among one author's posts: (submitted_at, post_id).
+    ``materialize``: write the slim judged rows (ids, time, reason, word; no
+    text) once to the session's checkpoint folder.  The running count reads
+    them twice (cell totals and rows); without this the scan would run twice.
     """
     wl = as_word_list(words)
     t = tasks
@@ -55,6 +61,9 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     judged = content_rules(t, wl, max_content=max_content, max_images=max_images, strategy=strategy) \
         .select("post_id", "user_id", "submitted_at", "rule_reason", "matched_word",
                 F.col("rule_reason").isNotNull().cast("int").alias("_rej"))
+    if materialize:
+        ensure_checkpoint_dir(judged.sparkSession)
+        judged = judged.checkpoint(eager=True)
 
     counted = prior_violations(judged, "_rej", bucket_ms=bucket_ms)
     if prior_results is not None:

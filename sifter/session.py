@@ -26,6 +26,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of DataFrames that are gone are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Repeated JSON keys: last one wins, as in Go's decoder.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -48,8 +50,9 @@ def get_session(master: str | None = None, app_name: str = "sifter",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        # getOrCreate may return a session started elsewhere: only fill gaps.
-        if spark.conf.get(k, None) is None:
+        # getOrCreate may return a session started elsewhere: only fill gaps,
+        # and only SQL settings can change on a running session.
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark

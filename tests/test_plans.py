@@ -1,7 +1,7 @@
 """Physical-plan checks: pruning, no Python on the native path, skew-spread windows, top-k."""
 
+from sifter.operators import rules
 from sifter.plans import catalog
-from sifter.plans.moderation import moderate
 from sifter.sources import testdata as TD
 
 from conftest import SF_SMALL
@@ -11,18 +11,31 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_native_flagship_stays_in_jvm_and_prunes(spark):
-    p = plan(catalog.q_moderate(spark, SF_SMALL))
+def test_native_scan_stays_in_jvm_and_prunes(spark):
+    p = plan(rules.content_rules(TD.tasks(spark, SF_SMALL), catalog._words(spark)))
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
     # documents scan reads only the two columns the job needs
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
+    # the scan text is projected once, not rebuilt inside the per-word lambdas
+    assert p.count("translate(") == 1
+
+
+def test_flagship_reads_text_once(spark):
+    p = plan(catalog.q_moderate(spark, SF_SMALL))
+    # the text scan ran once, into the checkpoint; the rest reads slim rows
+    assert "documents.parquet" not in p
+    assert "Scan ExistingRDD" in p
+
+
+def test_users_scan_is_pruned_and_filtered(spark):
+    p = plan(catalog.q_moderate(spark, SF_SMALL))
     # users: only key and balance are read, the balance filter reaches the scan
     assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in p
     assert "GreaterThanOrEqual(c_acctbal,0.0)" in p
 
 
-def test_automaton_flagship_uses_arrow_udf(spark):
-    df = moderate(TD.tasks(spark, SF_SMALL), catalog._words(spark), TD.users(spark, SF_SMALL), strategy="automaton")
+def test_automaton_scan_uses_arrow_udf(spark):
+    df = rules.content_rules(TD.tasks(spark, SF_SMALL), catalog._words(spark), strategy="automaton")
     assert "ArrowEvalPython" in plan(df)
 
 
