@@ -45,16 +45,25 @@ def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_C
     sub-expressions inside lambda functions, so inlining it would rebuild it
     for every word.
     """
-    from sifter.operators.scan import as_word_list, prepare_scan_text
+    from sifter.operators.scan import as_word_list, block_list_fits, first_match_table, prepare_scan_text
 
-    wl = words if isinstance(words, list) else as_word_list(words)
     cols = list(tasks.columns)
     pre = content_reason(F.col("content_snapshot"), F.col("image_count"), max_content, max_images)
     staged = tasks.select(*cols, pre.alias("_pre"))
-    staged = staged.select(*cols, "_pre", prepare_scan_text(
-        F.when(F.col("_pre").isNull(), scan_text("title", "content_snapshot")), wl, strategy).alias("_text"))
-    hit = first_match_col(F.col("_text"), wl, strategy, prepared=True)
-    return staged.select(*cols, "_pre", hit.alias("matched_word")).select(
+    if isinstance(words, DataFrame) and not block_list_fits(words)[0]:
+        # Block list over the broadcast bound: exact chunked scan, joined back by post.
+        scan_in = staged.where(F.col("_pre").isNull()) \
+            .select("post_id", scan_text("title", "content_snapshot").alias("_t"))
+        found = first_match_table(scan_in, "post_id", "_t", words, strategy=strategy) \
+            .where(F.col("matched_word").isNotNull()).withColumnRenamed("post_id", "_mpid")
+        judged = staged.join(found, staged["post_id"] == found["_mpid"], "left").drop("_mpid")
+    else:
+        wl = words if isinstance(words, list) else as_word_list(words)
+        staged = staged.select(*cols, "_pre", prepare_scan_text(
+            F.when(F.col("_pre").isNull(), scan_text("title", "content_snapshot")), wl, strategy).alias("_text"))
+        hit = first_match_col(F.col("_text"), wl, strategy, prepared=True)
+        judged = staged.select(*cols, "_pre", hit.alias("matched_word"))
+    return judged.select(
         *cols,
         F.coalesce(F.col("_pre"), F.when(F.col("matched_word").isNotNull(),
                                          F.lit(K.REASON_SENSITIVE))).alias("rule_reason"),

@@ -20,8 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import math
+import uuid
+
 from sifter.functions import automaton as ac
 from sifter.functions.text import all_matches, ascii_fold, contains_any, first_match
+from sifter.sources import tables
 from sifter.sources.tables import collect_block_list
 
 NATIVE_MAX_WORDS = 48
@@ -106,6 +110,69 @@ def word_hits(df: DataFrame, id_col: str, text_col: str, words, strategy: str =
         .select(id_col, "word", (F.col("rank") + 1).alias("rank"))
 
 
+def block_list_fits(words: DataFrame, max_words: int | None = None,
+                    max_bytes: int | None = None) -> tuple[bool, int, int]:
+    """(fits one broadcast, words, bytes) of a folded block list."""
+    max_words = max_words or tables.MAX_BLOCK_WORDS
+    max_bytes = max_bytes or tables.MAX_BLOCK_BYTES
+    st = words.agg(F.count(F.lit(1)).alias("n"),
+                   F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("b")).first()
+    return st["n"] <= max_words and st["b"] <= max_bytes, st["n"], st["b"]
+
+
+def first_match_table(df: DataFrame, key_col: str, text_col: str, words: DataFrame, *,
+                      strategy: str = "auto", max_words: int | None = None,
+                      max_bytes: int | None = None) -> DataFrame:
+    """S3 for a block list of any size: (key, matched_word) for every row of ``df``.
+
+    A list within the broadcast bound is scanned in one map-only pass.  A
+    larger one is split by a hash of the word into chunks that each fit the
+    bound; each chunk is collected alone, scanned in its own pass, and its
+    hits (key, end, -length, word) are written to the session's checkpoint
+    folder, so the driver never holds more than one chunk.  The earliest-
+    ending (then longest) hit per key over all chunks is the answer, exactly
+    as if one automaton held the whole list.
+    """
+    max_words = max_words or tables.MAX_BLOCK_WORDS
+    max_bytes = max_bytes or tables.MAX_BLOCK_BYTES
+    fits, n, b = block_list_fits(words, max_words, max_bytes)
+    if fits:
+        return scan_texts(df, text_col, collect_block_list(words, max_words, max_bytes), strategy,
+                          keep=[key_col]).select(key_col, "matched_word")
+    from sifter.session import checkpoint_root
+
+    spark = df.sparkSession
+    chunks = max(math.ceil(n / max_words), math.ceil(b / max_bytes))
+    while True:  # hash buckets are uneven: double the count until every chunk fits
+        tagged = words.select("word", F.pmod(F.xxhash64("word"), F.lit(chunks)).alias("_chunk"))
+        worst = tagged.groupBy("_chunk").agg(F.count(F.lit(1)).alias("n"),
+                                             F.sum(F.octet_length("word")).alias("b")) \
+            .agg(F.max("n").alias("n"), F.max("b").alias("b")).first()
+        if worst["n"] <= max_words and worst["b"] <= max_bytes:
+            break
+        if chunks >= 4 * n:
+            raise ValueError("a single block-list word is larger than the broadcast byte bound")
+        chunks *= 2
+    root = checkpoint_root(spark, "word-chunks", uuid.uuid4().hex)
+    texts = df.select(key_col, text_col)
+    for c in range(chunks):
+        wl = collect_block_list(tagged.where(F.col("_chunk") == c).select("word"), max_words, max_bytes)
+        if not wl:
+            continue
+        staged = texts.select(key_col, prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"),
+                              F.col(text_col).alias("_raw"))
+        hit = staged.select(key_col, "_raw", first_match_col(F.col("_text"), wl, strategy, prepared=True)
+                            .alias("word")).where(F.col("word").isNotNull())
+        end = F.instr(ascii_fold(F.col("_raw")), F.col("word")) + F.char_length("word") - 1
+        hit.select(key_col, F.struct(end.alias("end"), (-F.char_length("word")).alias("neg_len"),
+                                     F.col("word").alias("word")).alias("h")) \
+            .write.mode("overwrite").parquet(f"{root}/chunk={c}")
+    hits = spark.read.schema(f"{key_col} {dict(df.dtypes)[key_col]}, "
+                             "h struct<end:int,neg_len:int,word:string>, chunk int").parquet(root)
+    best = hits.groupBy(key_col).agg(F.min("h").getField("word").alias("matched_word"))
+    return df.select(key_col).join(best, key_col, "left")
+
+
 def block_list_size(words: DataFrame) -> DataFrame:
     """Number of non-empty folded words (input already folded and de-duplicated)."""
     return words.agg(F.count(F.lit(1)).alias("block_list_size"))

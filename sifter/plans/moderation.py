@@ -50,7 +50,9 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     text) once to the session's checkpoint folder.  The running count reads
     them twice (cell totals and rows); without this the scan would run twice.
     """
-    wl = as_word_list(words)
+    from sifter.operators.scan import block_list_fits
+
+    wl = words if isinstance(words, DataFrame) and not block_list_fits(words)[0] else as_word_list(words)
     t = tasks
     if dedup and "partition" in t.columns and "offset" in t.columns:
         t = dedup_deliveries(t)
