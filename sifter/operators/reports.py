@@ -41,7 +41,7 @@ def _pname(p: float) -> str:
 
 
 def rank_percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[str] = (),
-                     coarse_width: float = 1.0) -> DataFrame:
+                     coarse_width: float = 1.0, max_alias: str | None = None) -> DataFrame:
     """For each p, the element at 0-based rank ``min(int(p * n), n - 1)`` of the sorted values.
 
     Exact (not ``percentile_approx``; not ``percentile_disc``, which rounds
@@ -68,6 +68,8 @@ def rank_percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[
     for p in ps:
         idx = F.least(F.floor(F.lit(p) * F.col("_n")), F.col("_n") - 1)
         aggs.append(F.min(F.when(F.col("_cum") > idx, v)).alias(_pname(p)))
+    if max_alias:
+        aggs.append(F.max(v).alias(max_alias))
     return cum.groupBy(*by).agg(F.max("_n").alias("n"), *aggs)
 
 
@@ -75,9 +77,7 @@ def rank_percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[
 def moderation_latency(results: DataFrame, ps: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
     """Reviewed - submitted per post, summarised by exact rank percentiles and max."""
     lat = results.select((F.col("reviewed_ms") - F.col("submitted_ms")).alias("latency_ms"))
-    pct = rank_percentiles(lat, "latency_ms", ps, coarse_width=100.0)
-    mx = lat.agg(F.max("latency_ms").alias("max_latency_ms"))
-    return pct.crossJoin(mx)  # one row x one row
+    return rank_percentiles(lat, "latency_ms", ps, coarse_width=100.0, max_alias="max_latency_ms")
 
 
 def latency_per_post(tasks: DataFrame, results: DataFrame) -> DataFrame:
@@ -100,14 +100,21 @@ def status_rollup(results: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- A9
 def reconcile(posts: DataFrame, results: DataFrame) -> DataFrame:
-    """Posts, result rows, distinct result post ids, duplicate results, posts with no result."""
-    p = posts.agg(F.count(F.lit(1)).alias("posts"))
-    r = results.agg(F.count(F.lit(1)).alias("results"), F.count_distinct("post_id").alias("distinct_results"))
-    missing = posts.select("post_id").join(results.select("post_id"), "post_id", "left_anti") \
-        .agg(F.count(F.lit(1)).alias("missing"))
-    return p.crossJoin(r).crossJoin(missing).select(
-        "posts", "results", "distinct_results",
-        (F.col("results") - F.col("distinct_results")).alias("duplicates"), "missing")
+    """Posts, result rows, distinct result post ids, duplicate results, posts with no result.
+
+    One full outer join of post ids with per-post result counts, then one
+    global aggregate (partial on every task).
+    """
+    p = posts.select("post_id", F.lit(1).alias("_p"))
+    r = results.groupBy("post_id").agg(F.count(F.lit(1)).alias("_c"))
+    j = p.join(r, "post_id", "full_outer")
+    return j.agg(
+        F.count("_p").alias("posts"),
+        F.coalesce(F.sum("_c"), F.lit(0)).alias("results"),
+        F.count("_c").alias("distinct_results"),
+        (F.coalesce(F.sum("_c"), F.lit(0)) - F.count("_c")).alias("duplicates"),
+        F.count_if(F.col("_p").isNotNull() & F.col("_c").isNull()).alias("missing"),
+    )
 
 
 # --------------------------------------------------------------------------- A10

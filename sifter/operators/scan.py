@@ -174,8 +174,14 @@ def first_match_table(df: DataFrame, key_col: str, text_col: str, words: DataFra
 
 
 def block_list_size(words: DataFrame) -> DataFrame:
-    """Number of non-empty folded words (input already folded and de-duplicated)."""
-    return words.agg(F.count(F.lit(1)).alias("block_list_size"))
+    """Number of non-empty folded words (input already folded and de-duplicated).
+
+    Given a coverage table (word, posts), also the number of words present in any post.
+    """
+    aggs = [F.count(F.lit(1)).alias("block_list_size")]
+    if "posts" in words.columns:
+        aggs.append(F.count_if(F.col("posts") > 0).alias("words_present"))
+    return words.agg(*aggs)
 
 
 def match_counts(verdicts: DataFrame) -> DataFrame:

@@ -89,12 +89,6 @@ def q_posts_ingest(spark, sf):
                     F.char_length("content").alias("content_chars"), "review_status")
 
 
-# =========================================================================== I2
-@register("block_list", W([O.WORDS], "SELECT word FROM words"))
-def q_block_list(spark, sf):
-    return _words(spark)
-
-
 # =========================================================================== I6 + P4
 @register("task_json_roundtrip", W([O.POSTS], """
 SELECT post_id, user_id, title, content AS content_snapshot, image_count, submitted_ms FROM posts"""))
@@ -237,10 +231,34 @@ def q_word_hits(spark, sf):
     return h.select("post_id", "word", F.col("rank").cast("bigint").alias("rank"))
 
 
+_COVERAGE = """
+coverage AS (
+  SELECT w.word, count(DISTINCT h.post_id) AS posts
+  FROM words w LEFT JOIN all_hits h ON h.word = w.word GROUP BY w.word
+)"""
+
+
+def _coverage(spark, sf) -> DataFrame:
+    """Per loaded word: the posts whose whole text contains it (0 when none)."""
+    words = _words(spark)
+    hits = scan.word_hits(_posts_with_text(spark, sf), "post_id", "text", words)
+    per_word = hits.groupBy("word").agg(F.count_distinct("post_id").alias("posts"))
+    return words.join(per_word, "word", "left").select("word", F.coalesce("posts", F.lit(0)).alias("posts"))
+
+
+# =========================================================================== I2 (+S4)
+@register("block_list", W([O.POSTS, O.WORDS, _ALL_HITS, _COVERAGE], "SELECT word, posts FROM coverage"))
+def q_block_list(spark, sf):
+    """The loaded (folded, de-duplicated, non-empty) block list with each word's post coverage."""
+    return _coverage(spark, sf)
+
+
 # =========================================================================== S5
-@register("block_list_size", W([O.WORDS], "SELECT count(*) AS block_list_size FROM words"))
+@register("block_list_size", W([O.POSTS, O.WORDS, _ALL_HITS, _COVERAGE], """
+SELECT count(*) AS block_list_size, count_if(posts > 0) AS words_present FROM coverage"""))
 def q_block_list_size(spark, sf):
-    return scan.block_list_size(_words(spark))
+    """Block-list size next to how many of its words occur in the posts."""
+    return scan.block_list_size(_coverage(spark, sf))
 
 
 # =========================================================================== S6
