@@ -34,6 +34,7 @@ VERDICT_COLUMNS = ["post_id", "user_id", "status", "reason", "matched_word", "de
 
 
 def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame | None = None, *,
+             prior_counts: DataFrame | None = None,
              max_content: int = K.MAX_CONTENT_CHARS, max_images: int = K.MAX_IMAGES,
              reputation_floor: int = K.REPUTATION_FLOOR, strategy: str = "auto",
              bucket_ms: int = 3_600_000, dedup: bool = True, keep_time: bool = False,
@@ -45,6 +46,9 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     ``users``: the seed state before any of ``tasks`` and ``prior_results``.
     ``prior_results``: verdicts already stored (post_id, user_id, status); their
     posts are skipped (J2) and their rejections count for the authors.
+    ``prior_counts``: (user_id, rejections) already stored; when given, it is
+    used for the authors' earlier rejections instead of ``prior_results``
+    (a stream keeps these per-batch deltas so it need not re-read history).
     Order among one author's posts: (submitted_at, post_id).
     ``materialize``: write the slim judged rows (ids, time, reason, word; no
     text) once to the session's checkpoint folder.  The running count reads
@@ -68,10 +72,15 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
         judged = judged.checkpoint(eager=True)
 
     counted = prior_violations(judged, "_rej", bucket_ms=bucket_ms)
-    if prior_results is not None:
+    earlier = None
+    if prior_counts is not None:
+        earlier = prior_counts.groupBy(F.col("user_id").alias("_puid")) \
+            .agg(F.sum("rejections").alias("_prev"))
+    elif prior_results is not None:
         earlier = prior_results.where(F.col("status") == K.STATUS_REJECTED) \
             .groupBy(F.col("user_id").alias("_puid")) \
             .agg(F.count_distinct("post_id").alias("_prev"))
+    if earlier is not None:
         counted = counted.join(earlier, counted["user_id"] == earlier["_puid"], "left") \
             .select(*counted.columns, F.coalesce(F.col("_prev"), F.lit(0)).alias("_prev")) \
             .withColumn("prior_rejections", F.col("prior_rejections") + F.col("_prev")).drop("_prev")
