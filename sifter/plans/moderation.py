@@ -37,7 +37,7 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
              prior_counts: DataFrame | None = None,
              max_content: int = K.MAX_CONTENT_CHARS, max_images: int = K.MAX_IMAGES,
              reputation_floor: int = K.REPUTATION_FLOOR, strategy: str = "auto",
-             bucket_ms: int = 3_600_000, dedup: bool = True, keep_time: bool = False,
+             bucket_ms: int = 60_000, dedup: bool = True, keep_time: bool = False,
              materialize: bool = True) -> DataFrame:
     """Judge every task once.
 
