@@ -45,12 +45,18 @@ def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_C
     sub-expressions inside lambda functions, so inlining it would rebuild it
     for every word.
     """
-    from sifter.operators.scan import as_word_list, block_list_fits, first_match_table, prepare_scan_text
+    from sifter.operators.scan import as_word_list, first_match_table, prepare_scan_text
+    from sifter.sources.tables import BlockListTooLarge
 
     cols = list(tasks.columns)
     pre = content_reason(F.col("content_snapshot"), F.col("image_count"), max_content, max_images)
     staged = tasks.select(*cols, pre.alias("_pre"))
-    if isinstance(words, DataFrame) and not block_list_fits(words)[0]:
+    if isinstance(words, DataFrame):
+        try:
+            words = as_word_list(words)
+        except BlockListTooLarge:
+            pass
+    if isinstance(words, DataFrame):
         # Block list over the broadcast bound: exact chunked scan, joined back by post.
         scan_in = staged.where(F.col("_pre").isNull()) \
             .select("post_id", scan_text("title", "content_snapshot").alias("_t"))
@@ -58,7 +64,7 @@ def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_C
             .where(F.col("matched_word").isNotNull()).withColumnRenamed("post_id", "_mpid")
         judged = staged.join(found, staged["post_id"] == found["_mpid"], "left").drop("_mpid")
     else:
-        wl = words if isinstance(words, list) else as_word_list(words)
+        wl = as_word_list(words)
         staged = staged.select(*cols, "_pre", prepare_scan_text(
             F.when(F.col("_pre").isNull(), scan_text("title", "content_snapshot")), wl, strategy).alias("_text"))
         hit = first_match_col(F.col("_text"), wl, strategy, prepared=True)

@@ -135,10 +135,12 @@ def first_match_table(df: DataFrame, key_col: str, text_col: str, words: DataFra
     """
     max_words = max_words or tables.MAX_BLOCK_WORDS
     max_bytes = max_bytes or tables.MAX_BLOCK_BYTES
-    fits, n, b = block_list_fits(words, max_words, max_bytes)
-    if fits:
-        return scan_texts(df, text_col, collect_block_list(words, max_words, max_bytes), strategy,
-                          keep=[key_col]).select(key_col, "matched_word")
+    try:
+        wl = collect_block_list(words, max_words, max_bytes)
+        return scan_texts(df, text_col, wl, strategy, keep=[key_col]).select(key_col, "matched_word")
+    except tables.BlockListTooLarge:
+        pass
+    _, n, b = block_list_fits(words, max_words, max_bytes)
     from sifter.session import checkpoint_root
 
     spark = df.sparkSession

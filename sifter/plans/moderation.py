@@ -54,9 +54,12 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     text) once to the session's checkpoint folder.  The running count reads
     them twice (cell totals and rows); without this the scan would run twice.
     """
-    from sifter.operators.scan import block_list_fits
+    from sifter.sources.tables import BlockListTooLarge
 
-    wl = words if isinstance(words, DataFrame) and not block_list_fits(words)[0] else as_word_list(words)
+    try:
+        wl = as_word_list(words)
+    except BlockListTooLarge:
+        wl = words  # content_rules takes the exact chunked path for a DataFrame list
     t = tasks
     if dedup and "partition" in t.columns and "offset" in t.columns:
         t = dedup_deliveries(t)

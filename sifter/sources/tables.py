@@ -87,24 +87,28 @@ def block_list_from_values(spark: SparkSession, words) -> DataFrame:
     return load_block_list(spark, raw)
 
 
+class BlockListTooLarge(ValueError):
+    """The block list is over the single-broadcast bound."""
+
+
 def collect_block_list(words: DataFrame, max_words: int | None = None,
                        max_bytes: int | None = None) -> list[str]:
     """Bring the block list to the driver for broadcast, after checking its size.
 
     The list is the only thing this package collects.  It is bounded the way
     the studied service bounds it (every worker holds the whole automaton in
-    memory); a list over the bound is refused with a clear error instead of
-    silently truncated.  :func:`sifter.operators.scan.first_match_table`
-    scans such a list exactly, one bounded chunk at a time.
+    memory).  One job: at most ``max_words + 1`` rows ever reach the driver,
+    so an oversize list is detected without collecting it.  A list over the
+    bound raises :class:`BlockListTooLarge` instead of being truncated;
+    :func:`sifter.operators.scan.first_match_table` scans such a list
+    exactly, one bounded chunk at a time.
     """
     max_words = max_words or MAX_BLOCK_WORDS
     max_bytes = max_bytes or MAX_BLOCK_BYTES
-    stats = words.agg(F.count(F.lit(1)).alias("n"),
-                      F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("b")).first()
-    if stats["n"] > max_words or stats["b"] > max_bytes:
-        raise ValueError(
-            f"block list has {stats['n']} words / {stats['b']} bytes; over the broadcast "
-            f"bound ({max_words} words / {max_bytes} bytes). Split it into several lists "
-            "and run the scan once per list, then keep the earliest-ending hit "
-            "(sifter.operators.scan.first_match_table does this).")
-    return sorted(r["word"] for r in words.collect())
+    rows = [r["word"] for r in words.select("word").limit(max_words + 1).collect()]
+    size = sum(len(w.encode("utf-8")) for w in rows)
+    if len(rows) > max_words or size > max_bytes:
+        raise BlockListTooLarge(
+            f"block list has over {max_words} words or {max_bytes} bytes: over the broadcast bound. "
+            "sifter.operators.scan.first_match_table scans it exactly in bounded chunks.")
+    return sorted(rows)
