@@ -2,18 +2,29 @@
 
 ``sum(x) over (partition by key order by t)`` hash-partitions on ``key``
 alone, so a key holding a third of the rows makes one task do a third of
-the work.  ``running_agg`` cuts the order axis into cells (a column that is
-non-decreasing along the order, e.g. ``floor(t / width)``):
-
-1. per (key, cell), the running value inside the cell and the cell total,
-   in one window pass: the only shuffle of the input is spread over
-   keys x cells, so a hot key spans many tasks;
-2. per key, the total of all earlier cells: a window over the (small)
-   table of cell totals;
-3. an equi-join of 2 onto 1 on (key, cell).  Side 1 is already
-   hash-partitioned on those columns, so only the small side moves (or is
-   broadcast by AQE).  Side 2 is computed from the same shuffle output
-   (Spark reuses the exchange), so the input is computed once.
+the work.  ``running_agg`` handles the two kinds of keys apart:
+
+* **heavy keys** are found from a sample (:func:`heavy_keys`): only keys
+  with at least ``min_share`` of the sampled rows *and* enough rows to be
+  worth splitting qualify, so there are at most ``1 / min_share`` of them
+  (a proven bound; the list is broadcast).  Their rows are cut along the
+  order axis into cells (``cell``: non-decreasing along the order, e.g.
+  ``floor(t / width)``):
+
+  1. per (key, cell), the running value inside the cell and the cell total
+     in one window pass; the shuffle is spread over keys x cells, so a hot
+     key spans many tasks;
+  2. per key, the total of all earlier cells: a window over the small
+     table of cell totals (heavy keys x cells);
+  3. an equi-join of 2 onto 1 on (key, cell).
+
+* **all other keys** take one plain window partitioned by key: each holds
+  less than ``min_share`` of the rows, so no task gets a large share, and
+  no cell-total table or join is built for the long tail.
+
+Both paths are exact; detection only decides speed.  The input is read by
+the sample and by both paths, so callers pass materialised or cheap input
+(the flagship passes checkpointed slim rows).
 """
 
 from __future__ import annotations
@@ -25,29 +36,77 @@ from pyspark.sql import functions as F
 
 _AGGS = {"sum": F.sum, "max": F.max, "min": F.min}
 
+# Defaults of the heavy-key test: a key is split when it holds >= 0.1% of the
+# rows and at least a million of them (smaller keys sort fine in one task).
+SAMPLE_FRACTION = 0.01
+MIN_SHARE = 0.001
+MIN_ROWS = 1_000_000
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], *, sample_fraction: float | None = None,
+               min_share: float | None = None, min_rows: int | None = None, seed: int = 17) -> DataFrame:
+    """Keys estimated to hold >= ``min_share`` of all rows and >= ``min_rows`` rows.
+
+    The sample is counted per key on the executors; only qualifying keys
+    (at most ``1 / min_share``) come back, as a small DataFrame to broadcast.
+    """
+    sample_fraction = SAMPLE_FRACTION if sample_fraction is None else sample_fraction
+    min_share = MIN_SHARE if min_share is None else min_share
+    min_rows = MIN_ROWS if min_rows is None else min_rows
+    keys = list(keys)
+    counts = df.sample(fraction=sample_fraction, seed=seed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    threshold = max(min_share * total, min_rows * sample_fraction, 1)
+    hot = counts.where(F.col("_n") >= threshold).select(*keys)
+    rows = hot.limit(int(1 / min_share) + 1).collect()  # bounded by construction
+    schema = df.select(*keys).schema
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+
 
 def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | str,
-                out: str, cell: Column, *, fn: str = "sum", inclusive: bool = False) -> DataFrame:
+                out: str, cell: Column, *, fn: str = "sum", inclusive: bool = False,
+                hot: DataFrame | None = None) -> DataFrame:
     """Adds ``out`` = fn(value) over the key's rows before (``inclusive``: up to) each row.
 
     NULL when there is no such row (callers coalesce).  ``cell`` must be
-    non-decreasing along ``order`` within a key.
+    non-decreasing along ``order`` within a key.  ``hot``: the heavy keys,
+    when the caller already knows them (else they are detected).
     """
-    agg = _AGGS[fn]
     keys = list(keys)
     val = F.col(value) if isinstance(value, str) else value
-    x = df.withColumn("_val", val).withColumn("_cell", cell)
+    x = df.withColumn("_val", val)
+    if hot is None:
+        hot = heavy_keys(df, keys)
+    if not hot.take(1):
+        return _plain(x, keys, order, out, fn, inclusive).select(*df.columns, out)
+    hot_b = F.broadcast(hot)  # at most 1 / min_share keys
+    cold = x.join(hot_b, keys, "left_anti")
+    heavy = x.join(hot_b, keys, "left_semi")
+    return _plain(cold, keys, order, out, fn, inclusive).select(*df.columns, out).unionByName(
+        _celled(heavy, keys, order, out, cell, fn, inclusive).select(*df.columns, out))
+
+
+def _frame(inclusive: bool):
+    return (Window.unboundedPreceding, 0 if inclusive else -1)
+
+
+def _plain(x: DataFrame, keys, order, out, fn, inclusive) -> DataFrame:
+    agg = _AGGS[fn]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order]).rowsBetween(*_frame(inclusive))
+    return x.withColumn(out, agg("_val").over(w))
+
+
+def _celled(x: DataFrame, keys, order, out, cell: Column, fn, inclusive) -> DataFrame:
+    agg = _AGGS[fn]
+    x = x.withColumn("_cell", cell)
     in_cell = Window.partitionBy(*keys, "_cell")
-    inside = in_cell.orderBy(*[F.col(c) for c in order]) \
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    # One shuffle of the input on (key, cell); the cell totals come from the
-    # same window pass, so the input (and whatever computed it) is read once.
+    inside = in_cell.orderBy(*[F.col(c) for c in order]).rowsBetween(*_frame(inclusive))
     within = x.withColumn("_in", agg("_val").over(inside)).withColumn("_ctot", agg("_val").over(in_cell))
     per_cell = within.groupBy(*keys, "_cell").agg(F.max("_ctot").alias("_cv"))
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_cell.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_cell").alias("_o_cell"),
                               agg("_cv").over(earlier).alias("_off"))
-    # null-safe: a NULL key or order value (e.g. a task without a time) is a group like any other
+    # null-safe: a NULL order value (e.g. a task without a time) is a cell like any other
     cond = [within[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys] + \
         [within["_cell"].eqNullSafe(offsets["_o_cell"])]
     j = within.join(offsets, cond)
@@ -58,4 +117,4 @@ def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         combined = F.greatest(F.col("_off"), F.col("_in"))
     else:
         combined = F.least(F.col("_off"), F.col("_in"))
-    return j.select(*df.columns, combined.alias(out))
+    return j.withColumn(out, combined)

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from sifter import constants as K
 from sifter.functions.pyworker import ship_by_value
-from sifter.operators.ordered import running_agg
+from sifter.operators.ordered import heavy_keys, running_agg
 
 
 def _fold_runs(burst_units: int, cost_units: int, per_ms: int):
@@ -75,10 +75,11 @@ def token_bucket(requests: DataFrame, *, key: str = "key", time_col: str = "t_ms
     r = requests.select("*", F.col(key).alias("_k"), F.col(time_col).cast("bigint").alias("_t"),
                         F.col(id_col).alias("_id"))
     cellc = F.floor(F.col("_t") / F.lit(cell))
-    prev = running_agg(r, ["_k"], ["_t", "_id"], "_t", "_prev_t", cellc, fn="max", inclusive=False)
+    hot = heavy_keys(r, ["_k"])  # busy keys get time cells; the rest one plain window
+    prev = running_agg(r, ["_k"], ["_t", "_id"], "_t", "_prev_t", cellc, fn="max", inclusive=False, hot=hot)
     starts = prev.withColumn(
         "_start", (F.col("_prev_t").isNull() | ((F.col("_t") - F.col("_prev_t")) >= full_gap)).cast("int"))
-    seg = running_agg(starts, ["_k"], ["_t", "_id"], "_start", "_seg", cellc, fn="sum", inclusive=True)
+    seg = running_agg(starts, ["_k"], ["_t", "_id"], "_start", "_seg", cellc, fn="sum", inclusive=True, hot=hot)
 
     ship_by_value(__name__)
     runs = seg.select(*requests.columns, "_k", "_seg", "_t", "_id") \

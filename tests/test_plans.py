@@ -39,10 +39,17 @@ def test_automaton_scan_uses_arrow_udf(spark):
     assert "ArrowEvalPython" in plan(df)
 
 
-def test_prior_rejections_window_is_spread_over_cells(spark):
-    p = spark.sparkContext._jvm  # noqa: F841 - session warm-up
-    txt = catalog.q_moderate(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    # the running count is partitioned by (user_id, _cell), never by user_id alone over raw rows
+def test_prior_rejections_split_only_heavy_authors(spark, monkeypatch):
+    from sifter.operators import ordered
+
+    # no author is heavy at this size: one plain window per author, no cell table, no join
+    txt = plan(catalog.q_moderate(spark, SF_SMALL))
+    assert "_cell" not in txt and "Window" in txt
+    # force every sampled author to count as heavy: rows go through (author, cell) windows
+    monkeypatch.setattr(ordered, "MIN_ROWS", 0)
+    monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
+    monkeypatch.setattr(ordered, "MIN_SHARE", 0.001)
+    txt = plan(catalog.q_moderate(spark, SF_SMALL))
     assert "hashpartitioning(user_id" in txt and "_cell" in txt
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from sifter.operators import reports
 from sifter.operators import results as res
-from sifter.operators.ordered import running_agg
+from sifter.operators import ordered
+from sifter.operators.ordered import heavy_keys, running_agg
 from sifter.operators.ratelimit import token_bucket
 
 
@@ -70,12 +71,15 @@ def test_running_agg_equals_plain_window_with_hot_key(spark):
     w = Window.partitionBy("k").orderBy("t", "id")
     plain = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("s"),
                       F.max("t").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("m"))
-    s = running_agg(df, ["k"], ["t", "id"], "v", "s", F.floor(F.col("t") / 97), fn="sum")
-    m = running_agg(df, ["k"], ["t", "id"], "t", "m", F.floor(F.col("t") / 97), fn="max")
     a = {r.id: (r.s, r.m) for r in plain.collect()}
-    b = {r.id: r.s for r in s.collect()}
-    c = {r.id: r.m for r in m.collect()}
-    assert {i: (b[i], c[i]) for i in a} == a
+    hot = heavy_keys(df, ["k"], sample_fraction=1.0, min_rows=0, min_share=0.2)
+    assert [r.k for r in hot.collect()] == [0]  # the key with 40% of the rows
+    for h in (None, hot):  # default (no key big enough to split) and split heavy key
+        s = running_agg(df, ["k"], ["t", "id"], "v", "s", F.floor(F.col("t") / 97), fn="sum", hot=h)
+        m = running_agg(df, ["k"], ["t", "id"], "t", "m", F.floor(F.col("t") / 97), fn="max", hot=h)
+        b = {r.id: r.s for r in s.collect()}
+        c = {r.id: r.m for r in m.collect()}
+        assert {i: (b[i], c[i]) for i in a} == a
 
 
 def _bucket_reference(rows, q, unit, burst, cost):
@@ -95,8 +99,13 @@ def _bucket_reference(rows, q, unit, burst, cost):
     return out
 
 
-@pytest.mark.parametrize("q,unit,burst,cost", [(200, 1000, 400, 1), (1, 50, 3, 1), (3, 10, 2, 2)])
-def test_token_bucket_matches_sequential_fold(spark, q, unit, burst, cost):
+@pytest.mark.parametrize("q,unit,burst,cost,split", [(200, 1000, 400, 1, False), (1, 50, 3, 1, True),
+                                                     (3, 10, 2, 2, True)])
+def test_token_bucket_matches_sequential_fold(spark, monkeypatch, q, unit, burst, cost, split):
+    if split:  # make the busy key take the celled path
+        monkeypatch.setattr(ordered, "MIN_ROWS", 0)
+        monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
+        monkeypatch.setattr(ordered, "MIN_SHARE", 0.3)
     rng = random.Random(q + unit)
     rows = []
     for i in range(4000):
