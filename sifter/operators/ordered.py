@@ -5,9 +5,8 @@ alone, so a key holding a third of the rows makes one task do a third of
 the work.  ``running_agg`` handles the two kinds of keys apart:
 
 * **heavy keys** are found from a sample (:func:`heavy_keys`): only keys
-  with at least ``min_share`` of the sampled rows *and* enough rows to be
-  worth splitting qualify, so there are at most ``1 / min_share`` of them
-  (a proven bound; the list is broadcast).  Their rows are cut along the
+  estimated to hold about a million rows or more qualify, so there are at
+  most rows / 1e6 of them (a proven bound; the list is broadcast).  Their rows are cut along the
   order axis into cells (``cell``: non-decreasing along the order, e.g.
   ``floor(t / width)``):
 
@@ -19,8 +18,8 @@ the work.  ``running_agg`` handles the two kinds of keys apart:
   3. an equi-join of 2 onto 1 on (key, cell).
 
 * **all other keys** take one plain window partitioned by key: each holds
-  less than ``min_share`` of the rows, so no task gets a large share, and
-  no cell-total table or join is built for the long tail.
+  too few rows to burden a task, and no cell-total table or join is built
+  for the long tail.
 
 Both paths are exact; detection only decides speed.  The input is read by
 the sample and by both paths, so callers pass materialised or cheap input
@@ -36,29 +35,28 @@ from pyspark.sql import functions as F
 
 _AGGS = {"sum": F.sum, "max": F.max, "min": F.min}
 
-# Defaults of the heavy-key test: a key is split when it holds >= 0.1% of the
-# rows and at least a million of them (smaller keys sort fine in one task).
+# Defaults of the heavy-key test: a key is split when it holds about a
+# million rows or more (smaller keys sort fine in one task).  At most
+# rows / MIN_ROWS keys can qualify, e.g. 40,000 keys (a few hundred KB) for
+# 4e10 rows: the broadcast is bounded by construction.
 SAMPLE_FRACTION = 0.01
-MIN_SHARE = 0.001
 MIN_ROWS = 1_000_000
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], *, sample_fraction: float | None = None,
-               min_share: float | None = None, min_rows: int | None = None, seed: int = 17) -> DataFrame:
-    """Keys estimated to hold >= ``min_share`` of all rows and >= ``min_rows`` rows.
+               min_rows: int | None = None, seed: int = 17) -> DataFrame:
+    """Keys estimated (from a sample) to hold at least ``min_rows`` rows.
 
-    The sample is counted per key on the executors; only qualifying keys
-    (at most ``1 / min_share``) come back, as a small DataFrame to broadcast.
+    One job: the sample is counted per key on the executors and only the
+    qualifying keys (at most ``rows / min_rows``) come back, as a small
+    DataFrame to broadcast.
     """
     sample_fraction = SAMPLE_FRACTION if sample_fraction is None else sample_fraction
-    min_share = MIN_SHARE if min_share is None else min_share
     min_rows = MIN_ROWS if min_rows is None else min_rows
     keys = list(keys)
     counts = df.sample(fraction=sample_fraction, seed=seed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    threshold = max(min_share * total, min_rows * sample_fraction, 1)
-    hot = counts.where(F.col("_n") >= threshold).select(*keys)
-    rows = hot.limit(int(1 / min_share) + 1).collect()  # bounded by construction
+    threshold = max(min_rows * sample_fraction, 1)
+    rows = counts.where(F.col("_n") >= threshold).select(*keys).collect()
     schema = df.select(*keys).schema
     return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
@@ -79,7 +77,7 @@ def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         hot = heavy_keys(df, keys)
     if not hot.take(1):
         return _plain(x, keys, order, out, fn, inclusive).select(*df.columns, out)
-    hot_b = F.broadcast(hot)  # at most 1 / min_share keys
+    hot_b = F.broadcast(hot)  # at most rows / MIN_ROWS keys
     cold = x.join(hot_b, keys, "left_anti")
     heavy = x.join(hot_b, keys, "left_semi")
     return _plain(cold, keys, order, out, fn, inclusive).select(*df.columns, out).unionByName(

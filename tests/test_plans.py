@@ -46,9 +46,8 @@ def test_prior_rejections_split_only_heavy_authors(spark, monkeypatch):
     txt = plan(catalog.q_moderate(spark, SF_SMALL))
     assert "_cell" not in txt and "Window" in txt
     # force every sampled author to count as heavy: rows go through (author, cell) windows
-    monkeypatch.setattr(ordered, "MIN_ROWS", 0)
+    monkeypatch.setattr(ordered, "MIN_ROWS", 1)
     monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
-    monkeypatch.setattr(ordered, "MIN_SHARE", 0.001)
     txt = plan(catalog.q_moderate(spark, SF_SMALL))
     assert "hashpartitioning(user_id" in txt and "_cell" in txt
 

@@ -72,7 +72,7 @@ def test_running_agg_equals_plain_window_with_hot_key(spark):
     plain = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("s"),
                       F.max("t").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("m"))
     a = {r.id: (r.s, r.m) for r in plain.collect()}
-    hot = heavy_keys(df, ["k"], sample_fraction=1.0, min_rows=0, min_share=0.2)
+    hot = heavy_keys(df, ["k"], sample_fraction=1.0, min_rows=1000)
     assert [r.k for r in hot.collect()] == [0]  # the key with 40% of the rows
     for h in (None, hot):  # default (no key big enough to split) and split heavy key
         s = running_agg(df, ["k"], ["t", "id"], "v", "s", F.floor(F.col("t") / 97), fn="sum", hot=h)
@@ -103,9 +103,8 @@ def _bucket_reference(rows, q, unit, burst, cost):
                                                      (3, 10, 2, 2, True)])
 def test_token_bucket_matches_sequential_fold(spark, monkeypatch, q, unit, burst, cost, split):
     if split:  # make the busy key take the celled path
-        monkeypatch.setattr(ordered, "MIN_ROWS", 0)
+        monkeypatch.setattr(ordered, "MIN_ROWS", 1)
         monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
-        monkeypatch.setattr(ordered, "MIN_SHARE", 0.3)
     rng = random.Random(q + unit)
     rows = []
     for i in range(4000):

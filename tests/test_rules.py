@@ -94,7 +94,7 @@ def test_reputation_follows_earlier_rejections(spark, monkeypatch, split):
     """alice (80/0): rejections 1..5 push her to 30, the sixth to 20 -> later clean posts go to review."""
     if split:  # alice's rows take the celled (heavy-key) path
         from sifter.operators import ordered
-        monkeypatch.setattr(ordered, "MIN_ROWS", 0)
+        monkeypatch.setattr(ordered, "MIN_ROWS", 1)
         monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
     users = seeds.seed_users(spark)
     rows = [(i, 1, "hi", "casino" if i < 6 else "fine", 0, 1000 + i) for i in range(8)]
