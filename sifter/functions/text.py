@@ -31,6 +31,46 @@ def ascii_fold(col: Column | str) -> Column:
     return F.translate(_c(col), UPPER_ASCII, LOWER_ASCII)
 
 
+# --- fixed values: the only code points whose lower case is ASCII or longer than one
+# character (U+0130 -> "i" + U+0307, U+212A KELVIN SIGN -> "k"); checked over all of Unicode.
+LOWER_NOT_ASCII_FOLD = "\u0130\u212a"
+
+
+def words_fold_with_lower(words: Sequence[str]) -> bool:
+    """True when ``lower()`` finds the same words at the same places as the ASCII fold.
+
+    Holds when every non-ASCII character of the words is uncased: ``lower()``
+    then differs from the ASCII fold only on text characters no word can
+    match, except the two in ``LOWER_NOT_ASCII_FOLD``, which texts are checked for.
+    """
+    return all(ord(ch) < 128 or (ch.lower() == ch and ch.upper() == ch) for w in words for ch in w)
+
+
+def fold_for_scan(col: Column | str, words: Sequence[str]) -> Column:
+    """The ASCII fold of ``col`` as the scan needs it, through ``lower()`` where that is exact.
+
+    ``lower()`` has a byte-level fast path; ``translate()`` looks up every
+    character, several times slower on long texts.
+    """
+    c = _c(col)
+    if not words_fold_with_lower(words) or _turkic_jvm_locale():
+        return ascii_fold(c)
+    odd = F.instr(c, LOWER_NOT_ASCII_FOLD[0]) + F.instr(c, LOWER_NOT_ASCII_FOLD[1])
+    return F.when(odd > 0, ascii_fold(c)).otherwise(F.lower(c))
+
+
+def _turkic_jvm_locale() -> bool:
+    """Spark's ``lower()`` uses the JVM default locale, where Turkic ones fold ``I`` to dotless i."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    try:
+        lang = spark.sparkContext._jvm.java.util.Locale.getDefault().getLanguage()
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): stay exact
+        return True
+    return lang in ("tr", "az")
+
+
 def unicode_trim(col: Column | str) -> Column:
     """Trim Unicode white space at both ends (``trim()`` only strips U+0020)."""
     return F.regexp_replace(_c(col), _EDGE_SPACE, "")

@@ -24,7 +24,7 @@ import math
 import uuid
 
 from sifter.functions import automaton as ac
-from sifter.functions.text import all_matches, ascii_fold, contains_any, first_match
+from sifter.functions.text import all_matches, ascii_fold, contains_any, first_match, fold_for_scan
 from sifter.sources import tables
 from sifter.sources.tables import collect_block_list
 
@@ -56,7 +56,7 @@ def prepare_scan_text(text: Column, words: Sequence[str], strategy: str = "auto"
     lambda functions, where Catalyst does not share sub-expressions.
     """
     if words and pick_strategy(words, strategy) == "native":
-        return ascii_fold(text)
+        return fold_for_scan(text, words)
     return text
 
 

@@ -134,3 +134,21 @@ def test_first_match_table_equals_single_pass(spark):
     one = {r.id: r.matched_word for r in scan.first_match_table(df, "id", "text", wdf).collect()}
     many = {r.id: r.matched_word for r in scan.first_match_table(df, "id", "text", wdf, max_words=2).collect()}
     assert one == many and len(one) == 300
+
+
+def test_lower_fast_path_equals_ascii_fold(spark):
+    """Texts with Kelvin sign, dotted I, accented capitals and sigma: the fast fold finds the same words."""
+    from sifter.functions.text import fold_for_scan, words_fold_with_lower
+
+    rng = random.Random(8)
+    alphabet = "abkiKIÉéΣσς暴力 Kİ"
+    words = ["ki", "bk", "暴力", "ab", "a暴", "kk", "ib"]
+    assert words_fold_with_lower(words) and not words_fold_with_lower(["é"])
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    wl = scan.as_word_list(words)
+    fast = df.select("id", fold_for_scan(F.col("text"), wl).alias("t")) \
+        .select("id", scan.first_match_col(F.col("t"), wl, "native", prepared=True).alias("w"))
+    got = {r.id: r.w for r in fast.collect()}
+    m = Matcher(words)
+    assert got == {i: m.first(t) for i, t in enumerate(texts)}
