@@ -2,8 +2,8 @@
 
 Plan shape (see ``tests/test_plans.py`` for the checks on it):
 
-    tasks ─ A1 dedup (hash aggregate, partial) ─ J2 anti join prior results
-          ─ rules 1-3 + word scan (map-only; the text is dropped right after)
+    tasks ─ rules 1-3 + word scan (map-only; the text is dropped right after)
+          ─ A1 dedup (hash aggregate, partial) ─ J2 anti join prior results (slim rows)
           ─ checkpoint of the slim rows (read twice below, computed once)
           ─ W1 prior rejections per author (bucketed, skew-spread windows)
           ─ J1 users (broadcast when measured small, else shuffle join)
@@ -60,16 +60,21 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
         wl = as_word_list(words)
     except BlockListTooLarge:
         wl = words  # content_rules takes the exact chunked path for a DataFrame list
-    t = tasks
-    if dedup and "partition" in t.columns and "offset" in t.columns:
-        t = dedup_deliveries(t)
-    if prior_results is not None:
-        t = unmoderated(t, prior_results)
-    t = t.select("post_id", "user_id", "title", "content_snapshot", "image_count", "submitted_at")
+    positions = dedup and "partition" in tasks.columns and "offset" in tasks.columns
+    pos_cols = ["partition", "offset"] if positions else []
+    t = tasks.select("post_id", "user_id", "title", "content_snapshot", "image_count", "submitted_at", *pos_cols)
 
+    # Rules 1-3 and the scan first, map-only; from here on rows are slim, so
+    # dedup (A1) and the done-work check (J2) shuffle ids, never post text.
+    # A repeated delivery costs one more scan of its text instead.
     judged = content_rules(t, wl, max_content=max_content, max_images=max_images, strategy=strategy) \
-        .select("post_id", "user_id", "submitted_at", "rule_reason", "matched_word",
-                F.col("rule_reason").isNotNull().cast("int").alias("_rej"))
+        .select("post_id", "user_id", "submitted_at", "rule_reason", "matched_word", *pos_cols)
+    if positions:
+        judged = dedup_deliveries(judged).drop(*pos_cols)
+    if prior_results is not None:
+        judged = unmoderated(judged, prior_results)
+    judged = judged.select("post_id", "user_id", "submitted_at", "rule_reason", "matched_word",
+                           F.col("rule_reason").isNotNull().cast("int").alias("_rej"))
     if materialize:
         ensure_checkpoint_dir(judged.sparkSession)
         judged = judged.checkpoint(eager=True)

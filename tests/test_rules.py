@@ -114,3 +114,15 @@ def test_prior_results_count_and_are_skipped(spark):
                                   "post_id bigint, user_id bigint, status string")
     v = moderate(t, seeds.seed_words(spark), users, prior_results=prior).collect()
     assert [(r.post_id, r.status) for r in v] == [(2, "manual_review")]
+
+
+def test_first_delivery_wins_even_with_other_content(spark):
+    users = seeds.seed_users(spark)
+    schema = ("post_id bigint, user_id bigint, title string, content_snapshot string, image_count int, ms bigint, "
+              "partition int, offset bigint")
+    t = spark.createDataFrame([(1, 1, "hi", "buy casino", 0, 10, 0, 5), (1, 1, "hi", "fine", 0, 10, 0, 9),
+                               (2, 1, "hi", "casino", 0, 20, 1, 7), (2, 1, "hi", "fine", 0, 20, 0, 8)], schema) \
+        .withColumn("submitted_at", F.timestamp_millis("ms")).drop("ms")
+    v = {r.post_id: r.status for r in moderate(t, seeds.seed_words(spark), users).collect()}
+    # post 1: offset 5 first -> rejected; post 2: partition 0 comes before partition 1 -> approved
+    assert v == {1: "rejected", 2: "approved"}
