@@ -356,11 +356,12 @@ result_events AS (
 
 def _result_events(spark, sf) -> DataFrame:
     """Result events as delivered: one per result, plus a later override to approved for id % 10 = 3."""
-    r = _results(spark, sf).select("post_id", "status", (F.col("post_id") % 3).cast("int").alias("partition"),
-                                   (F.col("post_id") * 2).alias("offset"))
-    override = r.where(F.col("post_id") % 10 == 3).select(
-        "post_id", F.lit("approved").alias("status"), "partition", (F.col("offset") + 1).alias("offset"))
-    return r.unionByName(override)
+    first = F.struct(F.col("status").alias("status"), (F.col("post_id") * 2).alias("offset"))
+    override = F.struct(F.lit("approved").alias("status"), (F.col("post_id") * 2 + 1).alias("offset"))
+    events = F.when(F.col("post_id") % 10 == 3, F.array(first, override)).otherwise(F.array(first))
+    r = _results(spark, sf).select("post_id", (F.col("post_id") % 3).cast("int").alias("partition"),
+                                   F.explode(events).alias("e"))
+    return r.select("post_id", "e.status", "partition", "e.offset")
 
 
 # =========================================================================== A2
