@@ -158,7 +158,8 @@ def q_result_json_roundtrip(spark, sf):
 _BLANK = r"[\t\n\x0B\f\r \x{85}\p{Z}]"
 _REFUSAL = f"""
 CASE WHEN user_id = 0 OR regexp_replace(title, '{_BLANK}', '', 'g') = '' THEN 'user_id and title are required'
-     WHEN length(title) > 255 THEN 'title exceeds 255 characters' END"""
+     WHEN length(title) > 255 THEN 'title exceeds 255 characters'
+     WHEN strlen(content) > 65535 THEN 'content exceeds 65535 bytes' END"""
 
 
 # =========================================================================== P1
