@@ -41,6 +41,14 @@ def words_of_size(spark, k: int):
     return load_block_list(spark, base.unionByName(extra))
 
 
+def _sf_number(path: str):
+    tag = os.path.basename(path.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -88,7 +96,7 @@ def main() -> None:
         "queries": times,
         "posts_per_sec": rate,
         "posts": n_posts,
-        "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
+        "sf": _sf_number(sf),
         "cpus": CPUS,
     }))
     spark.stop()
