@@ -40,8 +40,11 @@ def _pname(p: float) -> str:
     return f"p{s}"
 
 
+MAX_BANDS = 65536
+
+
 def rank_percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[str] = (),
-                     coarse_width: float = 1.0, max_alias: str | None = None) -> DataFrame:
+                     coarse_width: float | None = None, max_alias: str | None = None) -> DataFrame:
     """For each p, the element at 0-based rank ``min(int(p * n), n - 1)`` of the sorted values.
 
     Exact (not ``percentile_approx``; not ``percentile_disc``, which rounds
@@ -49,10 +52,15 @@ def rank_percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[
     partial aggregate.  Cumulative counts then use two levels: totals per
     coarse band ``floor(value / coarse_width)`` (a window over bands only)
     and a running count inside each band, so no task sorts the raw rows and
-    the one per-group window only sees band totals.
+    the one per-group window only sees band totals.  By default the band
+    width is the value range / ``MAX_BANDS`` (one min/max job), so that
+    window holds at most ``MAX_BANDS + 1`` rows per group whatever the data.
     """
     by = list(by)
     v = F.col(col)
+    if coarse_width is None:
+        lo, hi = df.agg(F.min(v), F.max(v)).first()
+        coarse_width = max(float(hi - lo) / MAX_BANDS, 1e-9) if lo is not None else 1.0
     counts = df.where(v.isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c")) \
         .withColumn("_band", F.floor(v / F.lit(coarse_width)))
     bands = counts.groupBy(*by, "_band").agg(F.sum("_c").alias("_bc"))
@@ -77,7 +85,7 @@ def rank_percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[
 def moderation_latency(results: DataFrame, ps: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
     """Reviewed - submitted per post, summarised by exact rank percentiles and max."""
     lat = results.select((F.col("reviewed_ms") - F.col("submitted_ms")).alias("latency_ms"))
-    return rank_percentiles(lat, "latency_ms", ps, coarse_width=100.0, max_alias="max_latency_ms")
+    return rank_percentiles(lat, "latency_ms", ps, max_alias="max_latency_ms")
 
 
 def latency_per_post(tasks: DataFrame, results: DataFrame) -> DataFrame:

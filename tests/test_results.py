@@ -129,11 +129,13 @@ def test_rank_percentiles_exact(spark):
     df = spark.createDataFrame(vals, "g string, v double")
     got = {r.g: (r.n, r.p50, r.p90, r.p99) for r in reports.rank_percentiles(df, "v", [0.5, 0.9, 0.99], by=["g"],
                                                                              coarse_width=7.0).collect()}
+    auto = {r.g: (r.n, r.p50, r.p90, r.p99) for r in reports.rank_percentiles(df, "v", [0.5, 0.9, 0.99],
+                                                                              by=["g"]).collect()}
     for g in "ab":
         xs = sorted(v for gg, v in vals if gg == g)
         n = len(xs)
         exp = tuple(xs[min(int(p * n), n - 1)] for p in (0.5, 0.9, 0.99))
-        assert got[g] == (n,) + exp
+        assert got[g] == auto[g] == (n,) + exp
 
 
 def test_outage_windows_strict_ratio(spark):
