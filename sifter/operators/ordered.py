@@ -61,6 +61,11 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], *, sample_fraction: float | N
     return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
 
+def no_heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An empty heavy-key list: every key takes the plain window (bounded inputs, e.g. one micro-batch)."""
+    return df.sparkSession.createDataFrame([], df.select(*keys).schema)
+
+
 def running_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | str,
                 out: str, cell: Column, *, fn: str = "sum", inclusive: bool = False,
                 hot: DataFrame | None = None) -> DataFrame:

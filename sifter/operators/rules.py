@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sifter import constants as K
 from sifter.functions.text import code_points, scan_text
-from sifter.operators.ordered import running_agg
+from sifter.operators.ordered import no_heavy_keys, running_agg
 from sifter.operators.scan import first_match_col
 
 
@@ -100,7 +100,7 @@ def with_reputation(df: DataFrame, users: DataFrame) -> DataFrame:
 
 def prior_violations(df: DataFrame, flag_col: str, *, order_col: str = "submitted_at",
                      tie_col: str = "post_id", bucket_ms: int = 60_000,
-                     out: str = "prior_rejections") -> DataFrame:
+                     out: str = "prior_rejections", split_heavy: bool = True) -> DataFrame:
     """Per author, how many earlier rows in (order_col, tie_col) order have ``flag_col`` = 1.
 
     A plain ``sum() over (partition by user_id order by ...)`` would send all
@@ -111,8 +111,9 @@ def prior_violations(df: DataFrame, flag_col: str, *, order_col: str = "submitte
     """
     t = F.col(order_col)
     ms = F.unix_millis(t) if dict(df.dtypes)[order_col].startswith("timestamp") else t
+    hot = None if split_heavy else no_heavy_keys(df, ["user_id"])
     r = running_agg(df, ["user_id"], [order_col, tie_col], flag_col, "_prior",
-                    F.floor(ms / F.lit(bucket_ms)), fn="sum", inclusive=False)
+                    F.floor(ms / F.lit(bucket_ms)), fn="sum", inclusive=False, hot=hot)
     return r.select(*df.columns, F.coalesce(F.col("_prior"), F.lit(0)).cast("bigint").alias(out))
 
 

@@ -38,7 +38,7 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
              max_content: int = K.MAX_CONTENT_CHARS, max_images: int = K.MAX_IMAGES,
              reputation_floor: int = K.REPUTATION_FLOOR, strategy: str = "auto",
              bucket_ms: int = 60_000, dedup: bool = True, keep_time: bool = False,
-             materialize: bool = True) -> DataFrame:
+             materialize: bool = True, split_heavy: bool = True) -> DataFrame:
     """Judge every task once.
 
     ``tasks``: post_id, user_id, title, content_snapshot, image_count,
@@ -53,6 +53,9 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     ``materialize``: write the slim judged rows (ids, time, reason, word; no
     text) once to the session's checkpoint folder.  The running count reads
     them twice (cell totals and rows); without this the scan would run twice.
+    ``split_heavy``: sample for heavy authors and spread them over time cells.
+    A bounded input (one micro-batch) can skip it; with ``materialize=False``
+    the scan output is then read exactly once and nothing is written.
     """
     from sifter.sources.tables import BlockListTooLarge
 
@@ -79,7 +82,7 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
         ensure_checkpoint_dir(judged.sparkSession)
         judged = judged.checkpoint(eager=True)
 
-    counted = prior_violations(judged, "_rej", bucket_ms=bucket_ms)
+    counted = prior_violations(judged, "_rej", bucket_ms=bucket_ms, split_heavy=split_heavy)
     earlier = None
     if prior_counts is not None:
         earlier = prior_counts.groupBy(F.col("user_id").alias("_puid")) \
