@@ -18,7 +18,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from sifter.plans import catalog  # noqa: E402
 from sifter.plans.moderation import moderate  # noqa: E402

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from sifter.constants import REPUTATION_START
 from sifter.functions.text import ascii_fold
 
-POSTS_COLUMNS = ["post_id", "user_id", "title", "content", "images", "review_status",
-                 "created_at"]
-USERS_COLUMNS = ["user_id", "username", "email", "reputation", "violation_count"]
-
 # Bound for collecting the block list into one broadcast (see collect_block_list).
 MAX_BLOCK_WORDS = 2_000_000
 MAX_BLOCK_BYTES = 256 * 1024 * 1024

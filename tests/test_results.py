@@ -151,3 +151,11 @@ def test_degraded_during_range_join(spark):
     outages = spark.createDataFrame([(4_000, 9_000), (19_000, 20_000)], "window_start_ms long, window_end_ms long")
     got = sorted(r.post_id for r in reports.degraded_during(res_df, outages, grid_ms=1_000).collect())
     assert got == [1, 2]
+
+
+def test_latency_per_post(spark):
+    tasks = spark.createDataFrame([(1, 1000), (2, 2000), (3, 3000)], "post_id long, ms long") \
+        .withColumn("submitted_at", F.timestamp_millis("ms"))
+    res_df = spark.createDataFrame([(1, 1076), (2, 2306)], "post_id long, reviewed_ms long")
+    got = {r.post_id: r.latency_ms for r in reports.latency_per_post(tasks, res_df).collect()}
+    assert got == {1: 76, 2: 306}

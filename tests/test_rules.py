@@ -126,3 +126,12 @@ def test_first_delivery_wins_even_with_other_content(spark):
     v = {r.post_id: r.status for r in moderate(t, seeds.seed_words(spark), users).collect()}
     # post 1: offset 5 first -> rejected; post 2: partition 0 comes before partition 1 -> approved
     assert v == {1: "rejected", 2: "approved"}
+
+
+def test_reputation_gate_on_a_frame(spark):
+    df = spark.createDataFrame([(1, None, None, 29, False), (2, None, None, 29, True), (3, "empty post", None, 0, False),
+                                (4, None, None, 30, False)],
+                               "post_id int, rule_reason string, matched_word string, reputation int, degraded boolean")
+    got = {r.post_id: (r.status, r.reason, r.matched_word) for r in rules.reputation_gate(df).collect()}
+    assert got == {1: ("manual_review", K.REASON_LOW_REPUTATION, ""), 2: ("approved", K.REASON_PASSED, ""),
+                   3: ("rejected", "empty post", ""), 4: ("approved", K.REASON_PASSED, "")}
