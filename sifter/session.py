@@ -24,6 +24,8 @@ _DEFAULTS = {
     # Arrow batches for the automaton UDF: big enough to amortise the
     # JVM<->Python hop, small enough that 33k-char texts stay in cache.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    # ...and bounded in bytes too, so a batch of very long texts stays small.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Checkpoint files of DataFrames that are gone are removed.
