@@ -25,25 +25,34 @@ def _load(spark: SparkSession, src, fmt: str = "parquet", **options) -> DataFram
     return spark.read.format(fmt).options(**options).load(src)
 
 
-def read_posts(spark: SparkSession, src, fmt: str = "parquet", **options) -> DataFrame:
+def read_posts(spark: SparkSession, src, fmt: str = "parquet", on_broken: str = "fail",
+               **options) -> DataFrame:
     """Posts with ``images`` as ``array<string>``.
 
     ``images`` may arrive as JSON text (the stored form) or already as an
-    array.  NULL or empty text means ``[]``; broken JSON raises at run time
-    (``from_json`` in FAILFAST-like use via ``assert_true``).
+    array.  NULL or empty text means ``[]``.  Broken JSON fails the job at
+    run time (``on_broken="fail"``, the studied service's behaviour), or,
+    with ``on_broken="quarantine"``, reads as ``[]`` and sets
+    ``images_broken`` so the caller can route the row aside.
     """
+    if on_broken not in ("fail", "quarantine"):
+        raise ValueError(f"on_broken must be 'fail' or 'quarantine', not {on_broken!r}")
     df = _load(spark, src, fmt, **options)
     fields = dict(df.dtypes)
+    empty = F.array().cast("array<string>")
+    broken = F.lit(False)
     if fields.get("images", "").startswith("array"):
-        images = F.coalesce(F.col("images"), F.array().cast("array<string>"))
+        images = F.coalesce(F.col("images"), empty)
     elif "images" in fields:
         raw = F.trim(F.col("images"))
         parsed = F.from_json(raw, "array<string>")
-        images = F.when(raw.isNull() | (raw == ""), F.array().cast("array<string>")).otherwise(
-            F.when(parsed.isNotNull(), parsed).otherwise(
-                F.raise_error(F.concat(F.lit("broken images JSON: "), raw)).cast("array<string>")))
+        broken = raw.isNotNull() & (raw != "") & parsed.isNull()
+        bad = F.raise_error(F.concat(F.lit("broken images JSON: "), raw)).cast("array<string>") \
+            if on_broken == "fail" else empty
+        images = F.when(raw.isNull() | (raw == ""), empty).otherwise(F.when(parsed.isNotNull(), parsed).otherwise(bad))
     else:
-        images = F.array().cast("array<string>")
+        images = empty
+    extra = [broken.alias("images_broken")] if on_broken == "quarantine" else []
     return df.select(
         F.col("post_id").cast("bigint").alias("post_id"),
         F.coalesce(F.col("user_id").cast("bigint"), F.lit(0).cast("bigint")).alias("user_id"),
@@ -54,6 +63,7 @@ def read_posts(spark: SparkSession, src, fmt: str = "parquet", **options) -> Dat
         if "review_status" in fields else F.lit("pending").alias("review_status"),
         (F.col("created_at").cast("timestamp") if "created_at" in fields
          else F.lit(None).cast("timestamp")).alias("created_at"),
+        *extra,
     )
 
 
