@@ -81,7 +81,7 @@ def q_moderate(spark, sf):
 
 # =========================================================================== I1
 @register("posts_ingest", W([O.POSTS], """
-SELECT post_id, user_id, title, image_count, length(content) AS content_chars, review_status FROM posts"""))
+SELECT post_id, user_id, title, image_count, CAST(length(content) AS INTEGER) AS content_chars, review_status FROM posts"""))
 def q_posts_ingest(spark, sf):
     p = TD.posts(spark, sf).withColumnRenamed("images_json", "images")
     r = read_posts(spark, p)
@@ -173,7 +173,7 @@ def q_posts_refused(spark, sf):
 
 # =========================================================================== P1 -> P2 -> P3
 @register("tasks_built", W([O.POSTS], f"""
-SELECT post_id, user_id, title, length(content) AS content_chars, image_count, submitted_ms,
+SELECT post_id, user_id, title, CAST(length(content) AS INTEGER) AS content_chars, image_count, submitted_ms,
        'pending' AS review_status
 FROM posts WHERE ({_REFUSAL}) IS NULL"""))
 def q_tasks_built(spark, sf):
@@ -256,7 +256,7 @@ def q_block_list(spark, sf):
 
 # =========================================================================== S5
 @register("block_list_size", W([O.POSTS, O.WORDS, _ALL_HITS, _COVERAGE], """
-SELECT count(*) AS block_list_size, count_if(posts > 0) AS words_present FROM coverage"""))
+SELECT count(*) AS block_list_size, CAST(count_if(posts > 0) AS BIGINT) AS words_present FROM coverage"""))
 def q_block_list_size(spark, sf):
     """Block-list size next to how many of its words occur in the posts."""
     return scan.block_list_size(_coverage(spark, sf))
@@ -321,7 +321,7 @@ def q_post_status(spark, sf):
 _OUTAGES = f"""
 outages AS (
   SELECT (t_ms // {HOUR_MS}) * {HOUR_MS} AS window_start_ms, (t_ms // {HOUR_MS}) * {HOUR_MS} + {HOUR_MS} AS window_end_ms,
-         count(*) AS n, count_if(failed) AS failures
+         count(*) AS n, CAST(count_if(failed) AS BIGINT) AS failures
   FROM lookups GROUP BY ALL
   HAVING count(*) >= 5 AND count_if(failed) > CAST(0.6 AS DOUBLE) * count(*)
 )"""
@@ -413,8 +413,9 @@ def q_status_lookup(spark, sf):
 
 # =========================================================================== A5
 @register("load_report", W([O.REQUESTS], """
-SELECT count(*) AS total, count_if(http_status = 202) AS accepted, count_if(http_status = 429) AS ratelimited,
-       count_if(http_status NOT IN (202, 429)) AS failed,
+SELECT count(*) AS total, CAST(count_if(http_status = 202) AS BIGINT) AS accepted,
+       CAST(count_if(http_status = 429) AS BIGINT) AS ratelimited,
+       CAST(count_if(http_status NOT IN (202, 429)) AS BIGINT) AS failed,
        CAST(count_if(http_status = 202) AS DOUBLE) * CAST(1000 AS DOUBLE)
          / CAST(greatest(max(t_ms) - min(t_ms), 1) AS DOUBLE) AS accepted_per_sec,
        max(latency_ms) FILTER (WHERE http_status = 202) AS max_latency_ms
@@ -529,8 +530,8 @@ def q_admission(spark, sf):
 
 # =========================================================================== R2
 @register("admission_summary", "WITH RECURSIVE " + ",".join([O.REQUESTS, _R1_SQL]) + f"""
-SELECT (t_ms // {DAY_MS}) * {DAY_MS} AS bucket_start_ms, count(*) AS offered, count_if(admitted) AS admitted,
-       count_if(NOT admitted) AS refused
+SELECT (t_ms // {DAY_MS}) * {DAY_MS} AS bucket_start_ms, count(*) AS offered, CAST(count_if(admitted) AS BIGINT) AS admitted,
+       CAST(count_if(NOT admitted) AS BIGINT) AS refused
 FROM tb GROUP BY ALL""")
 def q_admission_summary(spark, sf):
     return reports.admission_summary(_admission(spark, sf), DAY_MS)

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from scripts.check_oracle import TABLES, digest
+from scripts.check_oracle import TABLES, digest, type_diff
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,7 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(E.oracle_sql()[name])
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    assert type_diff(df.dtypes, rel.columns, rel.types) == {}
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(rel.columns, drows)
 
