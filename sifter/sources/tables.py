@@ -15,8 +15,11 @@ from sifter.constants import REPUTATION_START
 from sifter.functions.text import ascii_fold
 
 # Bound for collecting the block list into one broadcast (see collect_block_list).
-MAX_BLOCK_WORDS = 2_000_000
-MAX_BLOCK_BYTES = 256 * 1024 * 1024
+# Every Python worker process builds its own automaton from it (an 8-core
+# executor holds 8), so the bound is set by per-process memory, not by the
+# broadcast itself; larger lists are scanned exactly in chunks of this size.
+MAX_BLOCK_WORDS = 500_000
+MAX_BLOCK_BYTES = 16 * 1024 * 1024
 
 
 def _load(spark: SparkSession, src, fmt: str = "parquet", **options) -> DataFrame:
