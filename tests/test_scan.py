@@ -152,3 +152,20 @@ def test_lower_fast_path_equals_ascii_fold(spark):
     got = {r.id: r.w for r in fast.collect()}
     m = Matcher(words)
     assert got == {i: m.first(t) for i, t in enumerate(texts)}
+
+
+def test_closed_form_equals_automaton_on_30000_cases():
+    """The reported word is the earliest-ending one, ties to the longest: automaton = closed form."""
+    rng = random.Random(30000)
+    ties = 0
+    for _ in range(30000):
+        words = list({"".join(rng.choice("abcAB") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 6))})
+        text = "".join(rng.choice("abcABd ") for _ in range(rng.randint(0, 25)))
+        m = Matcher(words)
+        folded = text.translate(str.maketrans("AB", "ab"))
+        present = [(folded.find(w) + len(w), -len(w), w) for w in m.words if w in folded]
+        expect = min(present)[2] if present else None
+        if len(present) > 1 and sorted(present)[0][0] == sorted(present)[1][0]:
+            ties += 1
+        assert m.first(text) == expect
+    assert ties > 300  # the tie rule was exercised
