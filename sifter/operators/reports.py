@@ -134,6 +134,18 @@ def stuck_pending(posts: DataFrame, results: DataFrame, as_of_ms: int, age_ms: i
         .select("post_id", "user_id", "submitted_ms", (F.lit(as_of_ms) - F.col("submitted_ms")).alias("waiting_ms"))
 
 
+def reenqueue_tasks(posts: DataFrame, results: DataFrame, as_of_ms: int, age_ms: int) -> DataFrame:
+    """A10 -> P3: the review tasks to publish again for posts stuck in pending.
+
+    ``posts`` needs the stored columns (title, content, image_count or
+    images, submitted_ms); the tasks are built exactly as at creation.
+    """
+    from sifter.operators.ingest import build_tasks
+
+    stuck = stuck_pending(posts, results, as_of_ms, age_ms).select("post_id")
+    return build_tasks(posts.join(stuck, "post_id", "left_semi"), submitted_col="submitted_ms")
+
+
 # --------------------------------------------------------------------------- A11
 def backlog(deliveries: DataFrame, results: DataFrame, bucket_ms: int) -> DataFrame:
     """Per topic partition and time bucket: enqueued, done, and backlog at the bucket's end.

@@ -159,3 +159,14 @@ def test_latency_per_post(spark):
     res_df = spark.createDataFrame([(1, 1076), (2, 2306)], "post_id long, reviewed_ms long")
     got = {r.post_id: r.latency_ms for r in reports.latency_per_post(tasks, res_df).collect()}
     assert got == {1: 76, 2: 306}
+
+
+def test_reenqueue_tasks_for_stuck_posts(spark):
+    posts = spark.createDataFrame([(1, 7, "t1", "c1", 0, 1000, "pending"), (2, 7, "t2", "c2", 3, 1000, "pending"),
+                                   (3, 7, "t3", "c3", 0, 9000, "pending"), (4, 7, "t4", "c4", 0, 1000, "approved")],
+                                  "post_id long, user_id long, title string, content string, image_count int, "
+                                  "submitted_ms long, review_status string")
+    results = spark.createDataFrame([(1, "approved")], "post_id long, status string")
+    t = reports.reenqueue_tasks(posts, results, as_of_ms=10_000, age_ms=5_000).collect()
+    # post 1 has a result, post 3 is too young, post 4 is not pending: only post 2 goes again
+    assert [(r.post_id, r.content_snapshot, r.image_count) for r in t] == [(2, "c2", 3)]
