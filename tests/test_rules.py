@@ -135,3 +135,26 @@ def test_reputation_gate_on_a_frame(spark):
     got = {r.post_id: (r.status, r.reason, r.matched_word) for r in rules.reputation_gate(df).collect()}
     assert got == {1: ("manual_review", K.REASON_LOW_REPUTATION, ""), 2: ("approved", K.REASON_PASSED, ""),
                    3: ("rejected", "empty post", ""), 4: ("approved", K.REASON_PASSED, "")}
+
+
+def test_readme_usage_flow(spark):
+    from conftest import SF_SMALL
+    from sifter.operators import results as res
+    from sifter.operators.ingest import build_tasks, validate_posts
+    from sifter.sources import testdata as TD
+    from sifter.sources.tables import load_block_list, read_posts, read_users
+
+    raw = TD.posts(spark, SF_SMALL).withColumnRenamed("images_json", "images") \
+        .withColumn("created_at", F.timestamp_millis("submitted_ms"))
+    posts = read_posts(spark, raw)
+    accepted, refused = validate_posts(posts)
+    tasks = build_tasks(accepted, submitted_col="created_at")
+    words = load_block_list(spark, TD.raw_words(spark))
+    users = read_users(spark, TD.users(spark, SF_SMALL))
+    verdicts = moderate(tasks, words, users)
+    status = res.post_status(posts, verdicts)
+    feed = res.approved_feed(status, limit=20).collect()
+    reputation = res.update_reputation(users, res.violations(verdicts))
+    assert verdicts.count() == accepted.count() and accepted.count() + refused.count() == posts.count()
+    assert 0 < len(feed) <= 20 and all(r.review_status == "approved" for r in feed)
+    assert reputation.count() == users.count()
