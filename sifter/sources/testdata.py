@@ -136,13 +136,23 @@ def results(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFra
     return v.where(F.col("reviewed_ms") <= AS_OF_MS)
 
 
+def epoch_ms(df: DataFrame, col: str):
+    """Epoch milliseconds of a time column, whatever the session time zone.
+
+    A wall-clock (TIMESTAMP_NTZ) value is read as UTC; an instant is exact.
+    """
+    if dict(df.dtypes)[col] == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+    return F.unix_millis(F.col(col))
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """request_id, key, t_ms, http_status, latency_ms from ``events``."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     return e.select(
         F.col("event_id").alias("request_id"),
         F.col("user_id").alias("key"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("t_ms"),
+        epoch_ms(e, "ts").alias("t_ms"),
         F.when(F.col("event_type").isin("view", "click", "purchase"), F.lit(202))
         .when(F.col("event_type") == "signup", F.lit(429))
         .otherwise(F.lit(500)).alias("http_status"),
@@ -155,7 +165,7 @@ def lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("ts", "user_id", "event_type")
     return e.select(
         "user_id",
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("t_ms"),
+        epoch_ms(e, "ts").alias("t_ms"),
         F.col("event_type").isin("error", "signup", "purchase").alias("failed"),
     )
 

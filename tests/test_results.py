@@ -170,3 +170,16 @@ def test_reenqueue_tasks_for_stuck_posts(spark):
     t = reports.reenqueue_tasks(posts, results, as_of_ms=10_000, age_ms=5_000).collect()
     # post 1 has a result, post 3 is too young, post 4 is not pending: only post 2 goes again
     assert [(r.post_id, r.content_snapshot, r.image_count) for r in t] == [(2, "c2", 3)]
+
+
+def test_request_times_do_not_depend_on_session_zone(spark):
+    from conftest import SF_SMALL
+    from sifter.sources import testdata as TD
+
+    utc = [r.t_ms for r in TD.requests(spark, SF_SMALL).orderBy("request_id").limit(50).collect()]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ny = [r.t_ms for r in TD.requests(spark, SF_SMALL).orderBy("request_id").limit(50).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == ny
