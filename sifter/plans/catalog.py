@@ -556,19 +556,9 @@ STREAM_CHUNKS = 4
 STREAM_BATCHES = 3
 
 
-@register("moderate_stream", W(FL, "SELECT post_id, user_id, status, reason, matched_word, degraded FROM verdicts"))
-def q_moderate_stream(spark, sf):
-    """Task messages land in time-ordered chunks (redeliveries one chunk late, HTML poison mixed in).
-
-    One ``availableNow`` run consumes them in about ``STREAM_BATCHES``
-    micro-batches (``maxFilesPerTrigger``), in landing order; a redelivery is then skipped
-    against results of an earlier batch or deduplicated inside its batch.
-    """
-    from sifter.sources.stream import read_tasks_stream
-    from sifter.streaming.moderation_stream import moderate_stream
-
+def stage_task_flushes(spark, sf) -> str:
+    """Producer side of ``moderate_stream``: write the task messages as time-ordered flushes; returns the root."""
     root = checkpoint_root(spark, "queries", f"moderate_stream-{uuid.uuid4().hex}")
-    src, out, dlq, ckpt = (f"{root}/{p}" for p in ("source", "results", "dlq", "checkpoint"))
     d = TD.deliveries(spark, sf)
     span = TD.SUBMIT_STEP_MOD * 1000 // STREAM_CHUNKS
     chunk = F.floor((F.unix_millis("submitted_at") - F.lit(TD.EPOCH_MS)) / span) + (F.col("offset") % 2)
@@ -581,7 +571,16 @@ def q_moderate_stream(spark, sf):
         F.coalesce(F.col("html"), F.lit("")).alias("value"), (F.col("page_id") % STREAM_CHUNKS).cast("int").alias("chunk"))
     msgs = good.unionByName(pages)
     for k in range(STREAM_CHUNKS + 1):   # producer flushes, oldest first
-        msgs.where(F.col("chunk") == k).drop("chunk").write.mode("append").parquet(f"{src}/flush={k}")
+        msgs.where(F.col("chunk") == k).drop("chunk").write.mode("append").parquet(f"{root}/source/flush={k}")
+    return root
+
+
+def consume_task_flushes(spark, sf, root) -> DataFrame:
+    """Consumer side of ``moderate_stream``: one ``availableNow`` run, then the stored results."""
+    from sifter.sources.stream import read_tasks_stream
+    from sifter.streaming.moderation_stream import moderate_stream
+
+    src, out, dlq, ckpt = (f"{root}/{p}" for p in ("source", "results", "dlq", "checkpoint"))
     files = len(spark.read.schema("value string").parquet(f"{src}/flush=*").inputFiles())
     stream = read_tasks_stream(spark, f"{src}/flush=*", max_files_per_trigger=max(1, -(-files // STREAM_BATCHES)))
     moderate_stream(spark, stream, lambda: _words(spark), TD.users(spark, sf), out, dlq,
@@ -589,6 +588,18 @@ def q_moderate_stream(spark, sf):
     return spark.read.parquet(out).select(*VERDICT_COLUMNS)
 
 
+@register("moderate_stream", W(FL, "SELECT post_id, user_id, status, reason, matched_word, degraded FROM verdicts"))
+def q_moderate_stream(spark, sf):
+    """Task messages land in time-ordered flushes (redeliveries one flush late, HTML poison mixed in).
+
+    One ``availableNow`` run consumes them in about ``STREAM_BATCHES``
+    micro-batches (``maxFilesPerTrigger``), in landing order; a redelivery is
+    then skipped against results of an earlier batch or deduplicated inside
+    its batch.
+    """
+    return consume_task_flushes(spark, sf, stage_task_flushes(spark, sf))
+
+
 # =========================================================================== X3 (stream)
 @register("status_view", W(RS, f"""
 SELECT post_id, status, reviewed_ms AS updated_ms FROM results
