@@ -104,10 +104,11 @@ def prior_violations(df: DataFrame, flag_col: str, *, order_col: str = "submitte
     """Per author, how many earlier rows in (order_col, tie_col) order have ``flag_col`` = 1.
 
     A plain ``sum() over (partition by user_id order by ...)`` would send all
-    of an author's rows to one task; :func:`running_agg` spreads them over
-    (author, ``bucket_ms`` time bucket) cells instead.  One-minute cells give a
-    prolific author ~1,440 groups a day; the table of cell totals this costs
-    stays small (authors x active minutes).
+    of an author's rows to one task.  :func:`running_agg` keeps that plain
+    window for ordinary authors and spreads sampled heavy authors over
+    (author, ``bucket_ms`` time bucket) cells: one-minute cells give a
+    prolific author ~1,440 groups a day, and the cell-total table stays small
+    (heavy authors x active minutes).
     """
     t = F.col(order_col)
     ms = F.unix_millis(t) if dict(df.dtypes)[order_col].startswith("timestamp") else t

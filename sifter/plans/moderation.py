@@ -5,7 +5,8 @@ Plan shape (see ``tests/test_plans.py`` for the checks on it):
     tasks ─ rules 1-3 + word scan (map-only; the text is dropped right after)
           ─ A1 dedup (hash aggregate, partial) ─ J2 anti join prior results (slim rows)
           ─ checkpoint of the slim rows (read twice below, computed once)
-          ─ W1 prior rejections per author (bucketed, skew-spread windows)
+          ─ W1 prior rejections per author (plain window; sampled heavy authors
+            spread over one-minute cells)
           ─ J1 users (broadcast when measured small, else shuffle join)
           ─ E2/E3 status and reason
 
@@ -52,7 +53,8 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     Order among one author's posts: (submitted_at, post_id).
     ``materialize``: write the slim judged rows (ids, time, reason, word; no
     text) once to the session's checkpoint folder.  The running count reads
-    them twice (cell totals and rows); without this the scan would run twice.
+    them more than once (heavy-author sample, then the windows); without this
+    the scan would run again for each read.
     ``split_heavy``: sample for heavy authors and spread them over time cells.
     A bounded input (one micro-batch) can skip it; with ``materialize=False``
     the scan output is then read exactly once and nothing is written.
