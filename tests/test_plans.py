@@ -55,3 +55,14 @@ def test_prior_rejections_split_only_heavy_authors(spark, monkeypatch):
 def test_every_query_has_an_oracle_except_none():
     missing = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert missing == set()
+
+
+def test_no_query_uses_nested_loops_cross_products_or_row_udfs(spark):
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        if name in ("moderate_stream", "status_view"):  # they return a sink read-back
+            continue
+        p = plan(fn(spark, SF_SMALL))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert bad not in p, (name, bad)
