@@ -617,3 +617,61 @@ def q_status_view(spark, sf):
     msgs.write.mode("append").parquet(src)
     status_view_stream(spark, read_tasks_stream(spark, src), view, checkpoint=ckpt).awaitTermination()
     return read_status_view(spark, view, TD.AS_OF_MS)
+
+
+# =========================================================================== A10 -> P3
+@register("reenqueue_tasks", W(RS, f"""
+SELECT p.post_id, p.user_id, p.title, CAST(length(p.content) AS INTEGER) AS content_chars, p.image_count,
+       p.submitted_ms
+FROM posts p
+WHERE p.review_status = 'pending' AND p.submitted_ms < {TD.AS_OF_MS - STUCK_AGE_MS}
+  AND NOT EXISTS (SELECT 1 FROM results r WHERE r.post_id = p.post_id)"""))
+def q_reenqueue_tasks(spark, sf):
+    t = reports.reenqueue_tasks(TD.posts(spark, sf), _results(spark, sf), TD.AS_OF_MS, STUCK_AGE_MS)
+    return t.select("post_id", "user_id", "title", F.char_length("content_snapshot").alias("content_chars"),
+                    "image_count", F.unix_millis("submitted_at").alias("submitted_ms"))
+
+
+# =========================================================================== A7 (row form)
+@register("latency_per_post", W(RS, "SELECT post_id, reviewed_ms - submitted_ms AS latency_ms FROM results"))
+def q_latency_per_post(spark, sf):
+    return reports.latency_per_post(TD.tasks(spark, sf), _results(spark, sf))
+
+
+def _run_append_stream(spark, name: str, frame: DataFrame, to_stream) -> DataFrame:
+    """Write ``frame`` as files, run ``to_stream`` over them (append mode, availableNow), read the sink back."""
+    root = checkpoint_root(spark, "queries", f"{name}-{uuid.uuid4().hex}")
+    frame.write.parquet(f"{root}/source")
+    stream = spark.readStream.schema(frame.schema).parquet(f"{root}/source")
+    to_stream(stream).writeStream.format("parquet").option("path", f"{root}/sink") \
+        .option("checkpointLocation", f"{root}/checkpoint").outputMode("append") \
+        .trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/sink")
+
+
+# =========================================================================== X5 (stream form)
+@register("outage_windows_stream", W([O.LOOKUPS, _OUTAGES], f"""
+SELECT window_start_ms, window_end_ms, n, failures FROM outages
+WHERE window_end_ms <= (SELECT max(t_ms) FROM lookups) // {HOUR_MS} * {HOUR_MS}"""))
+def q_outage_windows_stream(spark, sf):
+    """Hourly windows emitted by the watermarked stream (delay 0): every window the last event closed."""
+    from sifter.streaming.windows import outage_windows_stream
+
+    lk = TD.lookups(spark, sf).withColumn("ts", F.timestamp_millis("t_ms"))
+    return _run_append_stream(spark, "outage_windows_stream", lk,
+                              lambda s: outage_windows_stream(s, interval="1 hour", delay="0 seconds"))
+
+
+# =========================================================================== X6 (stream form)
+@register("throughput_stream", W(RS, f"""
+SELECT (reviewed_ms // {THROUGHPUT_BUCKET_MS}) * {THROUGHPUT_BUCKET_MS} AS bucket_start_ms, count(*) AS results
+FROM results
+WHERE reviewed_ms < (SELECT max(reviewed_ms) FROM results) // {THROUGHPUT_BUCKET_MS} * {THROUGHPUT_BUCKET_MS}
+GROUP BY ALL"""))
+def q_throughput_stream(spark, sf):
+    """Ten-minute completion counts emitted by the watermarked stream (delay 0)."""
+    from sifter.streaming.windows import throughput_stream
+
+    r = _results(spark, sf).withColumn("reviewed_at", F.timestamp_millis("reviewed_ms"))
+    return _run_append_stream(spark, "throughput_stream", r,
+                              lambda s: throughput_stream(s, interval="10 minutes", delay="0 seconds"))
