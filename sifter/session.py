@@ -61,7 +61,11 @@ def get_session(master: str | None = None, app_name: str = "sifter",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only if unset."""
+    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only if unset in local mode.
+
+    On a cluster an unset folder is an error: a machine-local folder would
+    scatter checkpoint files over the executors' disks.
+    """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
@@ -70,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares (HDFS, object store)")
     local = tempfile.mkdtemp(prefix="sifter-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
