@@ -1,0 +1 @@
+"""Composed jobs: the flagship moderation plan, the registered query catalogue and its DuckDB oracle SQL."""
