@@ -32,3 +32,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["post_id", "user_id", "status", "reason", "matched_word", "degraded"]
     assert df.count() == 200
+
+
+@pytest.mark.parametrize("name", ["moderate", "admission", "applied_status", "latency_percentiles", "backlog"])
+def test_answers_do_not_depend_on_partitioning(spark, con, name):
+    """Same answer with many shuffle partitions and adaptive execution off."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    rel = con.sql(E.oracle_sql()[name])
+    assert digest(df.columns, srows) == digest(rel.columns, rel.fetchall())
