@@ -49,6 +49,11 @@ def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_C
     from sifter.sources.tables import BlockListTooLarge
 
     cols = list(tasks.columns)
+    # Go zero values for NULLs (as the decoder gives them): "" text, 0 images.
+    zeroed = {"title": F.coalesce(F.col("title"), F.lit("")),
+              "content_snapshot": F.coalesce(F.col("content_snapshot"), F.lit("")),
+              "image_count": F.coalesce(F.col("image_count"), F.lit(0))}
+    tasks = tasks.select(*[zeroed[c].alias(c) if c in zeroed else F.col(c) for c in cols])
     pre = content_reason(F.col("content_snapshot"), F.col("image_count"), max_content, max_images)
     staged = tasks.select(*cols, pre.alias("_pre"))
     if isinstance(words, DataFrame):

@@ -158,3 +158,10 @@ def test_readme_usage_flow(spark):
     assert verdicts.count() == accepted.count() and accepted.count() + refused.count() == posts.count()
     assert 0 < len(feed) <= 20 and all(r.review_status == "approved" for r in feed)
     assert reputation.count() == users.count()
+
+
+def test_null_fields_act_as_zero_values(spark):
+    df = spark.createDataFrame([(1, 1, None, None, None), (2, 1, None, "casino", None)],
+                               "post_id int, user_id int, title string, content_snapshot string, image_count int")
+    got = {r.post_id: r.rule_reason for r in rules.content_rules(df, WORDS).collect()}
+    assert got == {1: K.REASON_EMPTY, 2: K.REASON_SENSITIVE}
