@@ -97,16 +97,23 @@ def _matcher(bc, key: str) -> Matcher:
     if m is None:
         if len(cache) >= 4:  # a few lists per worker at a time keeps memory bounded
             cache.clear()
-        m = cache[key] = Matcher(bc.value)
+        m = cache[key] = Matcher(bc.value if hasattr(bc, "value") else bc)
     return m
 
 
 def _broadcast(words: Sequence[str]):
-    """(broadcast of the list, content hash of the list)."""
+    """(broadcast of the list, content hash of the list).
+
+    Without a SparkContext (Spark Connect) the size-checked list travels in
+    the UDF's closure instead, once per task rather than once per executor.
+    """
     ship_by_value(__name__)
     spark = SparkSession.getActiveSession()
     key = hashlib.sha1("\x00".join(words).encode("utf-8")).hexdigest()
-    return spark.sparkContext.broadcast(tuple(words)), key
+    try:
+        return spark.sparkContext.broadcast(tuple(words)), key
+    except Exception:  # noqa: BLE001 - no SparkContext on this client
+        return tuple(words), key
 
 
 def automaton_first_match(text: Column, words: Sequence[str]) -> Column:
