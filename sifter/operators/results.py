@@ -15,7 +15,11 @@ from sifter import constants as K
 
 def dedup_deliveries(df: DataFrame, key: str = "post_id",
                      order_cols: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
-    """A1: one row per key, the first delivery (smallest position) wins."""
+    """A1: one row per key, the first delivery (smallest position) wins.
+
+    Every column of ``df`` rides in the ``min_by`` struct through the shuffle,
+    so pass only the columns needed (the flagship passes slim, post-scan rows).
+    """
     rest = [c for c in df.columns if c != key]
     order = F.struct(*[F.col(c) for c in order_cols])
     picked = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_row"))

@@ -344,7 +344,8 @@ SELECT post_id, "partition", "offset" FROM (
          row_number() OVER (PARTITION BY post_id ORDER BY "partition", "offset") AS rn
   FROM deliveries) WHERE rn = 1"""))
 def q_first_deliveries(spark, sf):
-    return res.dedup_deliveries(TD.deliveries(spark, sf)).select("post_id", "partition", "offset")
+    # project first: min_by over a row struct keeps every column it is given
+    return res.dedup_deliveries(TD.deliveries(spark, sf).select("post_id", "partition", "offset"))
 
 
 _EVENTS = """
