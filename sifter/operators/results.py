@@ -99,9 +99,19 @@ def approved_feed(posts: DataFrame, limit=K.FEED_DEFAULT_LIMIT) -> DataFrame:
         .orderBy(F.col("post_id").desc()).limit(feed_limit(limit))
 
 
-def status_lookup(posts: DataFrame, ids: DataFrame, id_col: str = "post_id") -> DataFrame:
-    """Status for each asked id, whatever the state; ``found`` is false for unknown ids."""
+def status_lookup(posts: DataFrame, ids: DataFrame, id_col: str = "post_id",
+                  view: DataFrame | None = None) -> DataFrame:
+    """Status for each asked id, whatever the state; ``found`` is false for unknown ids.
+
+    ``view``: live status-view entries (post_id, status), e.g. from
+    :func:`sifter.streaming.status_view.read_status_view`; read first, as the
+    service reads its cache before the table.
+    """
     p = posts.select(F.col("post_id").alias("_pid"), F.col("review_status").alias("_st"))
     j = ids.select(F.col(id_col).alias("post_id")).join(p, F.col("post_id") == F.col("_pid"), "left")
-    return j.select("post_id", F.col("_pid").isNotNull().alias("found"),
-                    F.col("_st").alias("review_status"))
+    status = F.col("_st")
+    if view is not None:
+        v = view.select(F.col("post_id").alias("_vid"), F.col("status").alias("_vst"))
+        j = j.join(v, F.col("post_id") == F.col("_vid"), "left")
+        status = F.coalesce(F.col("_vst"), status)
+    return j.select("post_id", F.col("_pid").isNotNull().alias("found"), status.alias("review_status"))

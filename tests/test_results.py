@@ -61,6 +61,9 @@ def test_feed_and_lookup(spark):
     ids = spark.createDataFrame([(2,), (3,), (500,)], "post_id bigint")
     got = {r.post_id: (r.found, r.review_status) for r in res.status_lookup(posts, ids).collect()}
     assert got == {2: (True, "pending"), 3: (True, "approved"), 500: (False, None)}
+    view = spark.createDataFrame([(2, "rejected")], "post_id bigint, status string")
+    cached = {r.post_id: r.review_status for r in res.status_lookup(posts, ids, view=view).collect()}
+    assert cached == {2: "rejected", 3: "approved", 500: None}  # the live cache entry is read first
 
 
 def test_running_agg_equals_plain_window_with_hot_key(spark):
