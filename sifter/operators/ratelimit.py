@@ -61,7 +61,9 @@ def token_bucket(requests: DataFrame, *, key: str = "key", time_col: str = "t_ms
                  burst: int = K.RATE_BURST, cost: int = 1, cell_ms: int | None = None) -> DataFrame:
     """Every request with ``admitted`` and ``tokens_left`` (in units of 1/period_ms token).
 
-    ``requests`` needs ``key``, ``time_col`` (epoch ms) and a unique ``id_col``.
+    ``requests`` needs ``key``, ``time_col`` (epoch ms) and a unique ``id_col``;
+    every column it has is carried through the fold (Catalyst cannot prune
+    columns through ``mapInPandas``), so pass only the columns needed.
     Segments are hash-partitioned on (key, segment) and sorted inside each
     partition; ``mapInPandas`` then folds them as a stream of Arrow batches
     with O(1) state, so no group is ever held in memory as a whole.

@@ -518,8 +518,9 @@ tb(key, rn, request_id, t_ms, tokens, admitted) AS (
 
 
 def _admission(spark, sf) -> DataFrame:
-    return token_bucket(TD.requests(spark, sf), tokens_per_period=R1_TOKENS_PER_PERIOD,
-                        period_ms=R1_PERIOD_MS, burst=R1_BURST)
+    # project first: columns cannot be pruned through the Python fold
+    req = TD.requests(spark, sf).select("request_id", "key", "t_ms")
+    return token_bucket(req, tokens_per_period=R1_TOKENS_PER_PERIOD, period_ms=R1_PERIOD_MS, burst=R1_BURST)
 
 
 # =========================================================================== R1
