@@ -43,9 +43,15 @@ def status_view_stream(spark: SparkSession, messages: DataFrame, view_path: str,
 
 def read_status_view(spark: SparkSession, view_path: str, as_of_ms: int,
                      ttl_ms: int = STATUS_CACHE_TTL_MS) -> DataFrame:
-    """Live entries at ``as_of_ms``: latest write per post, younger than the TTL."""
-    v = spark.read.parquet(view_path)
+    """Live entries at ``as_of_ms``: latest write per post, younger than the TTL.
+
+    Rows are cut to the TTL window ``(as_of - ttl, as_of]`` before taking the
+    latest per post: a post is live exactly when its latest write as of
+    ``as_of`` lies in that window, and the cut is pushed down to the parquet
+    scan, so only the last minutes of writes are read however old the view.
+    """
+    v = spark.read.parquet(view_path).where(
+        (F.col("updated_ms") <= as_of_ms) & (F.col("updated_ms") > as_of_ms - ttl_ms))
     latest = v.groupBy("post_id").agg(
         F.max_by(F.struct("status", "updated_ms"), F.struct("updated_ms", "batch_id")).alias("_l"))
-    return latest.select("post_id", F.col("_l.status").alias("status"), F.col("_l.updated_ms").alias("updated_ms")) \
-        .where((F.col("updated_ms") <= as_of_ms) & (F.lit(as_of_ms) - F.col("updated_ms") < ttl_ms))
+    return latest.select("post_id", F.col("_l.status").alias("status"), F.col("_l.updated_ms").alias("updated_ms"))
