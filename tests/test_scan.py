@@ -169,3 +169,16 @@ def test_closed_form_equals_automaton_on_30000_cases():
             ties += 1
         assert m.first(text) == expect
     assert ties > 300  # the tie rule was exercised
+
+
+def test_flagship_same_with_both_scan_forms(spark):
+    from conftest import SF_SMALL
+    from sifter.plans import catalog
+    from sifter.plans.moderation import moderate
+    from sifter.sources import testdata as TD
+
+    def run(strategy):
+        v = moderate(TD.tasks(spark, SF_SMALL), catalog._words(spark), TD.users(spark, SF_SMALL), strategy=strategy)
+        return sorted(tuple(r) for r in v.collect())
+
+    assert run("native") == run("automaton")
