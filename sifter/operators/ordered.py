@@ -10,11 +10,10 @@ the work.  ``running_agg`` handles the two kinds of keys apart:
   order axis into cells (``cell``: non-decreasing along the order, e.g.
   ``floor(t / width)``):
 
-  1. per (key, cell), the running value inside the cell and the cell total
-     in one window pass; the shuffle is spread over keys x cells, so a hot
-     key spans many tasks;
-  2. per key, the total of all earlier cells: a window over the small
-     table of cell totals (heavy keys x cells);
+  1. per (key, cell), the running value inside the cell; the shuffle is
+     spread over keys x cells, so a hot key spans many tasks;
+  2. per (key, cell) totals by a partial (map-side) aggregate, then per key
+     the total of all earlier cells: a window over that small table;
   3. an equi-join of 2 onto 1 on (key, cell).
 
 * **all other keys** take one plain window partitioned by key: each holds
@@ -102,10 +101,12 @@ def _plain(x: DataFrame, keys, order, out, fn, inclusive) -> DataFrame:
 def _celled(x: DataFrame, keys, order, out, cell: Column, fn, inclusive) -> DataFrame:
     agg = _AGGS[fn]
     x = x.withColumn("_cell", cell)
-    in_cell = Window.partitionBy(*keys, "_cell")
-    inside = in_cell.orderBy(*[F.col(c) for c in order]).rowsBetween(*_frame(inclusive))
-    within = x.withColumn("_in", agg("_val").over(inside)).withColumn("_ctot", agg("_val").over(in_cell))
-    per_cell = within.groupBy(*keys, "_cell").agg(F.max("_ctot").alias("_cv"))
+    inside = Window.partitionBy(*keys, "_cell").orderBy(*[F.col(c) for c in order]) \
+        .rowsBetween(*_frame(inclusive))
+    within = x.withColumn("_in", agg("_val").over(inside))
+    # Cell totals straight from the input: partial aggregation on every task,
+    # so only (key, cell) partial results cross the network.
+    per_cell = x.groupBy(*keys, "_cell").agg(agg("_val").alias("_cv"))
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_cell.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_cell").alias("_o_cell"),
                               agg("_cv").over(earlier).alias("_off"))
