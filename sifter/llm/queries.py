@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sifter.llm.common import read_table
+from sifter.llm.packing import pack_documents
 from sifter.llm.sharding import assign_shards
+from sifter.llm.token_counts import count_tokens
 from sifter.llm.token_files import token_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +21,12 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, tokens and log-probability of every whole text under the unigram pieces."""
+    return count_tokens(read_table(spark, sf_dir, "documents"))
+
+
 @register
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of eight, its slot there and its shard of nine (law ``key``)."""
@@ -29,3 +37,9 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as rANS-coded ids, read back from the files."""
     return token_index(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 ids along the Hilbert curve: one row per piece."""
+    return pack_documents(read_table(spark, sf_dir, "documents"), with_ids=False)
