@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sifter.llm.common import read_table
+from sifter.llm.decontam import contamination, find_matches
 from sifter.llm.packing import pack_documents
 from sifter.llm.sharding import assign_shards
+from sifter.llm.simhash import near_duplicates
 from sifter.llm.token_counts import count_tokens
 from sifter.llm.token_files import token_index
 
@@ -43,3 +45,15 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 ids along the Hilbert curve: one row per piece."""
     return pack_documents(read_table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@register
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint of three-word shingles and its component at three bits."""
+    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+@register
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's benchmark words by windows of ten."""
+    return contamination(find_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))

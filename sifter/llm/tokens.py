@@ -98,28 +98,9 @@ class WordTable:
         return out
 
     def _encode_new(self, words: list[str]) -> None:
-        """Words ending in a letter and one '.' or ',' take the ids of the word and of the mark (they are
-        pre-tokens of their own), and ASCII words those of their lower-case form (the tokenizer lower-cases)."""
-        forms = []
-        for w in words:
-            letter = w[-2:-1].lower()  # one letter even in lower case, else the mark may join what follows it
-            base, mark = (w[:-1], w[-1]) if w[-1] in ".," and len(letter) == 1 and letter.isalpha() else (w, "")
-            forms.append((base.lower() if base.isascii() else base, mark))
-        index = self.index
-        need = ({f[0] for f in forms} | {".", ","}).difference(index)
-        plain = self._library(sorted(need))
-        order = list(plain)
-        self._append(list(plain.values()))
-        index.update(zip(order, range(len(index), len(index) + len(order))))
-        more = [(w, b, m) for w, (b, m) in zip(words, forms) if w not in index]
-        # a word with a mark is its own entry: the base's ids, then the mark's
-        base = np.fromiter((index[b] for _, b, _ in more), np.int64, len(more))
-        mark = np.fromiter((index[m] for _, _, m in more), np.int64, len(more))
-        pairs = np.stack([base, mark], axis=1).ravel()
-        ids, lens = self.gather(pairs)
-        lens = lens.reshape(-1, 2).sum(axis=1)
-        self._append_flat(ids, lens)
-        index.update(zip((w for w, _, _ in more), range(len(index), len(index) + len(more))))
+        new = self._library(words)
+        self._append(list(new.values()))
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
 
     def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the table's entries ``at``, one after the other, and how many each has."""
@@ -137,12 +118,12 @@ class WordTable:
         if len(self.index) + len(fresh) > self.max_words and len(self.index) > 1:
             self.clear()
             fresh = [w for w in words if w]
-        self._encode_new(fresh)
+        self._encode_new(fresh)  # distinct
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
     def entries(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(distinct entries, which of them each word is, words of each text)."""
-        lists, words = split_words(texts)
+        lists, words = split_words(set_marks_apart(texts))
         coded = pc.dictionary_encode(words)
         at = self.look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         return at, coded.indices.to_numpy(zero_copy_only=False), np.diff(lists)
@@ -163,6 +144,28 @@ class WordTable:
         return np.bincount(ids, weights=times, minlength=size).astype(np.int64)
 
 
+def set_marks_apart(texts: pa.Array) -> pa.Array:
+    """The texts with A-Z lower-cased and a blank before each '.' or ',' that ends a word after one of a-z.
+
+    Both leave the ids as they are (the tokenizer lower-cases, and such a mark
+    is a pre-token of its own), but far fewer distinct words remain.
+    """
+    texts = translate(texts, byte_table(b"\n\t\r"))
+    _, offsets, data = texts.buffers()
+    if data is None or not data.size:
+        return texts
+    offsets, data = np.frombuffer(offsets, np.int32, len(texts) + 1), np.frombuffer(data, np.uint8)
+    ends_word = np.append(data[1:] == 0x20, True)
+    last = offsets[1:][offsets[1:] > offsets[:-1]] - 1
+    ends_word[last] = True
+    after = np.append(False, (data[:-1] >= 0x61) & (data[:-1] <= 0x7A))
+    after[offsets[:-1][offsets[1:] > offsets[:-1]]] = False
+    marks = np.flatnonzero(((data == 0x2E) | (data == 0x2C)) & ends_word & after)
+    moved = offsets + np.searchsorted(marks, offsets)
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(moved.astype(np.int32)),
+                                       pa.py_buffer(np.insert(data, marks, np.uint8(0x20)).tobytes()))
+
+
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Offsets per text and the words: split at each blank, tab and line end (empty words between two of them)."""
     for ch in "\n\t\r":
@@ -172,6 +175,36 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return offsets - offsets[0], lists.flatten()
 
 
+def byte_table(separators: bytes, lower: bool = True) -> bytes:
+    """A byte translation: separators to blanks and, if asked for, A-Z to a-z.  ASCII only, so UTF-8 stays valid."""
+    table = bytearray(range(256))
+    if lower:
+        table[0x41:0x5B] = range(0x61, 0x7B)
+    for b in separators:
+        table[b] = 0x20
+    return bytes(table)
+
+
+def translate(texts: pa.Array, table: bytes) -> pa.Array:
+    """All texts through a byte translation, in one call over their buffer."""
+    _, offsets, data = texts.buffers()
+    if data is None:
+        return texts
+    offsets = np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset)
+    first, last = int(offsets[0]), int(offsets[-1])
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer((offsets - first).astype(np.int32)),
+                                       pa.py_buffer(data[first:last].to_pybytes().translate(table)))
+
+
+def real_words(texts: pa.Array, table: bytes) -> tuple[np.ndarray, pa.Array]:
+    """(words of each text, all words) after the translation; no word is empty.  NULL must have become empty."""
+    lists = pc.split_pattern(translate(texts, table), " ")
+    offsets, words = lists.offsets.to_numpy(), lists.flatten()
+    real = pc.greater(pc.binary_length(words), 0)
+    upto = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return np.diff(upto[offsets - offsets[0]]), words.filter(real)
+
+
 def word_table(path: str | None = None) -> WordTable:
     """The worker's table for the vocabulary at ``path``."""
     path = path or vocab_path()
