@@ -213,7 +213,7 @@ def _forest(key: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.ndarray
         if not len(a):
             break
         b = a + step
-        near = np.bitwise_count(fps[a] ^ fps[b]) <= distance
+        near = np.bitwise_count((fps[a] ^ fps[b]).view(np.uint64)) <= distance  # of a signed number it counts the magnitude
         x, y = a[near], b[near]
         while True:
             lx, ly = label[x], label[y]
