@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sifter.llm.common import read_table
 from sifter.llm.decontam import contamination, find_matches
+from sifter.llm.line_dedup import dedup_lines
 from sifter.llm.packing import pack_documents
 from sifter.llm.sharding import assign_shards
 from sifter.llm.simhash import near_duplicates
 from sifter.llm.token_counts import count_tokens
 from sifter.llm.token_files import token_index
+from sifter.llm.topk import top_k
+from sifter.llm.toxicity import classify
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,18 +38,48 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read_table(spark, sf_dir, "documents"), shards=8)
 
 
+@register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity from classifiers trained on confirmed toxic and unlabelled text."""
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @register
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as rANS-coded ids, read back from the files."""
     return token_index(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the later copies of line runs of 50 words or more."""
+    return dedup_lines(read_table(spark, sf_dir, "documents"), min_words=50).select("doc_id", "text", "n_lines_dropped")
+
+
 @register
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 ids along the Hilbert curve: one row per piece."""
     return pack_documents(read_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+@register
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best whole inner products of every twentieth vector with all others."""
+    return top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op7_topk"] = """
+WITH w AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND list_count(embedding) = len(embedding)
+             AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM w q JOIN w c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 @register
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint of three-word shingles and its component at three bits."""
@@ -57,3 +90,24 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's benchmark words by windows of ten."""
     return contamination(find_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
+
+
+ORACLE["op9_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+       FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+widths AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, widths WHERE len(w) >= n)),
+m AS (SELECT doc_id, i, dw.n, item FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
