@@ -67,16 +67,17 @@ def fingerprints_of(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of every whole text."""
+    """doc_id and fp (the 64 bits as a long) of every whole text, and _row if ``docs`` has it."""
+    keys = ["doc_id", *(c for c in docs.columns if c == "_row")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in groups(batch.column(1), GROUP_BYTES):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(fingerprints_of(texts, shingle).view(np.int64))],
-                    ["doc_id", "fp"])
+                    [pa.array(fingerprints_of(texts, shingle).view(np.int64))]
+                    + [c.slice(first, len(texts)) for c in (batch.column(0), *batch.columns[2:])], ["fp", *keys])
 
-    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return only(docs, keys[0], "text", *keys[1:]).mapInArrow(run, "fp long, " + ", ".join(f"{k} long" for k in keys))
 
 
 # --- partitions and thresholds -----------------------------------------------------
@@ -308,21 +309,26 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE, parts: int = PARTS
     crowded = large(keys, "key")
     if crowded.isEmpty():
         return _bucket_links(keys, "key", distance, width)
-    out = _bucket_links(keys.join(crowded, "key", "left_anti"), "key", distance, width)
+    # members of a crowded bucket again, by an exact match on one of ``distance`` + 1 shares of the other bits
+    finer, shares = None, []
     for k, places in enumerate(bits):
-        # members of a crowded bucket again, by an exact match on one of ``distance`` + 1 shares of the other bits
         rest = [b for b in range(64) if b not in places]
         mine = keys.join(crowded.filter(F.col("key") % parts == k), "key", "left_semi")
         for j in range(distance + 1):
             share = rest[j::distance + 1]
-            finer = mine.select(F.xxhash64("key", value_of(F.col("fp"), share)).alias("bucket"), "fp").distinct()
-            dense = large(finer, "bucket")
-            if dense.isEmpty():
-                out = out.unionByName(_bucket_links(finer, "bucket", distance, width))
-                continue
-            out = out.unionByName(_bucket_links(finer.join(dense, "bucket", "left_anti"), "bucket", distance, width))
-            free = [b for b in range(64) if b not in share and (thresholds[k] > 0 or b not in places)]
-            out = out.unionByName(_hub_links(finer.join(dense, "bucket", "left_semi"), free, distance))
+            one = mine.select(F.lit(len(shares)).alias("split"), "fp",
+                              F.xxhash64("key", F.lit(j), value_of(F.col("fp"), share)).alias("bucket"))
+            # a threshold of 0 is an exact match on the partition too
+            shares.append([b for b in range(64) if b not in share and (thresholds[k] > 0 or b not in places)])
+            finer = one if finer is None else finer.unionByName(one)
+    finer = materialize(finer.distinct(), "finer-buckets")
+    dense = large(finer, "bucket")
+    out = (_bucket_links(keys.join(crowded, "key", "left_anti"), "key", distance, width)
+           .unionByName(_bucket_links(finer.join(dense, "bucket", "left_anti"), "bucket", distance, width)))
+    if not dense.isEmpty():
+        for split, free in enumerate(shares):
+            out = out.unionByName(_hub_links(finer.filter(F.col("split") == split).join(dense, "bucket", "left_semi"),
+                                             free, distance))
     return out
 
 
@@ -336,15 +342,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     are one fingerprint before anything is compared, so a group of copies of
     any size costs one row.
     """
+    return _linked(docs, shingle, distance, parts).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _linked(docs: DataFrame, shingle: int, distance: int, parts: int) -> DataFrame:
+    """doc_id, fp, root and component_id of each row (and _row, where ``docs`` has it)."""
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = connected_components(near_links(distinct.select("fp"), distance, parts))
     rooted = (distinct.join(roots, F.col("fp") == F.col("node"), "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return (fps.join(names, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    return fps.join(rooted.select("fp", "root").join(least, "root"), "fp")
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
+    """The row of each component that stays, with its columns: the least doc_id (NULL last), then the first row."""
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    kept = (_linked(rows, shingle, distance, parts).groupBy("root")
+            .agg(F.min_by("_row", order).alias("_row")).select("_row"))
+    return rows.join(kept, "_row", "left_semi").drop("_row")
 
 
 ship_by_value(__name__)
