@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sifter.llm.common import read_table
 from sifter.llm.decontam import contamination, find_matches
 from sifter.llm.line_dedup import dedup_lines
+from sifter.llm.lm import score_documents
 from sifter.llm.packing import pack_documents
 from sifter.llm.sharding import assign_shards
 from sifter.llm.simhash import near_duplicates
@@ -92,6 +93,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(find_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
 
 
+@register
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's unigram score and attention-model score."""
+    return score_documents(read_table(spark, sf_dir, "documents"))
+
+
 ORACLE["op9_decontamination"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
