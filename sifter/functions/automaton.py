@@ -7,8 +7,7 @@ once per worker process and reused for every batch and task after it.  Rows
 that an earlier rule already decided should be passed as NULL: they cross
 the JVM/Python boundary as a null bit and are not scanned.
 
-``pyahocorasick`` (C) does the scan when importable; otherwise a per-word
-``str.find`` loop gives the same answer more slowly.
+``pyahocorasick`` (C) does the scan and must be on every Python worker.
 """
 
 from __future__ import annotations
@@ -39,54 +38,39 @@ class Matcher:
         self._ac = None
         if self.words:
             try:
-                import ahocorasick  # baked-in C extension
-
-                ac = ahocorasick.Automaton()
-                for w in self.words:
-                    ac.add_word(w, (len(w), w))
-                ac.make_automaton()
-                self._ac = ac
-            except ImportError:  # pragma: no cover - depends on the image
-                self._ac = None
+                import ahocorasick
+            except ImportError as e:  # a loop over all words would cost words x text without a word said
+                raise RuntimeError("long block lists need pyahocorasick on every Python worker "
+                                   "(requirements.txt)") from e
+            ac = ahocorasick.Automaton()
+            for w in self.words:
+                ac.add_word(w, (len(w), w))
+            ac.make_automaton()
+            self._ac = ac
 
     def first(self, text: str | None) -> str | None:
         if text is None or not self.words:
             return None
         t = text.translate(_FOLD)
-        if self._ac is not None:
-            best_end, best = -1, None
-            for end, (n, w) in self._ac.iter(t):
-                if best is None:
-                    best_end, best = end, (n, w)
-                elif end == best_end:
-                    if n > best[0]:
-                        best = (n, w)
-                else:
-                    break
-            return None if best is None else best[1]
-        best_key, best_word = None, None
-        for w in self.words:
-            i = t.find(w)
-            if i >= 0:
-                key = (i + len(w), -len(w))
-                if best_key is None or key < best_key:
-                    best_key, best_word = key, w
-        return best_word
+        best_end, best = -1, None
+        for end, (n, w) in self._ac.iter(t):
+            if best is None:
+                best_end, best = end, (n, w)
+            elif end == best_end:
+                if n > best[0]:
+                    best = (n, w)
+            else:
+                break
+        return None if best is None else best[1]
 
     def all(self, text: str | None) -> list[str] | None:
         if text is None:
             return None
         t = text.translate(_FOLD)
         seen: dict[str, tuple[int, int]] = {}
-        if self._ac is not None:
-            for end, (n, w) in self._ac.iter(t):
-                if w not in seen:
-                    seen[w] = (end, -n)
-        else:
-            for w in self.words:
-                i = t.find(w)
-                if i >= 0:
-                    seen[w] = (i + len(w) - 1, -len(w))
+        for end, (n, w) in self._ac.iter(t) if self.words else ():
+            if w not in seen:
+                seen[w] = (end, -n)
         return [w for w, _ in sorted(seen.items(), key=lambda kv: kv[1])]
 
 
@@ -101,8 +85,11 @@ def _matcher(bc, key: str) -> Matcher:
     return m
 
 
+_SHARED: dict[tuple[str, str], object] = {}  # one broadcast per list and application
+
+
 def _broadcast(words: Sequence[str]):
-    """(broadcast of the list, content hash of the list).
+    """(broadcast of the list, content hash of the list); a list met before reuses its broadcast.
 
     Without a SparkContext (Spark Connect) the size-checked list travels in
     the UDF's closure instead, once per task rather than once per executor.
@@ -110,10 +97,14 @@ def _broadcast(words: Sequence[str]):
     ship_by_value(__name__)
     spark = SparkSession.getActiveSession()
     key = hashlib.sha1("\x00".join(words).encode("utf-8")).hexdigest()
-    try:
-        return spark.sparkContext.broadcast(tuple(words)), key
-    except Exception:  # noqa: BLE001 - no SparkContext on this client
+    if not hasattr(spark, "_jsc"):  # Spark Connect has no SparkContext
         return tuple(words), key
+    at = (spark.sparkContext.applicationId, key)
+    if at not in _SHARED:
+        while len(_SHARED) >= 8:
+            _SHARED.pop(next(iter(_SHARED)))  # its blocks go when no plan holds it
+        _SHARED[at] = spark.sparkContext.broadcast(tuple(words))
+    return _SHARED[at], key
 
 
 def automaton_first_match(text: Column, words: Sequence[str]) -> Column:

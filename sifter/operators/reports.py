@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sifter import constants as K
+from sifter.session import write_and_read
 
 
 # --------------------------------------------------------------------------- A5
@@ -40,42 +41,36 @@ def _pname(p: float) -> str:
     return f"p{s}"
 
 
-MAX_BANDS = 65536
-
-
 def rank_percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[str] = (),
-                     coarse_width: float | None = None, max_alias: str | None = None) -> DataFrame:
+                     max_alias: str | None = None) -> DataFrame:
     """For each p, the element at 0-based rank ``min(int(p * n), n - 1)`` of the sorted values.
 
     Exact (not ``percentile_approx``; not ``percentile_disc``, which rounds
     differently).  Rows are first reduced to (value, multiplicity) with a
-    partial aggregate.  Cumulative counts then use two levels: totals per
-    coarse band ``floor(value / coarse_width)`` (a window over bands only)
-    and a running count inside each band, so no task sorts the raw rows and
-    the one per-group window only sees band totals.  By default the band
-    width is the value range / ``MAX_BANDS`` (one min/max job), so that
-    window holds at most ``MAX_BANDS + 1`` rows per group whatever the data.
+    partial aggregate, and those are range-dealt into bands of about equal
+    depth, whatever the values' spread.  The few band totals tell which bands
+    hold a wanted rank; only those are sorted.  NULL ``by`` values are a group.
     """
     by = list(by)
     v = F.col(col)
-    if coarse_width is None:
-        lo, hi = df.agg(F.min(v), F.max(v)).first()
-        coarse_width = max(float(hi - lo) / MAX_BANDS, 1e-9) if lo is not None else 1.0
-    counts = df.where(v.isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c")) \
-        .withColumn("_band", F.floor(v / F.lit(coarse_width)))
+    counts = df.where(v.isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
+    counts = write_and_read(counts.repartitionByRange(*by, col).withColumn("_band", F.spark_partition_id()), "rank-bands")
     bands = counts.groupBy(*by, "_band").agg(F.sum("_c").alias("_bc"))
-    wb = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*by)
-    band_off = bands.select(*by, "_band",
-                            F.coalesce(F.sum("_bc").over(wb), F.lit(0)).alias("_before"),
-                            F.sum("_bc").over(wall).alias("_n"))
-    win = Window.partitionBy(*by, "_band").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("_upto", F.sum("_c").over(win)).join(band_off, by + ["_band"])
-    cum = cum.withColumn("_cum", F.col("_before") + F.col("_upto"))
-    aggs = []
-    for p in ps:
-        idx = F.least(F.floor(F.lit(p) * F.col("_n")), F.col("_n") - 1)
-        aggs.append(F.min(F.when(F.col("_cum") > idx, v)).alias(_pname(p)))
+    earlier = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_band").alias("_b"), "_bc",
+                         F.coalesce(F.sum("_bc").over(earlier), F.lit(0)).alias("_before"),
+                         F.sum("_bc").over(Window.partitionBy(*by)).alias("_n"))
+    ranks = [F.least(F.floor(F.lit(p) * F.col("_n")), F.col("_n") - 1) for p in ps] + [F.col("_n") - 1]
+    wanted = F.lit(False)
+    for r in ranks:
+        wanted = wanted | ((r >= F.col("_before")) & (r < F.col("_before") + F.col("_bc")))
+    bands = bands.where(wanted)
+    same = counts["_band"] == bands["_b"]
+    for c in by:
+        same = same & counts[c].eqNullSafe(bands[f"_by_{c}"])
+    inside = Window.partitionBy(*by, "_band").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.join(bands, same).withColumn("_cum", F.col("_before") + F.sum("_c").over(inside))
+    aggs = [F.min(F.when(F.col("_cum") > r, v)).alias(_pname(p)) for p, r in zip(ps, ranks)]
     if max_alias:
         aggs.append(F.max(v).alias(max_alias))
     return cum.groupBy(*by).agg(F.max("_n").alias("n"), *aggs)
@@ -203,18 +198,19 @@ def throughput(results: DataFrame, bucket_ms: int = 60_000, time_col: str = "rev
 
 
 # --------------------------------------------------------------------------- J5
-def degraded_during(results: DataFrame, outages: DataFrame, grid_ms: int = 3_600_000,
+def degraded_during(results: DataFrame, outages: DataFrame, interval_ms: int = 60_000,
                     time_col: str = "reviewed_ms") -> DataFrame:
     """Degraded verdicts that fall inside an outage window [start, end).
 
-    Range join as an equi-join on a time grid: each window is spread over
-    the grid cells it touches (a handful), each row sits in one cell, and
-    the exact bounds are checked after the equi-join.  No nested loop.
+    The join is on the cell of a time grid as wide as the windows
+    (``interval_ms``): a tumbling window is one cell, so a verdict meets its
+    own window only; other windows are spread over the cells they touch.  The
+    exact bounds are checked after the equi-join.
     """
-    cells = F.sequence(F.floor(F.col("window_start_ms") / grid_ms),
-                       F.floor((F.col("window_end_ms") - 1) / grid_ms))
+    cells = F.sequence(F.floor(F.col("window_start_ms") / interval_ms),
+                       F.floor((F.col("window_end_ms") - 1) / interval_ms))
     o = outages.select("window_start_ms", "window_end_ms", F.explode(cells).alias("_cell"))
     r = results.where(F.col("degraded")).select("post_id", F.col(time_col).alias("_t"),
-                                                F.floor(F.col(time_col) / grid_ms).alias("_cell"))
+                                                F.floor(F.col(time_col) / interval_ms).alias("_cell"))
     j = r.join(o, "_cell").where((F.col("_t") >= F.col("window_start_ms")) & (F.col("_t") < F.col("window_end_ms")))
     return j.select("post_id", "window_start_ms", "window_end_ms")

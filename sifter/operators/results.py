@@ -7,6 +7,8 @@ every mapper first; no operator gathers a key's rows into one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,10 +84,7 @@ def post_status(posts: DataFrame, results: DataFrame) -> DataFrame:
 
 def feed_limit(limit) -> int:
     """The feed's page size: non-numbers count as 0; <= 0 or > 100 becomes 20."""
-    try:
-        n = int(str(limit).strip())
-    except (TypeError, ValueError):
-        n = 0
+    n = int(str(limit)) if re.fullmatch(r"[+-]?[0-9]+", str(limit)) else 0
     return K.FEED_DEFAULT_LIMIT if n <= 0 or n > K.FEED_MAX_LIMIT else n
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sifter import constants as K
 from sifter.functions.text import code_points, scan_text
 from sifter.operators.ordered import no_heavy_keys, running_agg
-from sifter.operators.scan import first_match_col
+from sifter.operators.scan import chunked_hits, first_match_col, first_of_hits, prepare_scan_text, word_list_or_table
 
 
 def content_reason(content: Column, image_count: Column, max_content: int = K.MAX_CONTENT_CHARS,
@@ -36,18 +36,18 @@ def content_reason(content: Column, image_count: Column, max_content: int = K.MA
 
 
 def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_CHARS,
-                  max_images: int = K.MAX_IMAGES, strategy: str = "auto") -> DataFrame:
+                  max_images: int = K.MAX_IMAGES, strategy: str = "auto",
+                  max_words: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Adds ``rule_reason`` (NULL when rules 1-3 pass) and ``matched_word`` (NULL when none).
 
     Only rows that pass the cheap rules reach the scan; the others hand the
     scan a NULL text, which costs nothing on either side of the Arrow hop.
     The scan text is projected once before the scan: Catalyst does not share
     sub-expressions inside lambda functions, so inlining it would rebuild it
-    for every word.
+    for every word.  A list over the broadcast bound (``max_words``,
+    ``max_bytes``) is scanned in chunks, delivery by delivery, with the same
+    answers.
     """
-    from sifter.operators.scan import as_word_list, first_match_table, prepare_scan_text
-    from sifter.sources.tables import BlockListTooLarge
-
     cols = list(tasks.columns)
     # Go zero values for NULLs (as the decoder gives them): "" text, 0 images.
     zeroed = {"title": F.coalesce(F.col("title"), F.lit("")),
@@ -56,22 +56,14 @@ def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_C
     tasks = tasks.select(*[zeroed[c].alias(c) if c in zeroed else F.col(c) for c in cols])
     pre = content_reason(F.col("content_snapshot"), F.col("image_count"), max_content, max_images)
     staged = tasks.select(*cols, pre.alias("_pre"))
-    if isinstance(words, DataFrame):
-        try:
-            words = as_word_list(words)
-        except BlockListTooLarge:
-            pass
-    if isinstance(words, DataFrame):
-        # Block list over the broadcast bound: exact chunked scan, joined back by post.
-        scan_in = staged.where(F.col("_pre").isNull()) \
-            .select("post_id", scan_text("title", "content_snapshot").alias("_t"))
-        found = first_match_table(scan_in, "post_id", "_t", words, strategy=strategy) \
-            .where(F.col("matched_word").isNotNull()).withColumnRenamed("post_id", "_mpid")
-        judged = staged.join(found, staged["post_id"] == found["_mpid"], "left").drop("_mpid")
+    text = F.when(F.col("_pre").isNull(), scan_text("title", "content_snapshot"))
+    wl = word_list_or_table(tasks.sparkSession, words, max_words, max_bytes)
+    if isinstance(wl, DataFrame):
+        rows, hits = chunked_hits(staged.withColumn("_text", text), "_text", wl, strategy,
+                                  max_words=max_words, max_bytes=max_bytes)
+        judged = first_of_hits(rows, hits)
     else:
-        wl = as_word_list(words)
-        staged = staged.select(*cols, "_pre", prepare_scan_text(
-            F.when(F.col("_pre").isNull(), scan_text("title", "content_snapshot")), wl, strategy).alias("_text"))
+        staged = staged.select(*cols, "_pre", prepare_scan_text(text, wl, strategy).alias("_text"))
         hit = first_match_col(F.col("_text"), wl, strategy, prepared=True)
         judged = staged.select(*cols, "_pre", hit.alias("matched_word"))
     return judged.select(

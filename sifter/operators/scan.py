@@ -15,29 +15,39 @@ answer:
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-import math
-import uuid
-
 from sifter.functions import automaton as ac
 from sifter.functions.text import all_matches, ascii_fold, contains_any, first_match, fold_for_scan
+from sifter.session import checkpoint_root, write_and_read
 from sifter.sources import tables
 from sifter.sources.tables import collect_block_list
 
 NATIVE_MAX_WORDS = 48
 
 
-def as_word_list(words: DataFrame | Sequence[str]) -> list[str]:
-    """Folded, non-empty, distinct words from a DataFrame (size-checked) or a list."""
+def as_word_list(words: DataFrame | Sequence[str], max_words: int | None = None,
+                 max_bytes: int | None = None) -> list[str]:
+    """Folded, non-empty, distinct words from a DataFrame or a list; over the broadcast bound it raises."""
     if isinstance(words, DataFrame):
-        return collect_block_list(words)
+        return collect_block_list(words, max_words, max_bytes)
     from sifter.constants import LOWER_ASCII, UPPER_ASCII
     table = str.maketrans(UPPER_ASCII, LOWER_ASCII)
-    return sorted({w.translate(table) for w in words if w})
+    return tables.check_block_list(sorted({w.translate(table) for w in words if w}), max_words, max_bytes)
+
+
+def word_list_or_table(spark, words: DataFrame | Sequence[str], max_words: int | None = None,
+                       max_bytes: int | None = None) -> list[str] | DataFrame:
+    """The list to ship, or the word table when it is over the bound (then the scan goes chunk by chunk)."""
+    try:
+        return as_word_list(words, max_words, max_bytes)
+    except tables.BlockListTooLarge:
+        return words if isinstance(words, DataFrame) else tables.block_list_from_values(spark, words)
 
 
 def pick_strategy(words: Sequence[str], strategy: str = "auto") -> str:
@@ -87,23 +97,35 @@ def contains_any_col(text: Column, words: Sequence[str], strategy: str = "auto",
     return ac.automaton_first_match(text, words).isNotNull()
 
 
-def scan_texts(df: DataFrame, text_col: str, words, strategy: str = "auto",
-               keep: Sequence[str] = ()) -> DataFrame:
-    """S2+S3 over a table: keep columns, ``hit`` and ``matched_word`` (NULL when none)."""
-    wl = as_word_list(words)
-    staged = df.select(*keep, prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"))
-    fm = first_match_col(F.col("_text"), wl, strategy, prepared=True)
-    return staged.select(*keep, fm.alias("matched_word")).select(
-        *keep, F.col("matched_word").isNotNull().alias("hit"), "matched_word")
+def scan_texts(df: DataFrame, text_col: str, words, strategy: str = "auto", keep: Sequence[str] = (),
+               max_words: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """S2+S3 over a table: keep columns, ``hit`` and ``matched_word`` (NULL when none), for a list of any size."""
+    wl = word_list_or_table(df.sparkSession, words, max_words, max_bytes)
+    if isinstance(wl, DataFrame):
+        rows, hits = chunked_hits(df.select(*keep, F.col(text_col).alias("_text")), "_text", wl, strategy,
+                                  max_words=max_words, max_bytes=max_bytes)
+        found = first_of_hits(rows, hits)
+    else:
+        staged = df.select(*keep, prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"))
+        found = staged.select(*keep, first_match_col(F.col("_text"), wl, strategy, prepared=True).alias("matched_word"))
+    return found.select(*keep, F.col("matched_word").isNotNull().alias("hit"), "matched_word")
 
 
-def word_hits(df: DataFrame, id_col: str, text_col: str, words, strategy: str = "auto") -> DataFrame:
-    """J3/S4 in relational form: one row (id, word, rank) per word present in the text.
+def word_hits(df: DataFrame, id_col: str, text_col: str, words, strategy: str = "auto",
+              max_words: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """J3/S4 in relational form: one row (id, word, rank) per word present in the text, for a list of any size.
 
     The substring "join" is evaluated per text against the shipped list
     and then exploded, so there is no nested-loop join of texts x words.
     """
-    wl = as_word_list(words)
+    wl = word_list_or_table(df.sparkSession, words, max_words, max_bytes)
+    if isinstance(wl, DataFrame):
+        rows, hits = chunked_hits(df.select(id_col, F.col(text_col).alias("_text")), "_text", wl, strategy, every=True,
+                                  max_words=max_words, max_bytes=max_bytes)
+        # one text's words: at most the words of the list that it has room for
+        order = Window.partitionBy("_rk").orderBy("h")
+        return (hits.withColumn("rank", F.row_number().over(order)).join(rows.select("_rk", id_col), "_rk")
+                .select(id_col, F.col("h.word").alias("word"), "rank"))
     staged = df.select(F.col(id_col), prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"))
     arr = all_matches_col(F.col("_text"), wl, strategy, prepared=True)
     return staged.select(F.col(id_col), F.posexplode(arr).alias("rank", "word")) \
@@ -120,30 +142,9 @@ def block_list_fits(words: DataFrame, max_words: int | None = None,
     return st["n"] <= max_words and st["b"] <= max_bytes, st["n"], st["b"]
 
 
-def first_match_table(df: DataFrame, key_col: str, text_col: str, words: DataFrame, *,
-                      strategy: str = "auto", max_words: int | None = None,
-                      max_bytes: int | None = None) -> DataFrame:
-    """S3 for a block list of any size: (key, matched_word) for every row of ``df``.
-
-    A list within the broadcast bound is scanned in one map-only pass.  A
-    larger one is split by a hash of the word into chunks that each fit the
-    bound; each chunk is collected alone, scanned in its own pass, and its
-    hits (key, end, -length, word) are written to the session's checkpoint
-    folder, so the driver never holds more than one chunk.  The earliest-
-    ending (then longest) hit per key over all chunks is the answer, exactly
-    as if one automaton held the whole list.
-    """
-    max_words = max_words or tables.MAX_BLOCK_WORDS
-    max_bytes = max_bytes or tables.MAX_BLOCK_BYTES
-    try:
-        wl = collect_block_list(words, max_words, max_bytes)
-        return scan_texts(df, text_col, wl, strategy, keep=[key_col]).select(key_col, "matched_word")
-    except tables.BlockListTooLarge:
-        pass
+def word_chunks(words: DataFrame, max_words: int, max_bytes: int) -> tuple[DataFrame, int]:
+    """The words with a chunk number, and how many chunks: each fits the broadcast bound."""
     _, n, b = block_list_fits(words, max_words, max_bytes)
-    from sifter.session import checkpoint_root
-
-    spark = df.sparkSession
     chunks = max(math.ceil(n / max_words), math.ceil(b / max_bytes))
     while True:  # hash buckets are uneven: double the count until every chunk fits
         tagged = words.select("word", F.pmod(F.xxhash64("word"), F.lit(chunks)).alias("_chunk"))
@@ -151,28 +152,65 @@ def first_match_table(df: DataFrame, key_col: str, text_col: str, words: DataFra
                                              F.sum(F.octet_length("word")).alias("b")) \
             .agg(F.max("n").alias("n"), F.max("b").alias("b")).first()
         if worst["n"] <= max_words and worst["b"] <= max_bytes:
-            break
+            return tagged, chunks
         if chunks >= 4 * n:
             raise ValueError("a single block-list word is larger than the broadcast byte bound")
         chunks *= 2
+
+
+def chunked_hits(df: DataFrame, text_col: str, words: DataFrame, strategy: str = "auto", *, every: bool = False,
+                 max_words: int | None = None, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, hits) for a block list over the broadcast bound.
+
+    ``rows`` is ``df`` with a row number ``_rk``, written once, so repeated
+    ids stay apart and each chunk pass reads two columns.  The word table is
+    written once with its chunk numbers; each chunk fits the bound, is
+    collected alone and scanned in its own pass.  ``hits`` has (_rk, h) with h
+    = (end, -length, word), the order in which words are reported: per chunk
+    the first one, or with ``every`` all of them.
+    """
+    max_words = max_words or tables.MAX_BLOCK_WORDS
+    max_bytes = max_bytes or tables.MAX_BLOCK_BYTES
+    spark = df.sparkSession
+    rows = write_and_read(df.withColumn("_rk", F.monotonically_increasing_id()), "scan-rows")
+    tagged, chunks = word_chunks(write_and_read(words.select("word"), "scan-words"), max_words, max_bytes)
+    tagged = write_and_read(tagged, "scan-chunks")
     root = checkpoint_root(spark, "word-chunks", uuid.uuid4().hex)
-    texts = df.select(key_col, text_col)
+    wrote = False
     for c in range(chunks):
         wl = collect_block_list(tagged.where(F.col("_chunk") == c).select("word"), max_words, max_bytes)
         if not wl:
             continue
-        staged = texts.select(key_col, prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"),
-                              F.col(text_col).alias("_raw"))
-        hit = staged.select(key_col, "_raw", first_match_col(F.col("_text"), wl, strategy, prepared=True)
-                            .alias("word")).where(F.col("word").isNotNull())
+        staged = rows.select("_rk", prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"),
+                             F.col(text_col).alias("_raw"))
+        if every:
+            found = staged.select("_rk", "_raw", F.explode(
+                all_matches_col(F.col("_text"), wl, strategy, prepared=True)).alias("word"))
+        else:
+            found = staged.select("_rk", "_raw", first_match_col(F.col("_text"), wl, strategy, prepared=True)
+                                  .alias("word")).where(F.col("word").isNotNull())
         end = F.instr(ascii_fold(F.col("_raw")), F.col("word")) + F.char_length("word") - 1
-        hit.select(key_col, F.struct(end.alias("end"), (-F.char_length("word")).alias("neg_len"),
+        found.select("_rk", F.struct(end.alias("end"), (-F.char_length("word")).alias("neg_len"),
                                      F.col("word").alias("word")).alias("h")) \
             .write.mode("overwrite").parquet(f"{root}/chunk={c}")
-    hits = spark.read.schema(f"{key_col} {dict(df.dtypes)[key_col]}, "
-                             "h struct<end:int,neg_len:int,word:string>, chunk int").parquet(root)
-    best = hits.groupBy(key_col).agg(F.min("h").getField("word").alias("matched_word"))
-    return df.select(key_col).join(best, key_col, "left")
+        wrote = True
+    schema = "_rk long, h struct<end:int,neg_len:int,word:string>"
+    hits = spark.read.schema(schema + ", chunk int").parquet(root).drop("chunk") if wrote \
+        else spark.createDataFrame([], schema)
+    return rows, hits
+
+
+def first_of_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """``rows`` with ``matched_word``: the earliest-ending (then longest) hit of each row over all chunks."""
+    best = hits.groupBy("_rk").agg(F.min("h").getField("word").alias("matched_word"))
+    return rows.join(best, "_rk", "left")
+
+
+def first_match_table(df: DataFrame, key_col: str, text_col: str, words: DataFrame, *,
+                      strategy: str = "auto", max_words: int | None = None,
+                      max_bytes: int | None = None) -> DataFrame:
+    """S3 for a block list of any size: (key, matched_word) for every row of ``df``."""
+    return scan_texts(df, text_col, words, strategy, [key_col], max_words, max_bytes).select(key_col, "matched_word")
 
 
 def block_list_size(words: DataFrame) -> DataFrame:

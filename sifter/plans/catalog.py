@@ -21,7 +21,7 @@ from sifter.operators import ingest, reports, results as res, rules, scan
 from sifter.operators.ratelimit import token_bucket
 from sifter.plans import oracle as O
 from sifter.plans.moderation import VERDICT_COLUMNS, moderate
-from sifter.session import checkpoint_root
+from sifter.session import checkpoint_root, write_and_read
 from sifter.sources import jsonio, testdata as TD
 from sifter.sources.sinks import dead_letter_envelope
 from sifter.sources.tables import load_block_list, read_posts
@@ -96,7 +96,7 @@ def q_task_json_roundtrip(spark, sf):
     t = TD.tasks(spark, sf)
     msgs = t.select(jsonio.to_task_json(t).alias("value"))
     good, _ = jsonio.parse_tasks(msgs)
-    return good.select("post_id", "user_id", "title", "content_snapshot", "image_count",
+    return good.select("post_id", "user_id", "title", "content_snapshot", F.col("image_count").cast("int").alias("image_count"),
                        F.unix_millis("submitted_at").alias("submitted_ms"))
 
 
@@ -136,6 +136,57 @@ def q_dead_letter_summary(spark, sf):
     return reports.dead_letter_summary(dead_letter_envelope(poison))
 
 
+# =========================================================================== P4 on broken and odd messages
+_CASE = "doc_id % 12"
+_CASE_ID = f"CASE WHEN {_CASE} = 4 THEN -1 - doc_id ELSE doc_id END"
+_CASE_IMAGE = (f"CASE {_CASE} WHEN 1 THEN '' WHEN 2 THEN ',\"image_count\":null' WHEN 3 THEN ',\"image_count\":\"3\"' "
+               f"WHEN 9 THEN ',\"image_count\":5000000000' ELSE ',\"image_count\":4' END")
+_CASE_TIME = (f"CASE {_CASE} WHEN 5 THEN ',\"submitted_at\":\"2024-13-45T99:99:99Z\"' WHEN 10 THEN ',\"submitted_at\":null' "
+              f"ELSE ',\"submitted_at\":\"2024-02-29T12:00:00Z\"' END")
+
+
+def _case_sql(text_json: str, string: str) -> str:
+    """A document's case message, as SQL text that both engines read."""
+    message = (f"'{{\"post_id\":' || CAST({_CASE_ID} AS {string}) || ',\"user_id\":1,' || {text_json} "
+               f"|| ',\"title\":\"t\"' || {_CASE_IMAGE} || {_CASE_TIME} || '}}'")
+    return (f"CASE {_CASE} WHEN 6 THEN ({message}) || ({message}) WHEN 7 THEN ({message}) || ' tail' WHEN 8 THEN '' "
+            f"ELSE {message} END")
+
+
+_CASE_TEXT_DUCK = (f"CASE WHEN {_CASE} = 11 THEN '\"content_snapshot\":5' "
+                   "ELSE '\"content_snapshot\":' || CAST(to_json(coalesce(text, '')) AS VARCHAR) END")
+_CASE_TEXT_SPARK = (f"CASE WHEN {_CASE} = 11 THEN '\"content_snapshot\":5' ELSE "
+                    "substr(to_json(named_struct('content_snapshot', coalesce(text, ''))), 2, "
+                    "length(to_json(named_struct('content_snapshot', coalesce(text, '')))) - 2) END")
+
+
+@register("decode_cases", f"""
+WITH m AS (SELECT doc_id, {_case_sql(_CASE_TEXT_DUCK, "VARCHAR")} AS value FROM documents),
+o AS (SELECT *, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END AS whole FROM m),
+j AS (SELECT *, CASE WHEN whole THEN value ELSE '{{}}' END AS v FROM o),
+t AS (SELECT *, coalesce(json_type(v, '$.image_count'), 'NULL') AS image_kind,
+             coalesce(json_type(v, '$.content_snapshot'), 'NULL') AS text_kind,
+             coalesce(json_type(v, '$.post_id'), 'NULL') AS id_kind,
+             coalesce(json_type(v, '$.submitted_at'), 'NULL') AS time_kind,
+             TRY_CAST(json_extract_string(v, '$.submitted_at') AS TIMESTAMPTZ) AS sent FROM j),
+k AS (SELECT *, whole AND image_kind IN ('NULL', 'UBIGINT', 'BIGINT') AND text_kind IN ('NULL', 'VARCHAR')
+                AND id_kind IN ('NULL', 'UBIGINT') AND (time_kind = 'NULL' OR time_kind = 'VARCHAR' AND sent IS NOT NULL) AS ok FROM t)
+SELECT doc_id, ok,
+       CASE WHEN ok THEN coalesce(CAST(json_extract_string(v, '$.image_count') AS BIGINT), 0) END AS image_count,
+       CASE WHEN ok THEN CAST(length(json_extract_string(v, '$.content_snapshot')) AS BIGINT) END AS content_chars,
+       CASE WHEN ok THEN epoch_ms(sent) END AS submitted_ms
+FROM k""")
+def q_decode_cases(spark, sf):
+    """Every document as a task message, twelfths of them odd or broken: what decodes, and to what."""
+    m = TD.table(spark, sf, "documents").select("doc_id", F.expr(_case_sql(_CASE_TEXT_SPARK, "STRING")).alias("value"))
+    good, poison = jsonio.parse_tasks(m)
+    return good.select("doc_id", F.lit(True).alias("ok"), "image_count",
+                       F.char_length("content_snapshot").cast("bigint").alias("content_chars"),
+                       F.unix_millis("submitted_at").alias("submitted_ms")).unionByName(
+        poison.select("doc_id", F.lit(False).alias("ok"), F.lit(None).cast("bigint").alias("image_count"),
+                      F.lit(None).cast("bigint").alias("content_chars"), F.lit(None).cast("bigint").alias("submitted_ms")))
+
+
 # =========================================================================== P6
 @register("result_events", W(RS, "SELECT post_id, user_id, status, reason, degraded, reviewed_ms FROM results"))
 def q_result_events(spark, sf):
@@ -275,6 +326,40 @@ def q_content_rules(spark, sf):
     return rules.content_rules(TD.tasks(spark, sf), _words(spark)).select("post_id", "rule_reason", "matched_word")
 
 
+# =========================================================================== E4, S4, I2 with a long list from a table
+LONG_CTES = [O.POSTS, O.USERS, O.LONG_WORDS, O.JUDGED, O.VERDICTS]
+_VERDICT_SQL = "SELECT post_id, user_id, status, reason, matched_word, degraded FROM verdicts"
+CHUNK_WORDS = 400  # a bound that the benchmark's tokens exceed: the scan goes chunk by chunk
+
+
+def _long_words(spark, sf) -> DataFrame:
+    return load_block_list(spark, TD.benchmark_words(spark, sf))
+
+
+@register("moderate_long_list", W(LONG_CTES, _VERDICT_SQL))
+def q_moderate_long_list(spark, sf):
+    """The flagship with every token of the benchmark as block list: one automaton."""
+    return moderate(TD.tasks(spark, sf), _long_words(spark, sf), TD.users(spark, sf))
+
+
+@register("word_hits_long_list", W([O.POSTS, O.LONG_WORDS, _ALL_HITS], """
+SELECT post_id, word, row_number() OVER (PARTITION BY post_id ORDER BY end_pos, len DESC) AS rank
+FROM all_hits"""))
+def q_word_hits_long_list(spark, sf):
+    h = scan.word_hits(_posts_with_text(spark, sf), "post_id", "text", _long_words(spark, sf))
+    return h.select("post_id", "word", F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("moderate_chunked_list", W(LONG_CTES, _VERDICT_SQL))
+def q_moderate_chunked_list(spark, sf):
+    """The same list in chunks, over deliveries whose repeat carries another text; the first delivery counts."""
+    d = TD.deliveries(spark, sf)
+    repeat = F.col("offset") % 2 == 1
+    d = d.withColumn("content_snapshot", F.when(repeat, F.lit("changed")).otherwise(F.col("content_snapshot"))) \
+        .withColumn("title", F.when(repeat, F.lit("repeat")).otherwise(F.col("title")))
+    return moderate(d, _long_words(spark, sf), TD.users(spark, sf), max_words=CHUNK_WORDS)
+
+
 # =========================================================================== W1 + J1 (+E2 input)
 @register("reputation_at_review", W(FL, """
 SELECT post_id, user_id, CAST(prior_rejections AS BIGINT) AS prior_rejections,
@@ -282,7 +367,8 @@ SELECT post_id, user_id, CAST(prior_rejections AS BIGINT) AS prior_rejections,
 def q_reputation_at_review(spark, sf):
     judged = rules.content_rules(TD.tasks(spark, sf), _words(spark)) \
         .select("post_id", "user_id", "submitted_at", F.col("rule_reason").isNotNull().cast("int").alias("_rej"))
-    counted = rules.prior_violations(judged, "_rej")
+    # the running count reads its rows more than once when an author is heavy: slim rows, written once
+    counted = rules.prior_violations(write_and_read(judged, "judged"), "_rej")
     rep = rules.with_reputation(counted, TD.users(spark, sf))
     return rep.select("post_id", "user_id", "prior_rejections",
                       F.when(F.col("degraded"), F.lit(80)).otherwise(rules.reputation_when_judged(
@@ -334,7 +420,7 @@ FROM results r JOIN outages o ON r.reviewed_ms >= o.window_start_ms AND r.review
 WHERE r.degraded"""))
 def q_degraded_in_outage(spark, sf):
     outages = reports.outage_windows(TD.lookups(spark, sf), interval_ms=HOUR_MS)
-    return reports.degraded_during(_results(spark, sf), outages, grid_ms=HOUR_MS)
+    return reports.degraded_during(_results(spark, sf), outages, interval_ms=HOUR_MS)
 
 
 # =========================================================================== A1
@@ -442,6 +528,21 @@ def q_latency_percentiles(spark, sf):
     return reports.rank_percentiles(acc, "latency_ms", [0.5, 0.9, 0.99])
 
 
+# =========================================================================== A6, by a key with NULLs
+@register("latency_percentiles_by_key", W([O.REQUESTS], """
+SELECT bucket, max(n) AS n,
+       min(latency_ms) FILTER (WHERE idx = least(floor(CAST(0.5 AS DOUBLE) * n), n - 1)) AS p50,
+       min(latency_ms) FILTER (WHERE idx = least(floor(CAST(0.99 AS DOUBLE) * n), n - 1)) AS p99,
+       max(latency_ms) AS max_latency_ms
+FROM (SELECT bucket, latency_ms, row_number() OVER (PARTITION BY bucket ORDER BY latency_ms) - 1 AS idx,
+             count(*) OVER (PARTITION BY bucket) AS n
+      FROM (SELECT CASE WHEN key % 5 > 0 THEN key % 5 END AS bucket, latency_ms FROM requests))
+GROUP BY bucket"""))
+def q_latency_percentiles_by_key(spark, sf):
+    r = TD.requests(spark, sf).select(F.when(F.col("key") % 5 > 0, F.col("key") % 5).alias("bucket"), "latency_ms")
+    return reports.rank_percentiles(r, "latency_ms", [0.5, 0.99], by=["bucket"], max_alias="max_latency_ms")
+
+
 # =========================================================================== A7
 @register("moderation_latency", W(RS, "SELECT * FROM (" + _pct_sql(
     "(SELECT reviewed_ms - submitted_ms AS latency_ms FROM results)", "latency_ms")
@@ -602,22 +703,55 @@ def q_moderate_stream(spark, sf):
     return consume_task_flushes(spark, sf, stage_task_flushes(spark, sf))
 
 
-# =========================================================================== X3 (stream)
+# =========================================================================== A2, X3 (stream)
+# Write times of the two flushes of result events: the first is past the TTL at AS_OF_MS.
+FLUSH_MS = (TD.AS_OF_MS - 700_000, TD.AS_OF_MS - 100_000)
+
+
+def _flush_result_events(spark, sf, name: str, start_stream) -> str:
+    """Result events in two flushes, each applied before the next lands; returns the folder of the sink.
+
+    The second flush overrides posts with id % 10 = 3 to approved, with a
+    review time an hour *before* the first verdict's: what is applied last wins.
+    """
+    from sifter.sources.stream import read_tasks_stream
+
+    root = checkpoint_root(spark, "queries", f"{name}-{uuid.uuid4().hex}")
+    r = write_and_read(_results(spark, sf), "results")
+    late = r.where(F.col("post_id") % 10 == 3).withColumn("status", F.lit("approved")) \
+        .withColumn("reviewed_ms", F.col("reviewed_ms") - HOUR_MS)
+    for k, part in enumerate((r, late)):
+        ev = ingest.to_result_events(part, "reviewed_ms")
+        ev.select(F.lit("review-results").alias("topic"), (F.col("post_id") % 3).cast("int").alias("partition"),
+                  (F.col("post_id") * 2 + k).alias("offset"), F.col("post_id").cast("string").alias("key"),
+                  jsonio.to_result_json(ev).alias("value")).write.mode("append").parquet(f"{root}/source")
+        start_stream(spark, read_tasks_stream(spark, f"{root}/source"), f"{root}/sink", checkpoint=f"{root}/checkpoint",
+                     clock=lambda _, k=k: FLUSH_MS[k]).awaitTermination()
+    return f"{root}/sink"
+
+
+@register("applied_status_stream", W(RS + [_EVENTS], """
+SELECT p.post_id, coalesce(e.status, p.review_status) AS review_status
+FROM posts p LEFT JOIN (SELECT post_id, arg_max(status, "offset") AS status FROM result_events GROUP BY post_id) e
+  ON e.post_id = p.post_id"""))
+def q_applied_status_stream(spark, sf):
+    from sifter.streaming.status_view import applied_status_stream, read_applied_status
+
+    sink = _flush_result_events(spark, sf, "applied_status", applied_status_stream)
+    return read_applied_status(spark, TD.posts(spark, sf).select("post_id", "review_status"), sink)
+
+
 @register("status_view", W(RS, f"""
-SELECT post_id, status, reviewed_ms AS updated_ms FROM results
-WHERE {TD.AS_OF_MS} - reviewed_ms < 600000"""))
+SELECT post_id, arg_max(status, written_ms) AS status, max(written_ms) AS updated_ms
+FROM (SELECT post_id, 'pending' AS status, submitted_ms AS written_ms FROM posts
+      UNION ALL SELECT post_id, status, {FLUSH_MS[0]} FROM results
+      UNION ALL SELECT post_id, 'approved', {FLUSH_MS[1]} FROM results WHERE post_id % 10 = 3)
+GROUP BY post_id HAVING {TD.AS_OF_MS} - max(written_ms) < 600000"""))
 def q_status_view(spark, sf):
-    from sifter.sources.stream import read_tasks_stream
-    from sifter.streaming.status_view import read_status_view, status_view_stream
+    from sifter.streaming.status_view import read_status_view, seed_pending, status_view_stream
 
-    root = checkpoint_root(spark, "queries", f"status_view-{uuid.uuid4().hex}")
-    src, view, ckpt = (f"{root}/{p}" for p in ("source", "view", "checkpoint"))
-    ev = ingest.to_result_events(_results(spark, sf), "reviewed_ms")
-    msgs = ev.select(F.lit("review-results").alias("topic"), (F.col("post_id") % 3).cast("int").alias("partition"),
-                     (F.col("post_id") * 2).alias("offset"), F.col("post_id").cast("string").alias("key"),
-                     jsonio.to_result_json(ev).alias("value"))
-    msgs.write.mode("append").parquet(src)
-    status_view_stream(spark, read_tasks_stream(spark, src), view, checkpoint=ckpt).awaitTermination()
+    view = _flush_result_events(spark, sf, "status_view", status_view_stream)
+    seed_pending(TD.posts(spark, sf), view, F.col("submitted_ms"))
     return read_status_view(spark, view, TD.AS_OF_MS)
 
 

@@ -28,7 +28,6 @@ from sifter.operators.rules import (
     verdict_columns,
     with_reputation,
 )
-from sifter.operators.scan import as_word_list
 from sifter.session import ensure_checkpoint_dir
 
 VERDICT_COLUMNS = ["post_id", "user_id", "status", "reason", "matched_word", "degraded"]
@@ -39,7 +38,8 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
              max_content: int = K.MAX_CONTENT_CHARS, max_images: int = K.MAX_IMAGES,
              reputation_floor: int = K.REPUTATION_FLOOR, strategy: str = "auto",
              bucket_ms: int = 60_000, dedup: bool = True, keep_time: bool = False,
-             materialize: bool = True, split_heavy: bool = True) -> DataFrame:
+             materialize: bool = True, split_heavy: bool = True,
+             max_words: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Judge every task once.
 
     ``tasks``: post_id, user_id, title, content_snapshot, image_count,
@@ -55,16 +55,14 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     text) once to the session's checkpoint folder.  The running count reads
     them more than once (heavy-author sample, then the windows); without this
     the scan would run again for each read.
+    ``max_words``, ``max_bytes``: broadcast bound of the block list; beyond it
+    the scan goes chunk by chunk with the same verdicts.
+    Building the frame runs jobs: the list is collected, the slim rows are
+    written, and heavy authors are looked for.
     ``split_heavy``: sample for heavy authors and spread them over time cells.
     A bounded input (one micro-batch) can skip it; with ``materialize=False``
     the scan output is then read exactly once and nothing is written.
     """
-    from sifter.sources.tables import BlockListTooLarge
-
-    try:
-        wl = as_word_list(words)
-    except BlockListTooLarge:
-        wl = words  # content_rules takes the exact chunked path for a DataFrame list
     positions = dedup and "partition" in tasks.columns and "offset" in tasks.columns
     pos_cols = ["partition", "offset"] if positions else []
     t = tasks.select("post_id", "user_id", "title", "content_snapshot", "image_count", "submitted_at", *pos_cols)
@@ -72,7 +70,8 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     # Rules 1-3 and the scan first, map-only; from here on rows are slim, so
     # dedup (A1) and the done-work check (J2) shuffle ids, never post text.
     # A repeated delivery costs one more scan of its text instead.
-    judged = content_rules(t, wl, max_content=max_content, max_images=max_images, strategy=strategy) \
+    judged = content_rules(t, words, max_content=max_content, max_images=max_images, strategy=strategy,
+                           max_words=max_words, max_bytes=max_bytes) \
         .select("post_id", "user_id", "submitted_at", "rule_reason", "matched_word", *pos_cols)
     if positions:
         judged = dedup_deliveries(judged).drop(*pos_cols)

@@ -25,7 +25,8 @@ def _words_values() -> str:
 POSTS = f"""
 posts AS (
   SELECT doc_id AS post_id,
-         doc_id % {TD.AUTHORS} AS user_id,
+         CASE WHEN doc_id % 2 = 0 THEN doc_id * {TD.AUTHOR_MULT} % greatest(ids, 1)
+              ELSE doc_id // 2 % greatest(ids // {TD.BUSY_SHARE}, 1) END AS user_id,
          CASE WHEN strpos(coalesce(text, ''), chr(10)) > 0
               THEN split_part(coalesce(text, ''), chr(10), 1) ELSE coalesce(text, '') END AS title,
          CASE WHEN strpos(coalesce(text, ''), chr(10)) > 0
@@ -33,7 +34,7 @@ posts AS (
          CAST(doc_id % {TD.IMAGE_MOD} AS INTEGER) AS image_count,
          {TD.EPOCH_MS} + ((doc_id * {TD.SUBMIT_STEP_MULT}) % {TD.SUBMIT_STEP_MOD}) * 1000 AS submitted_ms,
          'pending' AS review_status
-  FROM documents
+  FROM documents, (SELECT count(*) + count(*) // {TD.UNKNOWN_SHARE} AS ids FROM customer)
 )"""
 
 USERS = """
@@ -42,7 +43,6 @@ users AS (
          CAST(c_custkey % 9 AS INTEGER) AS violation_count,
          CAST(CASE WHEN c_custkey % 9 = 8 THEN 80 ELSE 80 - 10 * (c_custkey % 9) END AS INTEGER) AS reputation
   FROM customer
-  WHERE c_acctbal >= 0
 )"""
 
 WORDS = f"""
@@ -50,6 +50,13 @@ words AS (
   SELECT DISTINCT {_fold('w')} AS word FROM {_words_values()} WHERE {_fold('w')} <> ''
 )"""
 
+# The long list of benchmark tokens, in place of the short one.
+LONG_WORDS = f"""
+words AS (
+  SELECT DISTINCT {_fold('w')} AS word
+  FROM (SELECT unnest(string_split_regex(text, '[ \\n]+')) AS w FROM benchmark) WHERE w <> ''
+)"""
+
 # Rules 1-3 and the scan; the scan only for rows the cheap rules let through.
 JUDGED = f"""
 pre AS (

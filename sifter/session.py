@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults tuned for correctness-first runs; every one is only a fallback.
 _DEFAULTS = {
@@ -85,3 +86,13 @@ def checkpoint_root(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for stream checkpoints and cut lineage)."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, *parts) if parts else root
+
+
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage, fixes row numbers, and lets later reads prune columns.
+    """
+    path = checkpoint_root(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -109,15 +109,21 @@ def collect_block_list(words: DataFrame, max_words: int | None = None,
     memory).  One job: at most ``max_words + 1`` rows ever reach the driver,
     so an oversize list is detected without collecting it.  A list over the
     bound raises :class:`BlockListTooLarge` instead of being truncated;
-    :func:`sifter.operators.scan.first_match_table` scans such a list
-    exactly, one bounded chunk at a time.
+    :func:`sifter.operators.scan.chunked_hits` scans such a list exactly, one
+    bounded chunk at a time.
     """
     max_words = max_words or MAX_BLOCK_WORDS
-    max_bytes = max_bytes or MAX_BLOCK_BYTES
     rows = [r["word"] for r in words.select("word").limit(max_words + 1).collect()]
-    size = sum(len(w.encode("utf-8")) for w in rows)
+    return sorted(check_block_list(rows, max_words, max_bytes))
+
+
+def check_block_list(rows: list[str], max_words: int | None = None, max_bytes: int | None = None) -> list[str]:
+    """The words, if they fit one broadcast; else :class:`BlockListTooLarge`."""
+    max_words = max_words or MAX_BLOCK_WORDS
+    max_bytes = max_bytes or MAX_BLOCK_BYTES
+    size = sum(len(w.encode("utf-8", "surrogatepass")) for w in rows)
     if len(rows) > max_words or size > max_bytes:
         raise BlockListTooLarge(
             f"block list has over {max_words} words or {max_bytes} bytes: over the broadcast bound. "
-            "sifter.operators.scan.first_match_table scans it exactly in bounded chunks.")
-    return sorted(rows)
+            "sifter.operators.scan.chunked_hits scans it exactly in bounded chunks.")
+    return rows

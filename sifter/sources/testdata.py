@@ -8,9 +8,8 @@ arithmetic; no view filters rows to make a check cheaper.
 * ``posts``     one per ``documents`` row.  Title = first line of the text,
                 content = the rest, so the scanned ``title + ' ' + content``
                 is the whole text.  One-line texts have empty content.
-* ``users``     one per ``customer`` row with a non-negative balance
-                (accounts in debt count as closed, so their posts come from
-                unknown authors and are judged fail-open).
+* ``users``     one per ``customer`` row.  Some posts have authors beyond
+                them; those are judged fail-open.
 * ``words``     the test block list (raw, folded by the loader).
 * ``tasks``     review tasks built from the posts (P3).
 * ``deliveries``tasks with a topic position; some posts are delivered twice.
@@ -25,13 +24,15 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sifter.constants import TESTDATA_WORDS
 
 # --- fixed values of the derived views ---------------------------------------
-AUTHORS = 150                     # post author = doc_id % AUTHORS
+AUTHOR_MULT = 7919                # see author_id
+UNKNOWN_SHARE = 8                 # one author id beyond the customers for every 8 customers
+BUSY_SHARE = 50                   # half of the posts come from 1 in 50 authors
 IMAGE_MOD = 13                    # image count = doc_id % IMAGE_MOD
 EPOCH_MS = 1704067200000          # 2024-01-01T00:00:00Z
 SUBMIT_STEP_MULT = 7919           # submit second = (doc_id * 7919) % 100003
@@ -50,6 +51,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def author_id(spark: SparkSession, sf_dir: str, doc_id: Column) -> Column:
+    """A post's author: even ids spread over all customer keys and the ids beyond them, odd ids over a busy few.
+
+    Both grow with the customer table; 0 and ids past the last customer are unknown authors.
+    """
+    customers = table(spark, sf_dir, "customer").count()  # from the file's footer
+    ids = customers + customers // UNKNOWN_SHARE
+    return F.when(doc_id % 2 == 0, doc_id * AUTHOR_MULT % max(ids, 1)) \
+        .otherwise(F.floor(doc_id / 2) % max(ids // BUSY_SHARE, 1))
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """post_id, user_id, title, content, image_count, images_json, submitted_ms, review_status."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,7 +70,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_img = (F.col("doc_id") % IMAGE_MOD).cast("int")
     return d.select(
         F.col("doc_id").alias("post_id"),
-        (F.col("doc_id") % AUTHORS).alias("user_id"),
+        author_id(spark, sf_dir, F.col("doc_id")).alias("user_id"),
         F.when(nl > 0, F.substring_index(text, "\n", 1)).otherwise(text).alias("title"),
         F.when(nl > 0, F.expr("substr(coalesce(text, ''), instr(coalesce(text, ''), '\\n') + 1)"))
         .otherwise(F.lit("")).alias("content"),
@@ -74,9 +86,9 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, username, email, violation_count, reputation."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     vc = (F.col("c_custkey") % 9).cast("int")
-    return c.where(F.col("c_acctbal") >= 0).select(
+    return c.select(
         F.col("c_custkey").alias("user_id"),
         F.col("c_name").alias("username"),
         F.concat(F.col("c_name"), F.lit("@example.com")).alias("email"),
@@ -86,6 +98,12 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long block list from a table: every distinct blank-separated token of ``benchmark.text``."""
+    b = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", r"[ \n]+")).alias("word"))
+    return b.where(F.col("word") != "").distinct()
+
+
 def raw_words(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(w,) for w in TESTDATA_WORDS], "word string")
 

@@ -1,39 +1,63 @@
-"""The post-status view fed by result events, with a read-time TTL.
-
-The studied service writes each applied status through to a cache entry
-that expires ten minutes after the write.  Here every micro-batch writes
-the latest status per post of that batch (with the write time) to its own
-``batch_id`` partition; readers take the latest row per post and keep it
-only while ``as_of - updated_ms < ttl``.  No keyed state store and no
-processing-time timers are needed, so ``availableNow`` runs end.
+"""The post-status view with a read-time TTL, and the durable post status.
+
+The studied service keeps a post's status twice: in its table, where each
+result event sets it as it arrives, and in a cache entry that every write
+renews and that expires ten minutes after the write.  The last *applied* write
+wins in both, whatever review time it carries.
+
+Here every micro-batch writes the last status per post among its events, with
+the time of the write, to its own folder (run, batch).  Readers take the last
+write per post; the view keeps it only while ``as_of - written < ttl``.  No
+keyed state store and no processing-time timers are needed, so
+``availableNow`` runs end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.constants import STATUS_CACHE_TTL_MS
+from sifter.constants import STATUS_CACHE_TTL_MS, STATUS_PENDING
 from sifter.session import checkpoint_root
 from sifter.sources.jsonio import parse_results
-from sifter.sources.sinks import write_batch
+from sifter.sources.sinks import read_batches, write_batch
+
+VIEW_SCHEMA = "post_id bigint, status string, written_ms bigint"
+Clock = Callable[[int], int]  # batch id -> epoch milliseconds of its write
+
+
+def last_applied(events: DataFrame) -> DataFrame:
+    """(post_id, status) of the last delivered event per post (a post's events share a partition)."""
+    return events.groupBy("post_id").agg(F.max_by("status", F.struct("partition", "offset")).alias("status"))
+
+
+def write_entries(entries: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
+    """Write view entries (post_id, status, written_ms): a batch's, or those of a creation or of a table read."""
+    write_batch(entries.select("post_id", "status", F.col("written_ms").cast("bigint").alias("written_ms")),
+                path, batch_id, run=run)
+
 
+def seed_pending(posts: DataFrame, view_path: str, written_ms: Column, batch_id: int = 0) -> None:
+    """A created post is written through as pending; ``written_ms`` is its creation time."""
+    write_entries(posts.select("post_id", F.lit(STATUS_PENDING).alias("status"), written_ms.alias("written_ms")),
+                  view_path, batch_id, run="created")
 
-def latest_status(events: DataFrame) -> DataFrame:
-    """Latest status per post among decoded result events (last delivered wins)."""
-    order = F.struct("partition", "offset")
-    return events.groupBy("post_id").agg(
-        F.max_by(F.struct("status", F.unix_millis("reviewed_at").alias("updated_ms")), order).alias("_l")
-    ).select("post_id", F.col("_l.status").alias("status"), F.col("_l.updated_ms").alias("updated_ms"))
 
+def fill_from_table(found: DataFrame, view_path: str, written_ms: int, batch_id: int) -> None:
+    """What a lookup read from the table (post_id, review_status) is kept for the next lookups."""
+    write_entries(found.select("post_id", F.col("review_status").alias("status"), F.lit(written_ms).alias("written_ms")),
+                  view_path, batch_id, run="filled")
 
-def status_view_stream(spark: SparkSession, messages: DataFrame, view_path: str, *,
-                       checkpoint: str | None = None, available_now: bool = True):
-    """Keep the view at ``view_path`` up to date from result-event messages."""
-    ckpt = checkpoint or checkpoint_root(spark, "status_view")
+
+def _apply_stream(spark: SparkSession, messages: DataFrame, path: str, name: str, checkpoint: str | None,
+                  available_now: bool, clock: Clock | None):
+    ckpt = checkpoint or checkpoint_root(spark, name)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_batch(latest_status(parse_results(batch)), view_path, batch_id)
+        now = F.unix_millis(F.current_timestamp()) if clock is None else F.lit(clock(batch_id))
+        write_entries(last_applied(parse_results(batch)).withColumn("written_ms", now), path, batch_id)
 
     w = messages.writeStream.foreachBatch(run).option("checkpointLocation", ckpt)
     if available_now:
@@ -41,17 +65,39 @@ def status_view_stream(spark: SparkSession, messages: DataFrame, view_path: str,
     return w.start()
 
 
+def status_view_stream(spark: SparkSession, messages: DataFrame, view_path: str, *, checkpoint: str | None = None,
+                       available_now: bool = True, clock: Clock | None = None):
+    """Keep the view at ``view_path`` up to date from result-event messages; ``clock`` gives a batch's write time."""
+    return _apply_stream(spark, messages, view_path, "status_view", checkpoint, available_now, clock)
+
+
+def _last_written(entries: DataFrame) -> DataFrame:
+    last = entries.groupBy("post_id").agg(
+        F.max_by(F.struct("status", "written_ms"), F.struct("written_ms", "batch_id")).alias("_l"))
+    return last.select("post_id", F.col("_l.status").alias("status"), F.col("_l.written_ms").alias("updated_ms"))
+
+
 def read_status_view(spark: SparkSession, view_path: str, as_of_ms: int,
                      ttl_ms: int = STATUS_CACHE_TTL_MS) -> DataFrame:
-    """Live entries at ``as_of_ms``: latest write per post, younger than the TTL.
+    """Live entries at ``as_of_ms``: last write per post, younger than the TTL; none before the first write.
 
     Rows are cut to the TTL window ``(as_of - ttl, as_of]`` before taking the
-    latest per post: a post is live exactly when its latest write as of
-    ``as_of`` lies in that window, and the cut is pushed down to the parquet
-    scan, so only the last minutes of writes are read however old the view.
+    last per post: a post is live exactly when its last write as of ``as_of``
+    lies in that window, and the cut is pushed down to the parquet scan, so
+    only the last minutes of writes are read however old the view.
     """
-    v = spark.read.parquet(view_path).where(
-        (F.col("updated_ms") <= as_of_ms) & (F.col("updated_ms") > as_of_ms - ttl_ms))
-    latest = v.groupBy("post_id").agg(
-        F.max_by(F.struct("status", "updated_ms"), F.struct("updated_ms", "batch_id")).alias("_l"))
-    return latest.select("post_id", F.col("_l.status").alias("status"), F.col("_l.updated_ms").alias("updated_ms"))
+    return _last_written(read_batches(spark, view_path, VIEW_SCHEMA).where(
+        (F.col("written_ms") <= as_of_ms) & (F.col("written_ms") > as_of_ms - ttl_ms)))
+
+
+def applied_status_stream(spark: SparkSession, messages: DataFrame, table_path: str, *, checkpoint: str | None = None,
+                          available_now: bool = True, clock: Clock | None = None):
+    """A2 as a stream: the durable status of posts, set by result events in arrival order; a replay rewrites its batch."""
+    return _apply_stream(spark, messages, table_path, "applied_status", checkpoint, available_now, clock)
+
+
+def read_applied_status(spark: SparkSession, posts: DataFrame, table_path: str) -> DataFrame:
+    """(post_id, review_status): the last applied status, else the post's own."""
+    last = _last_written(read_batches(spark, table_path, VIEW_SCHEMA)).select(F.col("post_id").alias("_pid"), "status")
+    return posts.join(last, posts["post_id"] == last["_pid"], "left").select(
+        "post_id", F.coalesce("status", "review_status").alias("review_status"))

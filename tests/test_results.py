@@ -46,7 +46,8 @@ def test_violations_and_reputation(spark):
 
 
 @pytest.mark.parametrize("limit,expect", [(0, 20), (-1, 20), (101, 20), ("abc", 20), (None, 20), (50, 50),
-                                          (100, 100), ("7", 7)])
+                                          (100, 100), ("7", 7), ("+7", 7), ("1_0", 20), (" 5 ", 20),
+                                          ("\u0663", 20), ("", 20)])
 def test_feed_limit(limit, expect):
     assert res.feed_limit(limit) == expect
 
@@ -130,15 +131,26 @@ def test_rank_percentiles_exact(spark):
     rng = random.Random(9)
     vals = [(rng.choice("ab"), round(rng.random() * 300, 2)) for _ in range(2000)] + [("a", 5.0)] * 50
     df = spark.createDataFrame(vals, "g string, v double")
-    got = {r.g: (r.n, r.p50, r.p90, r.p99) for r in reports.rank_percentiles(df, "v", [0.5, 0.9, 0.99], by=["g"],
-                                                                             coarse_width=7.0).collect()}
-    auto = {r.g: (r.n, r.p50, r.p90, r.p99) for r in reports.rank_percentiles(df, "v", [0.5, 0.9, 0.99],
+    got = {r.g: (r.n, r.p50, r.p90, r.p99) for r in reports.rank_percentiles(df, "v", [0.5, 0.9, 0.99],
                                                                               by=["g"]).collect()}
     for g in "ab":
         xs = sorted(v for gg, v in vals if gg == g)
         n = len(xs)
         exp = tuple(xs[min(int(p * n), n - 1)] for p in (0.5, 0.9, 0.99))
-        assert got[g] == auto[g] == (n,) + exp
+        assert got[g] == (n,) + exp
+
+
+def test_rank_percentiles_keep_null_groups_and_spread_an_outlier(spark):
+    rng = random.Random(2)
+    vals = [(rng.choice(["a", None]), rng.random()) for _ in range(5000)] + [("a", 1e12)]
+    df = spark.createDataFrame(vals, "g string, v double").repartition(4)
+    got = {r.g: (r.n, r.p50, r.m) for r in reports.rank_percentiles(df, "v", [0.5], by=["g"], max_alias="m").collect()}
+    for g in ("a", None):
+        xs = sorted(v for gg, v in vals if gg == g)
+        assert got[g] == (len(xs), xs[len(xs) // 2], xs[-1])
+    # equal depth: no band holds most of the distinct values
+    counts = df.groupBy("v").count().repartitionByRange(8, "v").groupBy(F.spark_partition_id().alias("b")).count()
+    assert max(r["count"] for r in counts.collect()) < 2000
 
 
 def test_outage_windows_strict_ratio(spark):
@@ -152,7 +164,7 @@ def test_degraded_during_range_join(spark):
     res_df = spark.createDataFrame([(1, 5_000, True), (2, 7_000, True), (3, 7_000, False), (4, 20_000, True)],
                                    "post_id int, reviewed_ms long, degraded boolean")
     outages = spark.createDataFrame([(4_000, 9_000), (19_000, 20_000)], "window_start_ms long, window_end_ms long")
-    got = sorted(r.post_id for r in reports.degraded_during(res_df, outages, grid_ms=1_000).collect())
+    got = sorted(r.post_id for r in reports.degraded_during(res_df, outages, interval_ms=1_000).collect())
     assert got == [1, 2]
 
 

@@ -87,16 +87,50 @@ def test_strategies_agree_on_random_texts(spark):
     assert a == b == c
 
 
-def test_python_fallback_equals_automaton():
-    rng = random.Random(11)
+def test_automaton_without_its_library_raises(monkeypatch):
+    import sys
+
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    with pytest.raises(RuntimeError, match="pyahocorasick"):
+        Matcher(["he"])
+
+
+def test_python_list_is_checked_too():
+    from sifter.sources.tables import BlockListTooLarge
+
+    assert scan.as_word_list(["a", "b"], max_words=2) == ["a", "b"]
+    with pytest.raises(BlockListTooLarge):
+        scan.as_word_list(["a", "b", "c", "d"], max_words=2)
+
+
+@pytest.mark.parametrize("bound", [None, 2])
+def test_repeated_delivery_is_judged_on_its_own_text(spark, bound):
+    """Two deliveries of a post with different texts: the first wins, whatever the size of the list."""
+    from sifter.plans.moderation import moderate
+
+    t = spark.createDataFrame(
+        [(1, 7, "t", "clean", 0, 0, 0), (1, 7, "t", "casino", 0, 0, 1)],
+        "post_id long, user_id long, title string, content_snapshot string, image_count int, ms long, offset long") \
+        .selectExpr("post_id", "user_id", "title", "content_snapshot", "image_count",
+                    "timestamp_millis(ms) AS submitted_at", "0 AS partition", "offset")
+    users = spark.createDataFrame([(7, "u", "e", 0, 80)],
+                                  "user_id long, username string, email string, violation_count int, reputation int")
+    got = moderate(t, ["casino", "spam", "scam", "xx"], users, max_words=bound).collect()
+    assert [(r.post_id, r.status) for r in got] == [(1, "approved")]
+
+
+def test_long_list_gives_the_same_hits_in_chunks(spark):
+    rng = random.Random(4)
     words = ["he", "she", "his", "hers", "less", "worthless", "nce", "announce"]
-    m = Matcher(words)
-    fallback = Matcher(words)
-    fallback._ac = None
-    for _ in range(300):
-        t = "".join(rng.choice("hersiwotlnacu ") for _ in range(rng.randint(0, 30)))
-        assert m.first(t) == fallback.first(t)
-        assert m.all(t) == fallback.all(t)
+    texts = ["".join(rng.choice("hersiwotlnacu ") for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "id long, text string")
+
+    def run(bound):
+        hits = scan.word_hits(df, "id", "text", words, max_words=bound).collect()
+        firsts = scan.scan_texts(df, "text", words, keep=["id"], max_words=bound).collect()
+        return sorted((r.id, r.word, r["rank"]) for r in hits), sorted((r.id, r.hit, r.matched_word or "") for r in firsts)
+
+    assert run(None) == run(3)
 
 
 def test_block_list_size_check(spark):
