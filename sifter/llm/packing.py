@@ -84,27 +84,20 @@ def hilbert_key(coords: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def id_kind(vocab_size: int, end_id: int) -> str:
-    """Two bytes an id where all of them fit."""
-    return "<u2" if max(vocab_size, end_id + 1) <= 1 << 16 else "<u4"
-
-
 def encode_documents(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID) -> DataFrame:
     """doc_id, n_tokens (with the end id), curve_key and ids (little-endian 16-bit, or 32-bit for a larger vocabulary)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_table(vocab or vocab_path())
-        kind, matrix = id_kind(table.size, end_id), projection()
+        matrix = projection()
         for batch in batches:
             for first, texts in groups(batch.column(1)):
                 ids, counts = table.encode(texts)
                 keys = hilbert_key(grid(hashed_vectors(ids, counts) @ matrix))
                 ids, counts = with_end(ids, counts, end_id)
-                offsets = np.concatenate([[0], np.cumsum(counts)]) * np.dtype(kind).itemsize
-                raw = pa.Array.from_buffers(pa.binary(), len(counts), [
-                    None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids.astype(kind).tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(counts), pa.array(keys), raw],
+                    [batch.column(0).slice(first, len(texts)), pa.array(counts), pa.array(keys),
+                     table.as_binary(ids, counts, end_id)],
                     ["doc_id", "n_tokens", "curve_key", "ids"])
 
     return only(docs, "doc_id", "text").mapInArrow(encode, ENCODED_SCHEMA)
@@ -134,7 +127,7 @@ def pack_documents(docs: DataFrame, sequence: int = SEQUENCE, vocab: str | None
         ["curve_key", "_salt", "row"], "n_tokens", "at", "packed-order").select("row", "at")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = id_kind(word_table(vocab or vocab_path()).size, end_id)
+        kind = "<u4" if word_table(vocab or vocab_path()).wide(end_id) else "<u2"
         for batch in batches:
             doc_ids, sizes, raws, places = batch.columns
             at, n = places.to_numpy(), sizes.to_numpy()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sifter.functions.pyworker import ship_by_value
-from sifter.llm.common import only, part_offsets, scratch_path, shuffle_width
+from sifter.llm.common import drop_table, materialize, only, part_offsets, scratch_path, shuffle_width
 from sifter.llm.tokens import groups, vocab_path, with_end, word_table, worker_state
 
 END_ID = 1
@@ -150,75 +150,86 @@ def write_token_files(docs: DataFrame, path: str, vocab: str | None = None, end_
     a hash of the text).  NULL and empty texts have the end id only.  An empty
     table writes an empty set.
 
-    Pass 1 counts all ids (each task sums its own counts before the shuffle)
-    and writes the table; pass 2 range-deals the texts and codes blocks.  The
-    table has one row per vocabulary id, so it is small enough to broadcast at
-    any input size.  A document is never cut, so a block may exceed
-    ``block_ids`` by one document.
+    Each text is encoded once.  The tasks write the ids and their own counts of
+    each id; the counts make the table, then the ids are range-dealt and coded
+    in blocks.  The table has one row per vocabulary id, so it is small enough
+    to broadcast at any input size.  A document is never cut, so a block may
+    exceed ``block_ids`` by one document.
     """
     spark = docs.sparkSession
-    texts = only(docs, "doc_id", "text")
+    encoded = materialize(_encode(only(docs, "doc_id", "text"), vocab, end_id), "token-ids")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = word_table(vocab or vocab_path())
-        seen = np.zeros(max(table.size, end_id + 1), np.int64)
+    def times(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen[end_id] += batch.num_rows
-            for _, group in groups(batch.column(0)):
-                seen += table.histogram(group, len(seen))
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at])], ["id", "times"])
+            for raw in batch.column(0).to_pylist():
+                seen = np.frombuffer(raw, "<i8")
+                at = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "times"])
 
-    counted = (texts.select("text").mapInArrow(count, "id int, times long")
+    counted = (encoded.select("times").filter("times IS NOT NULL").mapInArrow(times, "id long, times long")
                .groupBy("id").agg(F.sum("times").alias("times")).toPandas())  # at most one row per vocabulary id
-    ids, times = counted["id"].to_numpy(np.int64), counted["times"].to_numpy(np.int64)
+    ids, seen = counted["id"].to_numpy(np.int64), counted["times"].to_numpy(np.int64)
     order = np.argsort(ids)
-    ids, slots = ids[order], slot_counts(ids[order], times[order])
+    ids, slots = ids[order], slot_counts(ids[order], seen[order])
     spark.createDataFrame(pa.table({"id": pa.array(ids, pa.int32()), "slots": pa.array(slots, pa.int64())}),
                           "id int, slots long").coalesce(1).write.parquet(f"{path}/table")
     shared = spark.sparkContext.broadcast((ids, slots))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, coder = word_table(vocab or vocab_path()), _coder(path, shared)
+        coder = _coder(path, shared)
         part = TaskContext.get().partitionId()
         block = start = held = 0
         waiting: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
             nonlocal block, start, held, waiting
-            keys, nulls, counts, ids = (np.concatenate(x) for x in zip(*waiting))
-            payload = pack_block(coder, keys, nulls, counts, ids)
+            keys, nulls, counts, raws = zip(*waiting)
+            ids = np.frombuffer(b"".join(raws), "<u4" if wide else "<u2")
+            payload = pack_block(coder, np.array(keys, np.int64), np.array(nulls), np.array(counts, np.int64), ids)
             row = [part, block, start, len(keys), len(ids), zlib.crc32(payload), payload]
             block, start, held, waiting = block + 1, start + len(ids), 0, []
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
                                               ["part", "block", "part_start", "n_docs", "n_ids", "crc32", "payload"])
 
+        wide = word_table(vocab or vocab_path()).wide(end_id)
         for batch in batches:
-            doc_ids = batch.column(0)
-            nulls = doc_ids.is_null().to_numpy(zero_copy_only=False)
-            keys = doc_ids.fill_null(0).to_numpy(zero_copy_only=False)
-            for first, group in groups(batch.column(1)):
-                ids, counts = with_end(*table.encode(group), end_id)
-                ends = np.cumsum(counts)
-                i = 0
-                while i < len(counts):
-                    base = ends[i - 1] if i else 0
-                    j = min(len(counts), int(np.searchsorted(ends, base + block_ids - held, side="left")) + 1)
-                    waiting.append((keys[first + i:first + j], nulls[first + i:first + j], counts[i:j],
-                                    ids[base:ends[j - 1]]))
-                    held += int(ends[j - 1] - base)
-                    i = j
-                    if held >= block_ids:
-                        yield flush()
+            for key, n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                waiting.append((key or 0, key is None, n, raw))
+                held += n
+                if held >= block_ids:
+                    yield flush()
         if waiting:
             yield flush()
 
-    salt = F.xxhash64("text")
-    (texts.repartitionByRange(shuffle_width(spark), "doc_id", salt)
-     .sortWithinPartitions("doc_id", salt)
+    (encoded.filter("times IS NULL").select("doc_id", "n_tokens", "ids", "salt")
+     .repartitionByRange(shuffle_width(spark), "doc_id", "salt")
+     .sortWithinPartitions("doc_id", "salt").drop("salt")
      .mapInArrow(code, BLOCK_SCHEMA)
      .write.option("compression", "uncompressed").parquet(f"{path}/blocks"))
+    drop_table(spark, encoded)
+
+
+def _encode(texts: DataFrame, vocab: str | None, end_id: int) -> DataFrame:
+    """doc_id, salt, n_tokens and ids of each text; each task adds a row that has only ``times``, its count of each id."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = word_table(vocab or vocab_path())
+        names = ["doc_id", "salt", "n_tokens", "ids", "times"]
+        seen = np.zeros(max(table.size, end_id + 1), np.int64)
+        for batch in batches:
+            for first, group in groups(batch.column(1)):
+                ids, counts = with_end(*table.encode(group), end_id)
+                seen += np.bincount(ids, minlength=len(seen))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(group)), batch.column(2).slice(first, len(group)), pa.array(counts),
+                     table.as_binary(ids, counts, end_id), pa.nulls(len(group), pa.binary())], names)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+             pa.array([seen.astype("<i8").tobytes()], pa.binary())], names)
+
+    return (texts.withColumn("salt", F.xxhash64("text"))
+            .mapInArrow(encode, "doc_id long, salt long, n_tokens long, ids binary, times binary"))
 
 
 def _open(spark: SparkSession, path: str):

@@ -136,12 +136,16 @@ class WordTable:
         upto = np.cumsum(counts)
         return ids, edge[upto] - edge[upto - counts]
 
-    def histogram(self, texts: pa.Array, size: int) -> np.ndarray:
-        """How often each id occurs in the texts: word counts first, then each distinct word's ids once."""
-        distinct, which, _ = self.entries(texts)
-        ids, lens = self.gather(distinct)
-        times = np.repeat(np.bincount(which, minlength=len(distinct)), lens)
-        return np.bincount(ids, weights=times, minlength=size).astype(np.int64)
+    def wide(self, end_id: int) -> bool:
+        """Whether ids need four bytes; two do where all fit."""
+        return max(self.size, end_id + 1) > 1 << 16
+
+    def as_binary(self, ids: np.ndarray, counts: np.ndarray, end_id: int) -> pa.Array:
+        """The ids of each text as little-endian bytes."""
+        raw = ids.astype("<u4" if self.wide(end_id) else "<u2")
+        offsets = np.concatenate([[0], np.cumsum(counts)]) * raw.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(counts), [
+            None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw.tobytes())])
 
 
 def set_marks_apart(texts: pa.Array) -> pa.Array:
