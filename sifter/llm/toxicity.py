@@ -185,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = HELD_OUT_FOLDS) -> tu
     rows = extracted.groupBy("bag").applyInPandas(fit, "feature long, weight double").groupBy("feature").agg(
         F.sum("weight").alias("weight")).toPandas()  # at most MAX_FEATURES a bag
     weights = {int(f): float(w) / bags for f, w in zip(rows["feature"], rows["weight"])}
-    bias = weights.pop(-1)
+    bias = weights.pop(-1, float(np.log(prior / (1 - prior))))  # the prior's, when no sampled row has a text
     return weights, bias
 
 

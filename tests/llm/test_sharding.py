@@ -1,0 +1,67 @@
+import math
+import zlib
+
+import pytest
+
+from sifter.llm.sharding import assign_shards, descend, layout, shard_moves
+from pyspark.sql import functions as F
+
+
+def check(rows, source):
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r.slot)
+        assert r.law == "key" and r.grown_shard in (r.shard, 8)
+    for slots in by.values():
+        assert sorted(slots) == list(range(len(slots)))
+    expect = sorted((str(k), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for k, t in source)
+    assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in rows) == expect
+
+
+def test_whole_table(mid):
+    df, source = mid
+    rows = assign_shards(df).collect()
+    check(rows, source)
+    counts = [sum(r.shard == s for r in rows) for s in range(8)]
+    assert min(counts) > 80 and max(counts) < 170
+    moved = sum(r.grown_shard == 8 for r in rows)
+    assert 60 < moved < 170  # about a ninth
+
+
+def test_edges(edge_docs, no_docs):
+    from .conftest import ROWS
+
+    rows = assign_shards(edge_docs).collect()
+    check(rows, ROWS)
+    assert len({r.shard for r in rows if r.doc_id == 7}) == 1
+    assert assign_shards(no_docs).count() == 0
+
+
+def test_doc_id_and_count_decide(spark, mid):
+    df, _ = mid
+    whole = {r.doc_id: r.shard for r in assign_shards(df).collect()}
+    part = {r.doc_id: r.shard for r in assign_shards(df.filter("doc_id % 3 = 0").withColumn("text", F.lit("other"))).collect()}
+    assert all(whole[k] == v for k, v in part.items())
+
+
+def test_growth_and_weights_move_rows_only_where_weights_change(spark):
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    for n in (1, 7, 8, 9, 12):
+        if n >= 8:
+            moves = shard_moves(layout(n), layout(n + 1), docs).collect()
+            assert {r.to_shard for r in moves} == {n}
+    heavier = layout(8, weights=[1, 1, 1, 1, 1, 1, 1, 3])
+    moves = shard_moves(layout(8), heavier, docs).collect()
+    # shard 7's rack and region grew: rows move into that region only, and out of nothing in it but its own kin
+    assert {r.to_shard for r in moves} <= {4, 5, 6, 7} and all(r.to_shard == 7 or r.from_shard < 4 or r.to_shard in (6, 7) for r in moves)
+    got = {r["s"]: r["n"] for r in docs.select(descend(F.col("doc_id").cast("string"), heavier).alias("s")).groupBy("s")
+           .agg(F.count("*").alias("n")).collect()}
+    assert abs(got[7] / 20000 - 0.3) < 0.02 and abs(got[0] / 20000 - 0.1) < 0.02
+
+
+def test_bad_layouts():
+    with pytest.raises(ValueError):
+        layout(0)
+    with pytest.raises(ValueError):
+        layout(2, weights=[1, -1])
+    assert math.isclose(layout(10).weight, 10)

@@ -1,0 +1,62 @@
+import random
+
+import numpy as np
+
+from sifter.llm import topk
+from sifter.llm.topk import top_k
+
+
+def brute(rows, k=20, scale=64):
+    good = [(i, [int(np.floor(scale * float(np.float32(x)))) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    width = max((len(v) for _, v in good), default=0)
+    good = [(i, v + [0] * (width - len(v))) for i, v in good]
+    out, asked = [], set()
+    for q, v in good:
+        if q % 20 or (q, tuple(v)) in asked:
+            continue
+        asked.add((q, tuple(v)))
+        best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)[:k]
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    return sorted(out)
+
+
+def check(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(df).collect()) == brute(rows)
+
+
+def test_random_with_ties(spark):
+    rng = random.Random(2)
+    for spread in (0.02, 1.0):
+        check(spark, [(i, [rng.gauss(0, spread) for _ in range(6)]) for i in range(300)])
+
+
+def test_clusters_stop_early(spark, monkeypatch):
+    """Small shards of clustered vectors: most shards are left before their lists end."""
+    rng = random.Random(5)
+    centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(10)]
+    rows = [(i, [c + rng.gauss(0, 0.05) for c in centres[i * 10 // 1500]]) for i in range(1500)]
+    ids = np.arange(1500)
+    x = np.array([[int(np.floor(64 * float(np.float32(c)))) for c in v] for _, v in rows])
+    best = topk.Best(75, 20)
+    for a in range(0, 1500, 150):
+        topk.search_shard(ids[a:a + 150], x[a:a + 150], ids[::20], x[::20], best)
+    got = sorted((int(q), r, int(i), int(s)) for q, i_s, s_s in zip(ids[::20], best.id, best.score)
+                 for r, (i, s) in enumerate(zip(i_s, s_s), 1))
+    assert got == brute(rows)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.5, -1.0]), (20, [0.1, 0.2]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [inf, 0.0]),
+            (None, [1.0, 1.0]), (5, []), (6, [1.0]), (7, [0.25, 0.25, 3.0]), (8, [0.1, 0.2]), (8, [0.1, 0.2]), (20, [0.1, 0.2])]
+    check(spark, rows)
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, score int")
+    assert top_k(empty).count() == 0
+    assert top_k(spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_large_components_stay_exact():
+    a = np.array([[2 ** 31, -3]], np.int64)
+    assert topk._products(a, a)[0, 0] == 2 ** 62 + 9
