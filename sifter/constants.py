@@ -55,9 +55,9 @@ SEED_USERS = [
     (2, "bob", "bob@example.com", 80, 0),
     (3, "troll", "troll@example.com", 20, 6),
 ]
-LOADGEN_SENTENCE = "this is a normal load-test post number "
-LOADGEN_BAD_SUFFIX = " buy casino tokens now"
-LOADGEN_TITLE = "load test"
+LOADGEN_SENTENCE = "an ordinary generated text, number "
+LOADGEN_BAD_SUFFIX = " with casino chips"
+LOADGEN_TITLE = "generated"
 
 # --- fixed values: test-data block list (raw, before folding) ------------
 TESTDATA_WORDS = ["trash", "Idiot", "idiot", "clown", "scum", "worthless", "less",

@@ -7,15 +7,25 @@ bucket.  Later: ``tokens = min(burst, tokens + elapsed * rate)``; admit when
 (200 tokens/s = 200 per 1000 ms).  Input is replayed in sorted order, so a
 late caller never gets time refilled twice.
 
-A refusal feeds back into the state, so this is a fold, not a window.  It
-still parallelises exactly: after a quiet gap of ``ceil(burst_units /
-tokens_per_period)`` ms the bucket is full whatever it held, so the history
-of a key splits into independent segments at those gaps.  Segments are
-found with skew-spread running aggregates (:mod:`sifter.operators.ordered`),
-hash-partitioned on (key, segment), sorted, and folded by ``mapInPandas``
-as a stream of batches; a busy key is spread over as many tasks as it has
-quiet gaps.  A key that never pauses for a full refill is one sequential
-fold by the definition of a token bucket (still streamed, never held whole).
+A refusal feeds back into the state, yet most of the log has a closed form:
+
+* **Full points.**  A request finds a full bucket if the time since the one
+  before refills any bucket, or if the bucket would be full even had every
+  earlier request been admitted: with ``x_i = cost * i - rate * t_i`` that is
+  when ``x_i`` is no larger than any earlier ``x``.  What follows a full point
+  does not depend on what was before it, so the log splits there.
+* **Between them.**  As long as the bucket does not run over, with ``A_i =
+  burst + rate * (t_i - t_0)``, the requests admitted up to the i-th (from 1)
+  are ``i + min(0, min over j <= i of (floor(A_j / cost) - j))``: a running
+  minimum.  The first request that finds more than a full bucket by this count
+  is a full point too; the rows from there on go into the next round.
+
+Keys with few rows for a task are folded row by row, each key in one task, as
+a stream of batches with O(1) state.  Busy keys (:func:`heavy_keys`) take the
+closed form: running aggregates (:mod:`sifter.operators.ordered`) spread them
+over time cells, so one global key under steady load or overload is not one
+task.  What is left of them after ``ROUNDS`` rounds (stretches that run over
+again and again, yet never by the two rules above) is folded per stretch.
 """
 
 from __future__ import annotations
@@ -26,11 +36,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sifter import constants as K
 from sifter.functions.pyworker import ship_by_value
 from sifter.operators.ordered import heavy_keys, running_agg
+from sifter.session import write_and_read
+
+ROUNDS = 3
 
 
 def _fold_runs(burst_units: int, cost_units: int, per_ms: int):
@@ -52,40 +64,89 @@ def _fold_runs(burst_units: int, cost_units: int, per_ms: int):
                     admitted[i] = True
                 left[i] = tokens
                 ts = now
-            yield pdf.drop(columns=["_k", "_seg", "_t", "_id"]).assign(admitted=admitted, tokens_left=left)
+            yield pdf[["_k", "_id"]].assign(admitted=admitted, tokens_left=left)
     return fold
 
 
 def token_bucket(requests: DataFrame, *, key: str = "key", time_col: str = "t_ms", id_col: str = "request_id",
                  tokens_per_period: int = K.RATE_PER_SECOND, period_ms: int = 1000,
-                 burst: int = K.RATE_BURST, cost: int = 1, cell_ms: int | None = None) -> DataFrame:
+                 burst: int = K.RATE_BURST, cost: int = 1, cell_ms: int | None = None,
+                 rounds: int = ROUNDS) -> DataFrame:
     """Every request with ``admitted`` and ``tokens_left`` (in units of 1/period_ms token).
 
-    ``requests`` needs ``key``, ``time_col`` (epoch ms) and a unique ``id_col``;
-    every column it has is carried through the fold (Catalyst cannot prune
-    columns through ``mapInPandas``), so pass only the columns needed.
-    Segments are hash-partitioned on (key, segment) and sorted inside each
-    partition; ``mapInPandas`` then folds them as a stream of Arrow batches
-    with O(1) state, so no group is ever held in memory as a whole.
+    ``requests`` needs ``key``, ``time_col`` (epoch ms) and an ``id_col`` that is
+    unique per key; other columns are joined back at the end.  Building the
+    frame runs jobs: busy keys are looked for, their slim rows written once,
+    and each round writes what it settles.
     """
-    burst_units = burst * period_ms
-    cost_units = cost * period_ms
-    per_ms = tokens_per_period
-    full_gap = -(-burst_units // per_ms)  # ms of silence that refill any bucket completely
+    b, c, q = burst * period_ms, cost * period_ms, tokens_per_period
+    full_gap = -(-b // q)  # ms of silence that refill any bucket completely
     cell = cell_ms or 60_000  # one-minute cells spread a busy key over many tasks
+    order = ["_t", "_id"]
+    slim = requests.select(
+        F.col(key).alias("_k"), F.lit(0).cast("long").alias("_seg"), F.col(time_col).cast("bigint").alias("_t"),
+        F.col(id_col).alias("_id"))
+    ship_by_value(__name__)
+    kinds = dict(slim.dtypes)
 
-    r = requests.select("*", F.col(key).alias("_k"), F.col(time_col).cast("bigint").alias("_t"),
-                        F.col(id_col).alias("_id"))
-    cellc = F.floor(F.col("_t") / F.lit(cell))
-    hot = heavy_keys(r, ["_k"])  # busy keys get time cells; the rest one plain window
-    prev = running_agg(r, ["_k"], ["_t", "_id"], "_t", "_prev_t", cellc, fn="max", inclusive=False, hot=hot)
-    starts = prev.withColumn(
-        "_start", (F.col("_prev_t").isNull() | ((F.col("_t") - F.col("_prev_t")) >= full_gap)).cast("int"))
-    seg = running_agg(starts, ["_k"], ["_t", "_id"], "_start", "_seg", cellc, fn="sum", inclusive=True, hot=hot)
+    def fold(rows: DataFrame) -> DataFrame:
+        return (rows.repartition("_k", "_seg").sortWithinPartitions("_k", "_seg", *order)
+                .mapInPandas(_fold_runs(b, c, q), f"_k {kinds['_k']}, _id {kinds['_id']}, admitted boolean, tokens_left long"))
 
-    ship_by_value(__name__)
-    runs = seg.select(*requests.columns, "_k", "_seg", "_t", "_id") \
-        .repartition("_k", "_seg").sortWithinPartitions("_k", "_seg", "_t", "_id")
-    schema = T.StructType(requests.schema.fields + [T.StructField("admitted", T.BooleanType()),
-                                                    T.StructField("tokens_left", T.LongType())])
-    return runs.mapInPandas(_fold_runs(burst_units, cost_units, per_ms), schema)
+    busy = heavy_keys(slim, ["_k"])
+    if busy.isEmpty():
+        settled, left = [fold(slim)], None
+    else:
+        busy = F.broadcast(busy)  # at most rows / MIN_ROWS keys
+        settled = [fold(slim.join(busy, "_k", "left_anti"))]
+        left = write_and_read(slim.join(busy, "_k", "left_semi"), "requests")
+
+    def run(df: DataFrame, hot: DataFrame, keys: list[str], value, out: str, fn: str, inclusive: bool) -> DataFrame:
+        return running_agg(df, keys, order, value, out, F.floor(F.col("_t") / F.lit(cell)), fn=fn, inclusive=inclusive, hot=hot)
+
+    def stretches(df: DataFrame) -> DataFrame:
+        """The rows with new ``_seg`` numbers that start at full points."""
+        keys = ["_k", "_seg"]
+        hot = heavy_keys(df, keys)
+        x = run(run(df, hot, keys, F.lit(1), "_i", "sum", False), hot, keys, "_t", "_prev", "max", False)
+        x = write_and_read(x.withColumn("_x", F.lit(c) * F.coalesce("_i", F.lit(0)) - F.lit(q) * F.col("_t")), "refill")
+        x = run(x, hot, keys, "_x", "_low", "min", False)
+        full = F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") >= full_gap) | (F.col("_x") <= F.col("_low"))
+        x = write_and_read(x.withColumn("_start", full.cast("int")), "full-points")
+        return run(x, hot, keys, "_start", "_part", "sum", True).select(
+            "_k", F.xxhash64("_seg", "_part").alias("_seg"), "_t", "_id")
+
+    for _ in range(rounds if left is not None else 0):
+        seg = write_and_read(stretches(left), "stretches")
+        keys = ["_k", "_seg"]
+        hot = heavy_keys(seg, keys)
+        x = run(run(seg, hot, keys, F.lit(1), "_i", "sum", True), hot, keys, "_t", "_t0", "min", True)
+        a = F.lit(b) + F.lit(q) * (F.col("_t") - F.col("_t0"))
+        x = write_and_read(x.withColumn("_a", a).withColumn("_h", F.floor(F.col("_a") / F.lit(c)) - F.col("_i")), "supply")
+        x = run(run(x, hot, keys, "_h", "_m", "min", True), hot, keys, "_h", "_mp", "min", False)
+        n = F.col("_i") + F.least(F.lit(0), F.col("_m"))
+        before = F.col("_i") - 1 + F.least(F.lit(0), F.coalesce("_mp", F.lit(0)))
+        x = write_and_read(x.select("_k", "_seg", "_t", "_id", "_i", (n > before).alias("admitted"),
+                                    (F.col("_a") - c * n).alias("tokens_left"),
+                                    (F.col("_a") - c * before > b).alias("_over")), "counted")
+        # the first request of a stretch that the count lets run over; a stretch without one is settled
+        over = x.where("_over").groupBy(*keys).agg(F.min("_i").alias("_from"))
+        over = write_and_read(over, "overruns")
+        if over.isEmpty():
+            settled.append(x.select("_k", "_id", "admitted", "tokens_left"))
+            left = None
+            break
+        over = over.select(F.col("_k").alias("_ok"), F.col("_seg").alias("_oseg"), "_from")
+        same = x["_k"].eqNullSafe(over["_ok"]) & (x["_seg"] == over["_oseg"])
+        x = write_and_read(x.join(over, same, "left").drop("_ok", "_oseg"), "cut")
+        settled.append(x.where("_from IS NULL OR _i < _from").select("_k", "_id", "admitted", "tokens_left"))
+        left = x.where("_i >= _from").select("_k", "_seg", "_t", "_id")
+    if left is not None:
+        settled.append(fold(stretches(left)))
+    out = settled[0]
+    for s in settled[1:]:
+        out = out.unionByName(s)
+    if set(requests.columns) <= {key, id_col}:
+        return out.select(*[F.col("_k" if n == key else "_id").alias(n) for n in requests.columns], "admitted", "tokens_left")
+    same = requests[key].eqNullSafe(out["_k"]) & requests[id_col].eqNullSafe(out["_id"])
+    return requests.join(out, same).select(*requests.columns, "admitted", "tokens_left")

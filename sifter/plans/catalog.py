@@ -631,6 +631,42 @@ def q_admission(spark, sf):
     return _admission(spark, sf).select("request_id", "key", "admitted")
 
 
+# One limiter for all requests (a global key): the default rate, and a tight one that refuses.
+GLOBAL_TOKENS, GLOBAL_PERIOD_MS, GLOBAL_BURST = 1, 20 * 60_000, 40
+
+
+def _global_sql(tokens: int, period_ms: int, burst: int) -> str:
+    """The limiter as a fold over the whole request list in order: state (tokens, time), one step per request."""
+    b, c = burst * period_ms, period_ms
+    refill = f"least({b}, tb.tokens + greatest(0, r.t_ms - tb.t_ms) * {tokens})"
+    return f"""
+all_req AS (
+  SELECT request_id, t_ms, row_number() OVER (ORDER BY t_ms, request_id) AS rn FROM requests
+),
+tb(rn, request_id, t_ms, tokens, admitted) AS (
+  SELECT rn, request_id, t_ms, CAST({b - c} AS BIGINT), true FROM all_req WHERE rn = 1
+  UNION ALL
+  SELECT r.rn, r.request_id, r.t_ms, CAST(CASE WHEN {refill} >= {c} THEN {refill} - {c} ELSE {refill} END AS BIGINT), {refill} >= {c}
+  FROM tb JOIN all_req r ON r.rn = tb.rn + 1
+)"""
+
+
+def _global_requests(spark, sf) -> DataFrame:
+    return TD.requests(spark, sf).select("request_id", F.lit("post:create").alias("key"), "t_ms")
+
+
+# =========================================================================== R1 with one busy key
+@register("admission_global", "WITH RECURSIVE " + ",".join([O.REQUESTS, _global_sql(GLOBAL_TOKENS, GLOBAL_PERIOD_MS, GLOBAL_BURST)]) + """
+SELECT request_id, admitted, true AS admitted_by_default FROM tb""")
+def q_admission_global(spark, sf):
+    """All requests under one key: a tight limit that refuses, beside the default 200/s with burst 400, which does not here."""
+    r = _global_requests(spark, sf)
+    tight = token_bucket(r, tokens_per_period=GLOBAL_TOKENS, period_ms=GLOBAL_PERIOD_MS, burst=GLOBAL_BURST)
+    default = token_bucket(r).select(F.col("request_id").alias("_id"), F.col("admitted").alias("admitted_by_default"))
+    return tight.join(default, F.col("request_id") == F.col("_id")) \
+        .select("request_id", "admitted", "admitted_by_default")
+
+
 # =========================================================================== R2
 @register("admission_summary", "WITH RECURSIVE " + ",".join([O.REQUESTS, _R1_SQL]) + f"""
 SELECT (t_ms // {DAY_MS}) * {DAY_MS} AS bucket_start_ms, count(*) AS offered, CAST(count_if(admitted) AS BIGINT) AS admitted,

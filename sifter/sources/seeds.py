@@ -28,7 +28,7 @@ def generate_tasks(spark: SparkSession, n: int, bad_ratio: float = 0.1, n_users:
     """G1: ``n`` synthetic review tasks, generated in parallel by ``spark.range``.
 
     Content is a fixed sentence plus a random number below 1,000,000; a
-    ``bad_ratio`` share also carries " buy casino tokens now".  Authors are
+    ``bad_ratio`` share also has a seed block word.  Authors are
     1..``n_users``; submit times step by ``step_ms``.
     """
     r = spark.range(0, n, numPartitions=partitions) if partitions else spark.range(0, n)

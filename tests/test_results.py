@@ -121,6 +121,23 @@ def test_token_bucket_matches_sequential_fold(spark, monkeypatch, q, unit, burst
     assert got == _bucket_reference(rows, q, unit, burst, cost)
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_busy_global_key_has_no_task_with_all_rows(spark, monkeypatch, rounds):
+    """One key under load, overload and pauses: the closed form and what is left of it equal the fold."""
+    monkeypatch.setattr(ordered, "MIN_ROWS", 1)
+    monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
+    rng = random.Random(rounds)
+    rows, t = [], 0
+    for i in range(3000):
+        t += rng.choice([0, 1, 4, 30] if (i // 300) % 2 else [3, 6, 9, 200])
+        rows.append(("post:create", t, i))
+    df = spark.createDataFrame(rows, "key string, t_ms long, request_id long")
+    got = {r.request_id: r.admitted for r in token_bucket(df, tokens_per_period=50, period_ms=1000, burst=20,
+                                                          cell_ms=1000, rounds=rounds).collect()}
+    expect = _bucket_reference(rows, 50, 1000, 20, 1)
+    assert got == expect and 0 < sum(expect.values()) < 3000
+
+
 def test_token_bucket_burst_cap(spark):
     df = spark.createDataFrame([("post:create", 0, i) for i in range(1000)], "key string, t_ms long, request_id long")
     n = token_bucket(df).where("admitted").count()
