@@ -161,7 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = HELD_OUT_FOLDS) -> tu
         return {}, float(np.log(prior / (1 - prior)))
     bags = int(min(MAX_BAGS, max(1, min(n_toxic, MAX_POSITIVE) // BAG_POSITIVE)))
     toxic = _sampled(known.filter("toxic = 1").select("doc_id"), n_toxic, MAX_POSITIVE)
-    sample = (texts.join(toxic, "doc_id", "left_semi").withColumn("positive", F.lit(True))
+    # at most about MAX_POSITIVE ids, whatever the input: broadcast, so no text is shuffled to find them
+    sample = (texts.join(F.broadcast(toxic), "doc_id", "left_semi").withColumn("positive", F.lit(True))
               .unionByName(_sampled(texts, texts.select("doc_id").count(), MAX_UNLABELLED).withColumn("positive", F.lit(False)))
               .select("text", "positive", F.pmod(F.xxhash64("doc_id"), F.lit(bags)).cast("int").alias("bag")))
 
