@@ -50,6 +50,15 @@ def test_prior_rejections_split_only_heavy_authors(spark, monkeypatch):
     assert "hashpartitioning(user_id" in txt and "_cell" in txt
 
 
+def test_heavy_authors_do_not_read_the_texts_again(spark, monkeypatch):
+    from sifter.operators import ordered
+
+    monkeypatch.setattr(ordered, "MIN_ROWS", 1)
+    monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
+    # the scan ran once, into the written slim rows
+    assert "documents.parquet" not in plan(catalog.q_reputation_at_review(spark, SF_SMALL))
+
+
 def test_every_query_has_an_oracle_except_none():
     missing = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert missing == set()
