@@ -119,7 +119,9 @@ def later_copies(lines: DataFrame, min_words: int) -> DataFrame:
     head = ranks.select("k", F.col("p").alias("s"), F.col("r").alias("r1"))
     tail = ranks.select("k", F.col("p").alias("t"), F.col("r").alias("r2"))
     named = materialize(windows.join(head, ["k", "s"]).join(tail, ["k", "t"]).select("s", "n", "r1", "r2"), "windows")
-    first = named.groupBy("n", "r1", "r2").agg(F.min("s").alias("first"))
+    first = materialize(named.groupBy("n", "r1", "r2").agg(F.min("s").alias("first"), F.count(F.lit(1)).alias("copies"))
+                        .filter("copies > 1").drop("copies"), "first-windows")
+    # both sides come from files, so a window with very many copies is a skewed join side that can be split
     return named.join(first, ["n", "r1", "r2"]).filter("s > first").select("s", "n")
 
 
