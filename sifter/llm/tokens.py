@@ -209,10 +209,10 @@ def real_words(texts: pa.Array, table: bytes) -> tuple[np.ndarray, pa.Array]:
     return np.diff(upto[offsets - offsets[0]]), words.filter(real)
 
 
-def word_table(path: str | None = None) -> WordTable:
+def word_table(path: str | None = None, max_words: int = MAX_WORDS) -> WordTable:
     """The worker's table for the vocabulary at ``path``."""
     path = path or vocab_path()
-    return worker_state(f"words:{path}", lambda: WordTable(path))
+    return worker_state(f"words:{path}:{max_words}", lambda: WordTable(path, max_words))
 
 
 def groups(texts: pa.Array, group_bytes: int = GROUP_BYTES) -> Iterator[tuple[int, pa.Array]]:
