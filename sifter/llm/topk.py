@@ -4,9 +4,12 @@ Each shard of vectors keeps one sorted list per dimension.  Reading the lists
 to a depth s bounds every unseen vector by
 ``T(s) = sum_d q_d * (value at depth s of list d, from the top if q_d > 0, else from the bottom)``;
 a query stops at the first depth whose bound is below its k-th best score.
-The k-th score of the shards read before already bounds a task's next one, so
-many shards are left after their first entries.  Queries whose lists would be
-read to more entries than the shard has vectors share one matrix product.
+Vectors are grouped around sampled ones, and a shard has vectors of one group,
+so that its bounds are close.  A query's k-th score in the sample is a lower
+bound of its k-th score in the table; with it, and with what the task's earlier
+shards gave, a shard whose first entries are bounded below it is left at once.
+Queries whose lists would be read to more entries than the shard has vectors
+share one matrix product.
 
 Scores are whole numbers, so results are exact; ties go to the smaller id.
 """
@@ -26,10 +29,15 @@ from sifter.llm.common import materialize
 K = 20
 SCALE = 64
 SHARD_ROWS = 8192
+TASK_SHARDS = 16  # shards' worth of vectors in a task, at least
+GROUP_ROWS = 512  # vectors around a sampled one, about
+GROUPS = 1024
+SAMPLE = 4096
 QUERY_BLOCK_BYTES = 16 * 1024 * 1024
+LEAST = np.iinfo(np.int64).min
 EXACT = float(1 << 53)  # whole numbers below it are exact as doubles
 
-HIT_SCHEMA = "query_id long, vec_id array<long>, score array<long>"
+HIT_SCHEMA = "query_id long, vec_id array<long>, score array<long>, shards long, stopped long"
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -65,11 +73,12 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Best:
     """The k best (score, id) of each query so far."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, floor: np.ndarray | None = None):
+        """``floor``: a score that each query's k-th best is known to reach."""
         self.k = k
         self.score = [np.zeros(0, np.int64)] * n
         self.id = [np.zeros(0, np.int64)] * n
-        self.kth = np.full(n, -np.inf)
+        self.kth = np.full(n, LEAST) if floor is None else floor.copy()
 
     def add(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
         if len(scores) > self.k:  # what is below the k-th of these cannot count
@@ -79,11 +88,11 @@ class Best:
         order = np.lexsort((ids, -scores))[:self.k]
         self.score[q], self.id[q] = scores[order], ids[order]
         if len(order) == self.k:
-            self.kth[q] = scores[order[-1]]
+            self.kth[q] = max(self.kth[q], scores[order[-1]])
 
 
-def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, best: Best) -> None:
-    """Threshold algorithm of all queries over one shard."""
+def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, best: Best) -> np.ndarray:
+    """Threshold algorithm of all queries over one shard: which of them a bound stopped."""
     n, dims = x.shape
     order = np.argsort(-x, axis=0, kind="stable")  # list of each dimension, largest first
     values = np.take_along_axis(x, order, axis=0)
@@ -92,7 +101,8 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
     # bound on vectors unseen after reading entries 0..depth of each list
     bound = _products(up, values[depths]) + _products(down, values[n - 1 - depths])
     whole = []
-    for q in range(len(queries)):
+    stopped = bound[:, 0] < best.kth  # the first entries bound all vectors
+    for q in np.flatnonzero(~stopped).tolist():
         stop = np.flatnonzero(bound[q] < best.kth[q])
         used = np.flatnonzero(queries[q])
         read = int(depths[stop[0]]) + 1 if len(stop) else n
@@ -110,6 +120,7 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
             if len(fresh):
                 best.add(q, _products(queries[q:q + 1], x[fresh])[0], ids[fresh])
             if bound[q, k] < best.kth[q]:
+                stopped[q] = True
                 break
             at = depth + 1
     for first in range(0, len(whole), 512):
@@ -120,70 +131,124 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
             fit = other & (row >= best.kth[q])
             if fit.any():
                 best.add(q, row[fit], ids[fit])
+    return stopped
 
 
-def _query_blocks(queries: DataFrame, dims: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All queries in blocks of bounded size, read one after the other."""
+def floors(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Each query's k-th best score among some of the vectors; LEAST with fewer than ``k`` besides its own."""
+    out = np.full(len(queries), LEAST)
+    for first in range(0, len(queries), 512):
+        scores = _products(queries[first:first + 512], x)
+        scores[query_ids[first:first + 512, None] == ids] = LEAST
+        if len(ids) >= k:
+            out[first:first + 512] = np.partition(scores, -k, axis=1)[:, -k]
+    return out
+
+
+def nearest(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The number of the pivot at the least distance, by doubles: it groups only."""
+    p = pivots.astype(np.float64)
+    return np.argmax(x.astype(np.float64) @ p.T - (p ** 2).sum(axis=1) / 2, axis=1)
+
+
+def _query_blocks(queries: DataFrame, dims: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All queries (id, v, floor) in blocks of bounded size, read one after the other."""
     rows, limit = [], max(1, QUERY_BLOCK_BYTES // (8 * max(dims, 1)))
+
+    def block() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, v, floor = zip(*rows)
+        return np.array(ids, np.int64), _matrix(pa.array(v, pa.list_(pa.int64())), dims), np.array(floor, np.int64)
+
     for r in queries.toLocalIterator():
-        rows.append((r["id"], r["v"]))
+        rows.append((r["id"], r["v"], r["floor"]))
         if len(rows) == limit:
-            yield np.array([i for i, _ in rows], np.int64), _matrix(pa.array([v for _, v in rows], pa.list_(pa.int64())), dims)
+            yield block()
             rows = []
     if rows:
-        yield np.array([i for i, _ in rows], np.int64), _matrix(pa.array([v for _, v in rows], pa.list_(pa.int64())), dims)
+        yield block()
 
 
-def top_k(vectors: DataFrame, queries: str = "id % 20 = 0", k: int = K, scale: int = SCALE, id_col: str = "vec_id",
-          vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's ``k`` best of all other rows, by whole inner product.
-
-    ``queries``: which ids are queries.  A query's own row is the one with its
-    id; repeated query rows ask once, repeated candidates each take a place.
-    A vector shorter than the longest is filled with zeros.  Fewer than ``k``
-    candidates give them all; an empty table or one without queries gives no
-    rows.
-
-    The queries are broadcast in blocks of at most 16 MB and each block meets
-    all candidates; a task gives at most ``k`` rows per query, and a ranking
-    window cuts them to ``k``.
-    """
+def task_hits(vectors: DataFrame, queries: str, k: int, scale: int, id_col: str, vector_col: str) -> DataFrame:
+    """A row per query and task: its best there, the shards it met and those that a bound stopped."""
     spark = vectors.sparkSession
     whole = materialize(whole_vectors(vectors, id_col, vector_col, scale), "vectors")
     rows, dims = whole.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     dims = dims or 0
-    shards = max(-(-rows // SHARD_ROWS), spark.sparkContext.defaultParallelism)
-    dealt = whole.repartition(shards)
+    some = whole.orderBy(F.xxhash64("id", "v"), "id").limit(max(1, min(SAMPLE, QUERY_BLOCK_BYTES // (8 * max(dims, 1))))).collect()
+    sample = np.array([r["id"] for r in some], np.int64), _matrix(pa.array([r["v"] for r in some], pa.list_(pa.int64())), dims)
+    pivots = np.unique(sample[1][:max(1, min(GROUPS, rows // GROUP_ROWS))], axis=0)
+    given = spark.sparkContext.broadcast((sample, pivots))
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = nearest(_matrix(batch.column(1), dims), given.value[1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32))], ["id", "v", "near"])
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            floor = floors(batch.column(0).to_numpy(), _matrix(batch.column(1), dims), *given.value[0], k)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floor)], ["id", "v", "floor"])
+
+    tasks = max(-(-rows // (SHARD_ROWS * TASK_SHARDS)), spark.sparkContext.defaultParallelism)
+    dealt = (whole.mapInArrow(group, "id long, v array<long>, near int").repartitionByRange(tasks, "near", "id")
+             .sortWithinPartitions("near", "id"))
+    asked = whole.filter(queries).dropDuplicates(["id", "v"]).mapInArrow(bound, "id long, v array<long>, floor long")
     hits = None
-    for block in _query_blocks(whole.filter(queries).dropDuplicates(["id", "v"]), dims):
+    for block in _query_blocks(asked, dims):
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            query_ids, q = shared.value
-            best = Best(len(q), k)
+            query_ids, q, floor = shared.value
+            best = Best(len(q), k, floor)
             held: list[pa.RecordBatch] = []
+            shards, stopped = 0, np.zeros(len(q), np.int64)
 
             def shard() -> None:
+                nonlocal shards, stopped
                 ids = np.concatenate([b.column(0).to_numpy() for b in held])
                 x = np.concatenate([_matrix(b.column(1), dims) for b in held])
-                search_shard(ids, x, query_ids, q, best)
+                stopped += search_shard(ids, x, query_ids, q, best)
+                shards += 1
                 held.clear()
 
             for batch in batches:
-                for first in range(0, batch.num_rows, SHARD_ROWS):
-                    held.append(batch.slice(first, SHARD_ROWS))
-                    if sum(b.num_rows for b in held) >= SHARD_ROWS:
-                        shard()
+                near = batch.column(2).to_numpy()
+                cuts = [0, *(np.flatnonzero(near[1:] != near[:-1]) + 1).tolist(), len(near)]
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    for first in range(a, b, SHARD_ROWS):
+                        piece = batch.slice(first, min(SHARD_ROWS, b - first))
+                        if held and (held[0].column(2)[0] != piece.column(2)[0]
+                                     or sum(p.num_rows for p in held) + piece.num_rows > SHARD_ROWS):
+                            shard()
+                        held.append(piece)
             if held:
                 shard()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids), pa.array(best.id, pa.list_(pa.int64())), pa.array(best.score, pa.list_(pa.int64()))],
-                ["query_id", "vec_id", "score"])
+                [pa.array(query_ids), pa.array(best.id, pa.list_(pa.int64())), pa.array(best.score, pa.list_(pa.int64())),
+                 pa.array(np.full(len(q), shards)), pa.array(stopped)], ["query_id", "vec_id", "score", "shards", "stopped"])
 
         found = dealt.mapInArrow(search, HIT_SCHEMA)
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         hits = spark.createDataFrame([], HIT_SCHEMA)
+    return hits
+
+
+def top_k(vectors: DataFrame, queries: str = "id % 20 = 0", k: int = K, scale: int = SCALE, id_col: str = "vec_id",
+          vector_col: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's ``k`` best of all other rows, by whole inner product.
+
+    ``queries``: which ids are queries.  A query's own row is the one with its
+    id; repeated query rows ask once, repeated candidates each take a place.
+    A vector shorter than the longest is filled with zeros.  Fewer than ``k``
+    candidates give them all; an empty table or one without queries gives no
+    rows.
+
+    The queries are broadcast in blocks of at most 16 MB, and each block meets
+    all candidates that a bound does not rule out; a task gives at most ``k`` rows per query, and a ranking
+    window cuts them to ``k``.
+    """
+    hits = task_hits(vectors, queries, k, scale, id_col, vector_col)
     each = hits.select("query_id", F.explode(F.arrays_zip("vec_id", "score")).alias("h")).select("query_id", "h.vec_id", "h.score")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -47,6 +47,27 @@ def test_clusters_stop_early(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_bounds_stop_queries_of_the_whole_table(spark, monkeypatch):
+    """In the query itself, most shards of clustered vectors are left by a bound, with the same answers."""
+    monkeypatch.setattr(topk, "GROUP_ROWS", 10)
+    rng = random.Random(6)
+    centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(10)]
+    rows = [(i, [c + rng.gauss(0, 0.05) for c in centres[i % 7 + i // 500]]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    met, stopped = topk.task_hits(df, "id % 20 = 0", 20, 64, "vec_id", "embedding").selectExpr("sum(shards)", "sum(stopped)").first()
+    assert met > 75 * 20 and stopped > met / 2
+    check(spark, rows)
+
+
+def test_a_floor_keeps_ties_and_short_tables():
+    ids, x = np.arange(6), np.array([[5], [4], [4], [4], [1], [0]])
+    floor = topk.floors(ids[:1], x[:1], ids, x, 2)
+    best = topk.Best(1, 2, floor)
+    topk.search_shard(ids, x, ids[:1], x[:1], best)
+    assert floor[0] == 20 and best.id[0].tolist() == [1, 2]
+    assert topk.floors(ids[:1], x[:1], ids, x, 6)[0] == topk.floors(ids[:1], x[:1], ids[:2], x[:2], 3)[0] == topk.LEAST
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [0.5, -1.0]), (20, [0.1, 0.2]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [inf, 0.0]),
