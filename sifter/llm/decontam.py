@@ -213,13 +213,27 @@ def contamination(matches: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with all their columns.
 
-    A row is dropped by its doc_id; rows with a NULL doc_id are judged together.
+    Each row is judged by its own text, whatever its doc_id, where it is read: no text is shuffled.  A benchmark of
+    several blocks is a pass over what the one before kept.
     """
-    bad = find_matches(docs, benchmark, window).filter("n_hit > 0").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    at = docs.columns.index("text")
+    kept = None
+    for block in benchmark_blocks(benchmark, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            tests = TestSuffixes(shared.value, window)
+            for batch in batches:
+                for first, group in groups(batch.column(at)):
+                    clean = [m[1] == 0 for m in match_shard(tests, group, window)]
+                    yield batch.slice(first, len(group)).filter(pa.array(clean, pa.bool_()))
+
+        kept = (docs if kept is None else materialize(kept, "decontam-kept")).mapInArrow(keep, docs.schema)
+    return kept
 
 
 ship_by_value(__name__)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sifter.llm.centroids import cluster_vectors
 from sifter.llm.common import read_table
 from sifter.llm.decontam import contamination, find_matches
 from sifter.llm.line_dedup import dedup_lines
@@ -118,3 +119,34 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@register
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's centroid of eight after ten rounds, by bisector tournament."""
+    return cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def _centroid_sql(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """The rounds written out: c<i> has the centroids after i rounds, a<i> the vectors with key distance * k + number."""
+    ctes = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+                 FROM embeddings WHERE len(embedding) = {dims} AND list_count(embedding) = {dims}
+                   AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0)""",
+            f"""c0 AS MATERIALIZED (SELECT num, v FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)) NULLS LAST, v) - 1 AS num, v
+                 FROM v) WHERE num < {k})"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT rid, min(CAST(list_inner_product(v.v, v.v) - 2 * list_inner_product(v.v, c.v)
+                 + list_inner_product(c.v, c.v) AS BIGINT) * {k} + num) AS key FROM v CROSS JOIN c{i} c GROUP BY rid)""")
+        if i < rounds:
+            ctes.append(f"""s{i} AS (SELECT num, list(CAST(q AS DOUBLE) ORDER BY d) AS v FROM (
+                 SELECT key % {k} AS num, d, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS q
+                 FROM (SELECT key, unnest(range({dims})) AS d, CAST(unnest(v) AS BIGINT) AS x FROM a{i} JOIN v USING (rid)) GROUP BY ALL) GROUP BY num)""")
+            ctes.append(f"c{i + 1} AS MATERIALIZED (SELECT c.num, coalesce(s.v, c.v) AS v FROM c{i} c LEFT JOIN s{i} s ON s.num = c.num)")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, CAST(key % {k} AS INTEGER) AS cluster, CAST(key // {k} AS BIGINT) AS distance,
+       CAST(sum(key // {k}) OVER (PARTITION BY key % {k}) AS BIGINT) AS cluster_inertia, CAST(sum(key // {k}) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c.v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (rid) JOIN c{rounds} c ON c.num = key % {k}"""
+
+
+ORACLE["op11_centroids"] = _centroid_sql()

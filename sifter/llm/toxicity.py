@@ -190,19 +190,22 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = HELD_OUT_FOLDS) -> tu
     return weights, bias
 
 
+def text_scores(group: pa.Array, weights: dict[int, float], bias: float) -> np.ndarray:
+    """Probability of toxic of each text; NULL and empty texts have the bias alone."""
+    text, feature = features_of(group, weights)
+    return sigmoid(bias + np.bincount(text, weights=[weights[f] for f in feature.tolist()], minlength=len(group)))
+
+
 def score(docs: DataFrame, model: tuple[dict[int, float], float]) -> DataFrame:
     """doc_id and score (probability of toxic) of every whole text; NULL and empty texts have the bias alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     texts = only(docs, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
         for batch in batches:
             for first, group in groups(batch.column(1)):
-                text, feature = features_of(group, weights)
-                logit = bias + np.bincount(text, weights=[weights[f] for f in feature.tolist()], minlength=len(group))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(group)), pa.array(sigmoid(logit))], ["doc_id", "score"])
+                    [batch.column(0).slice(first, len(group)), pa.array(text_scores(group, *shared.value))], ["doc_id", "score"])
 
     return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double")
 
@@ -219,9 +222,19 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = HELD_OUT_FOLDS) ->
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``threshold``, with all their columns; NULL doc_ids go or stay together."""
-    bad = score(docs, train(docs, labels)).filter(F.col("score") >= threshold).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of ``docs`` whose score is below ``threshold``, with all their columns.
+
+    Each row is judged by its own text, whatever its doc_id, where it is read: no text is shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, group in groups(batch.column(at)):
+                yield batch.slice(first, len(group)).filter(pa.array(text_scores(group, *shared.value) < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 ship_by_value(__name__)

@@ -79,3 +79,14 @@ def test_affected_documents_go_and_clean_ones_stay(spark):
     kept = remove_contaminated(spark.createDataFrame(rows, "doc_id long, text string, spans int"),
                                spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert kept.columns == ["doc_id", "text", "spans"] and sorted(r.spans for r in kept.collect()) == [5, 7, 8, 9]
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    rows = [(None, item, 1), (None, "clean", 2), (5, "a " + item, 3), (5, "clean", 4), (6, "clean", 5), (7, None, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    bench = spark.createDataFrame([(1, item), (2, "x y z " * 5), (3, "p q r " * 5)], "item_id long, text string")
+    for options in ({}, {"block_bytes": 10}):
+        kept = remove_contaminated(df, bench, **options)
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.row for r in kept.collect()) == [2, 4, 5, 6]

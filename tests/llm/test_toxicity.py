@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from sifter.llm import toxicity as tx
 
@@ -76,3 +77,17 @@ def test_the_negative_part_of_the_risk_does_not_fall_below_zero():
     u = [np.array([signal, *rng.integers(0, 1000, 5)]) for _ in range(40)] + [rng.integers(0, 1000, 6) for _ in range(360)]
     keep, w, b = tx.train_nnpu(p, u, 0.1)
     assert signal in keep and w[list(keep).index(signal)] + b > 0 > b
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    docs, labels = corpus(300)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in tx.classify(df, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    texts = dict(docs)
+    bad, good = max(scores, key=scores.get), min(scores, key=scores.get)
+    assert scores[bad] >= 0.5 > scores[good]
+    more = df.withColumn("row", F.lit(0)).unionByName(spark.createDataFrame(
+        [(None, texts[bad], 1), (None, texts[good], 2), (-5, texts[bad], 3), (-5, texts[good], 4)], "doc_id long, text string, row int"))
+    kept = tx.remove_toxic(more, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.row for r in kept.collect() if r.row) == [2, 4]
