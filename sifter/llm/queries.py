@@ -12,6 +12,7 @@ from sifter.llm.decontam import contamination, find_matches
 from sifter.llm.line_dedup import dedup_lines
 from sifter.llm.lm import score_documents
 from sifter.llm.packing import pack_documents
+from sifter.llm.prefix_trie import prefix_trie
 from sifter.llm.sharding import assign_shards
 from sifter.llm.simhash import near_duplicates
 from sifter.llm.token_counts import count_tokens
@@ -150,3 +151,34 @@ FROM a{rounds} JOIN v USING (rid) JOIN c{rounds} c ON c.num = key % {k}"""
 
 
 ORACLE["op11_centroids"] = _centroid_sql()
+
+
+@register
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+# CRC-32 of a decimal number: eight shifts for each of its characters.
+_CRC_BYTE = ("list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))")
+_CRC = ("xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))), "
+        f"lambda a, s: list_transform([xor(a, s)], lambda b: {_CRC_BYTE})[1]), 4294967295)")
+
+ORACLE["op13_prefix_trie"] = f"""
+WITH own AS (SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns,
+                    CAST({_CRC} % 6 AS BIGINT) AS h
+             FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+reb AS (SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+        FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+pre AS (SELECT conv_id, len(turns) AS size, d, turns[1:d] AS node FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM reb)),
+n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, list(conv_id ORDER BY conv_id) FILTER (size = d) AS ends
+      FROM pre GROUP BY node, d),
+k AS (SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL),
+w AS (SELECT n.*, coalesce(kids, 0) AS kids, (n_convs - 1) * CASE WHEN n.d > 0 THEN length(n.node[n.d].x) ELSE 0 END AS saved
+      FROM n LEFT JOIN k ON k.d = n.d AND k.node = n.node),
+up AS (SELECT node[1:a] AS node, a AS d, sum(saved) AS saved, count(*) FILTER (kids = 0) AS leaves
+       FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM w) GROUP BY ALL)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.kids AS n_children, up.leaves AS n_leaves,
+       CAST(up.saved AS BIGINT) AS saved_tokens, sha256(coalesce(array_to_string(w.ends, ','), '')) AS ends_sha256
+FROM w JOIN up ON up.d = w.d AND up.node = w.node LEFT JOIN n p ON p.d = w.d - 1 AND p.node = w.node[1:w.d - 1]
+"""
