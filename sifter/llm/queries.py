@@ -13,6 +13,7 @@ from sifter.llm.line_dedup import dedup_lines
 from sifter.llm.lm import score_documents
 from sifter.llm.packing import pack_documents
 from sifter.llm.prefix_trie import prefix_trie
+from sifter.llm.secrets import find_secrets
 from sifter.llm.sharding import assign_shards
 from sifter.llm.simhash import near_duplicates
 from sifter.llm.token_counts import count_tokens
@@ -153,6 +154,12 @@ FROM a{rounds} JOIN v USING (rid) JOIN c{rounds} c ON c.num = key % {k}"""
 ORACLE["op11_centroids"] = _centroid_sql()
 
 
+@register
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's secrets: spans of the fixed patterns and those that zstandard finds novel."""
+    return find_secrets(read_table(spark, sf_dir, "documents")).drop("secrets")
+
+
 @register
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of all rebuilt conversations."""
