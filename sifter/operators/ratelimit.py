@@ -7,29 +7,34 @@ bucket.  Later: ``tokens = min(burst, tokens + elapsed * rate)``; admit when
 (200 tokens/s = 200 per 1000 ms).  Input is replayed in sorted order, so a
 late caller never gets time refilled twice.
 
-A refusal feeds back into the state, yet most of the log has a closed form:
-
-* **Full points.**  A request finds a full bucket if the time since the one
-  before refills any bucket, or if the bucket would be full even had every
-  earlier request been admitted: with ``x_i = cost * i - rate * t_i`` that is
-  when ``x_i`` is no larger than any earlier ``x``.  What follows a full point
-  does not depend on what was before it, so the log splits there.
-* **Between them.**  As long as the bucket does not run over, with ``A_i =
-  burst + rate * (t_i - t_0)``, the requests admitted up to the i-th (from 1)
-  are ``i + min(0, min over j <= i of (floor(A_j / cost) - j))``: a running
-  minimum.  The first request that finds more than a full bucket by this count
-  is a full point too; the rows from there on go into the next round.
-
-Keys with few rows for a task are folded row by row, each key in one task, as
-a stream of batches with O(1) state.  Busy keys (:func:`heavy_keys`) take the
-closed form: running aggregates (:mod:`sifter.operators.ordered`) spread them
-over time cells, so one global key under steady load or overload is not one
-task.  What is left of them after ``ROUNDS`` rounds (stretches that run over
-again and again, yet never by the two rules above) is folded per stretch.
+**Cells.**  The log is range-dealt by (key, time, id) into cells of about
+``CELL_ROWS`` rows, whatever the keys: a cell holds many small keys, or a
+stretch of a busy one.  A cell is replayed in one task; what a stretch needs
+from before it is the number of tokens at its first request, its entry.
+
+**Entries by a scan of state maps.**  How a cell maps its entry to its exit is
+not monotone (one unit more at the entry can admit one request more), so the
+tokens are split into ``level + phase``:
+
+* The *level* is the bucket in which every request takes what it costs or all
+  that is left: ``min(burst, . + inflow)``, then ``max(0, . - cost)``.  A cell's
+  map of levels is ``min(high, max(low, . + shift))``, three numbers, and such
+  maps compose.
+* The *phase*, tokens minus level, starts at 0 and stays in [0, cost).  Given
+  the levels it only changes near the bottom, where a level below ``cost``
+  turns it by that level modulo ``cost``, and near the top, where it is cut to
+  ``burst - level``.  A cell's map of phases is piecewise linear; a full bucket
+  makes it constant.
+
+So two passes over the stretches of keys that cross a cell border give a few
+numbers per cell, a fold over those per key gives all entries, and a third pass
+replays all cells at once.  No task folds more rows than its cells have,
+however long a key is over or under its rate.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,114 +44,303 @@ from pyspark.sql import functions as F
 
 from sifter import constants as K
 from sifter.functions.pyworker import ship_by_value
-from sifter.operators.ordered import heavy_keys, running_agg
 from sifter.session import write_and_read
 
-ROUNDS = 3
+CELL_ROWS = 200_000
+
+
+class Limit:
+    """A limiter's numbers, in units: capacity, cost of a request, and inflow per millisecond."""
+
+    def __init__(self, tokens_per_period: int, period_ms: int, burst: int, cost: int):
+        self.capacity, self.cost, self.per_ms = burst * period_ms, cost * period_ms, tokens_per_period
+
+
+class PhaseMap:
+    """A map of phases [0, cost) -> [0, cost): pieces that are constant or grow with the phase."""
+
+    def __init__(self, cost: int):
+        self.cost = cost
+        # (first phase of the piece, value there, 1 if it grows else 0)
+        self.pieces = [(0, 0, 1 if cost > 0 else 0)]
+        self.turn_by, self.cut_at = 0, None  # of the last run of turns or cuts, not yet applied
+
+    def cut(self, most: int) -> None:
+        if self.turn_by:
+            self._turn()
+        self.cut_at = most if self.cut_at is None else min(self.cut_at, most)
+
+    def turn(self, by: int) -> None:
+        if self.cut_at is not None:
+            self._cut()
+        self.turn_by = (self.turn_by + by) % self.cost
+
+    def _ends(self) -> Iterator[tuple[int, int, int, int]]:
+        for i, (start, value, grows) in enumerate(self.pieces):
+            yield start, self.pieces[i + 1][0] if i + 1 < len(self.pieces) else max(self.cost, 1), value, grows
+
+    def _put(self, pieces: list[tuple[int, int, int]]) -> None:
+        """The pieces, without those that only go on where the one before ends."""
+        self.pieces = pieces[:1]
+        for p in pieces[1:]:
+            start, value, grows = self.pieces[-1]
+            if p[2] != grows or p[1] != value + grows * (p[0] - start):
+                self.pieces.append(p)
+
+    def _cut(self) -> None:
+        most, self.cut_at, out = self.cut_at, None, []
+        for start, end, value, grows in self._ends():
+            if value >= most:
+                out.append((start, most, 0))
+            elif grows and value + (end - 1 - start) > most:
+                out += [(start, value, 1), (start + most - value, most, 0)]
+            else:
+                out.append((start, value, grows))
+        self._put(out)
 
+    def _turn(self) -> None:
+        by, self.turn_by, out = self.turn_by, 0, []
+        for start, end, value, grows in self._ends():
+            value += by
+            if value >= self.cost:
+                out.append((start, value - self.cost, grows))
+            elif grows and value + (end - 1 - start) >= self.cost:
+                out += [(start, value, 1), (start + self.cost - value, 0, 1)]
+            else:
+                out.append((start, value, grows))
+        self._put(out)
 
-def _fold_runs(burst_units: int, cost_units: int, per_ms: int):
-    """Folds runs of rows sorted by (key, segment, time, id); state is carried across batches."""
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, tokens, ts = object(), 0, 0  # sentinel: never equal to a (key, segment) pair
+    def settled(self) -> list[tuple[int, int, int]]:
+        if self.turn_by:
+            self._turn()
+        if self.cut_at is not None:
+            self._cut()
+        return self.pieces
+
+
+def apply_phase(starts: list[int], values: list[int], grows: list[int], phase: int) -> int:
+    i = bisect_right(starts, phase) - 1
+    return int(values[i]) + (phase - int(starts[i]) if grows[i] else 0)
+
+
+def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches that are not empty, each with where a stretch (rows of one _cell and _k) begins."""
+    last = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        codes = pd.factorize(pdf["_k"], use_na_sentinel=False)[0]
+        cells = pdf["_cell"].to_numpy()
+        first, end = ((int(cells[i]), None if pd.isna(pdf["_k"].iat[i]) else pdf["_k"].iat[i]) for i in (0, -1))
+        yield pdf, np.concatenate([[first != last], (codes[1:] != codes[:-1]) | (cells[1:] != cells[:-1])])
+        last = end
+
+
+def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bool, pd.DataFrame]]:
+    """Slices of rows of one stretch, with whether each is its first."""
+    for pdf, new in _batches(batches):
+        cuts = [0, *(np.flatnonzero(new[1:]) + 1).tolist(), len(pdf)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield bool(new[a]), pdf.iloc[a:b]
+
+
+def _levels(limit: Limit):
+    """Pass 1: a row per stretch with its map of levels and its first and last time."""
+    b, c, q = limit.capacity, limit.cost, limit.per_ms
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: list[tuple] = []
+        for new, part in _stretches(batches):
+            times = part["_t"].tolist()
+            if new:
+                done.append([part["_k"].iat[0], int(part["_cell"].iat[0]), times[0], times[0], 0, 0, b])
+            _, _, _, ts, shift, low, high = done[-1]
+            for t in times:
+                g = (t - ts) * q
+                ts = t
+                shift += g - c
+                low, high = max(0, min(low + g, b) - c), max(0, min(high + g, b) - c)
+            done[-1][3:] = [ts, shift, low, high]
+        yield pd.DataFrame(done, columns=["_k", "_cell", "_first", "_last", "_shift", "_low", "_high"])
+    return run
+
+
+def _entry_levels(limit: Limit):
+    """The fold over a key's maps of levels, in cell order: the level at each stretch's first request."""
+    b, q = limit.capacity, limit.per_ms
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = object()
+        level = ts = 0
         for pdf in batches:
-            keys = list(zip(pdf["_k"].tolist(), pdf["_seg"].tolist()))
-            t = pdf["_t"].tolist()
-            admitted = np.zeros(len(t), dtype=bool)
-            left = np.zeros(len(t), dtype=np.int64)
-            for i, now in enumerate(t):
-                if keys[i] != cur:          # a new segment starts with a full bucket
-                    cur, tokens = keys[i], burst_units
+            entry = []
+            for k, first, end, shift, low, high, known in zip(pdf["_k"], pdf["_first"].tolist(), pdf["_last"].tolist(), pdf["_shift"].tolist(),
+                                                              pdf["_low"].tolist(), pdf["_high"].tolist(), pdf["_known"]):
+                k = None if pd.isna(k) else k
+                if k != last:
+                    last, level = k, b if pd.isna(known) else int(known)
+                else:
+                    level = min(b, level + (first - ts) * q)
+                entry.append(level)
+                level, ts = min(high, max(low, level + shift)), end
+            yield pdf[["_k", "_cell"]].assign(_level=np.array(entry, np.int64))
+    return run
+
+
+def _phases(limit: Limit):
+    """Pass 2: a row per stretch with its map of phases; each stretch begins with its entry level (``_kind`` 0)."""
+    b, c, q = limit.capacity, limit.cost, limit.per_ms
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: list[tuple] = []
+        level, ts, phases = 0, None, None
+
+        def close() -> None:
+            starts, values, grows = zip(*phases.settled())
+            done[-1] += [list(starts), list(values), list(grows)]
+
+        for new, part in _stretches(batches):
+            times, kinds, entries = part["_t"].tolist(), part["_kind"].tolist(), part["_entry"].tolist()
+            if new:
+                if done:
+                    close()
+                done.append([part["_k"].iat[0], int(part["_cell"].iat[0])])
+                phases, ts = PhaseMap(c), None
+            for t, kind, entry in zip(times, kinds, entries):
+                if kind == 0:
+                    level = entry
+                    continue
+                if ts is not None:
+                    level = min(b, level + (t - ts) * q)
+                    if level > b - c:
+                        phases.cut(b - level)
+                ts = t
+                if level < c:
+                    phases.turn(level)
+                    level = 0
                 else:
-                    tokens = min(burst_units, tokens + max(0, now - ts) * per_ms)
-                if tokens >= cost_units:
-                    tokens -= cost_units
+                    level -= c
+        if done:
+            close()
+        yield pd.DataFrame(done, columns=["_k", "_cell", "_starts", "_values", "_grows"])
+    return run
+
+
+def _entry_tokens(limit: Limit):
+    """The fold over a key's maps of phases, in cell order: the tokens at each stretch's first request."""
+    b, c = limit.capacity, limit.cost
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, phase = object(), 0
+        for pdf in batches:
+            entry = []
+            for k, level, starts, values, grows in zip(pdf["_k"], pdf["_level"].tolist(), pdf["_starts"], pdf["_values"], pdf["_grows"]):
+                k = None if pd.isna(k) else k
+                # the inflow before the stretch can fill the bucket up
+                phase = min(phase, b - level) if k == last else 0
+                last = k
+                entry.append(level + phase)
+                phase = apply_phase(starts, values, grows, phase) if c > 0 else 0
+            yield pdf[["_k", "_cell"]].assign(_entry=np.array(entry, np.int64))
+    return run
+
+
+def _replay(limit: Limit):
+    """Pass 3: every request's answer; a stretch without an entry row (``_kind`` 0) begins with a full bucket."""
+    b, c, q = limit.capacity, limit.cost, limit.per_ms
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokens, ts = b, None
+        for pdf, new in _batches(batches):
+            rows = zip(new.tolist(), pdf["_t"].tolist(), pdf["_kind"].tolist(), pdf["_entry"].tolist())
+            admitted, left = np.zeros(len(pdf), bool), np.zeros(len(pdf), np.int64)
+            for i, (begins, t, kind, entry) in enumerate(rows):
+                if begins:
+                    tokens, ts = b, None
+                if kind == 0:
+                    tokens = entry
+                    continue
+                if ts is not None:
+                    tokens = min(b, tokens + (t - ts) * q)
+                ts = t
+                if tokens >= c:
+                    tokens -= c
                     admitted[i] = True
                 left[i] = tokens
-                ts = now
-            yield pdf[["_k", "_id"]].assign(admitted=admitted, tokens_left=left)
-    return fold
+            yield pdf[["_k", "_t", "_id"]].assign(admitted=admitted, tokens_left=left)[pdf["_kind"].to_numpy() == 1]
+    return run
+
+
+def replay(slim: DataFrame, limit: Limit, cell_rows: int = CELL_ROWS, state: DataFrame | None = None) -> DataFrame:
+    """(_k, _t, _id, admitted, tokens_left) of the requests ``slim`` (_k, _t, _id).
+
+    ``state`` (_k, _tokens, _ts): keys whose bucket is known from before, one
+    row a key.  A request of such a key that is older than ``_ts`` counts as
+    made at ``_ts``: the bucket's clock never runs back.
+    """
+    ship_by_value(__name__)
+    spark = slim.sparkSession
+    if state is not None:
+        s = state.select(F.col("_k").alias("_sk"), "_ts")
+        slim = slim.join(s, slim["_k"].eqNullSafe(s["_sk"]), "left").select("_k", F.greatest("_t", "_ts").alias("_t"), "_id")
+    kinds = dict(slim.dtypes)
+    key, rid = f"_k {kinds['_k']}", f"_id {kinds['_id']}"
+    cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-slim.count() // cell_rows))
+    # (key, time, id) is a row of its own, so no key is too busy to be cut
+    dealt = write_and_read(slim.repartitionByRange(cells, "_k", "_t", "_id").withColumn("_cell", F.spark_partition_id()), "requests")
+    keys = dealt.groupBy("_k").agg(F.min("_cell").alias("_from"), F.max("_cell").alias("_to"), F.min("_t").alias("_first"))
+    if state is not None:
+        s = state.select(F.col("_k").alias("_sk"), "_tokens", "_ts")
+        # in whole numbers that cannot run over: a gap that refills any bucket is as good as a longer one
+        gap = F.least(F.col("_first") - F.col("_ts"), F.lit(limit.capacity))
+        keys = keys.join(s, keys["_k"].eqNullSafe(s["_sk"]), "left").withColumn(
+            "_known", F.least(F.lit(limit.capacity), F.col("_tokens") + gap * limit.per_ms)).drop("_sk", "_tokens", "_ts")
+    else:
+        keys = keys.withColumn("_known", F.lit(None).cast("long"))
+    keys = write_and_read(keys.where("_from < _to OR _known IS NOT NULL"), "cut-keys")  # without state at most a key per border
+    cut = keys.where("_from < _to").select(F.col("_k").alias("_ck"), "_known")
+
+    def by_cell(rows: DataFrame, *order: str) -> DataFrame:
+        return rows.repartition(cells, "_cell").sortWithinPartitions("_cell", "_k", *order)
+
+    def by_key(rows: DataFrame) -> DataFrame:
+        return rows.repartition("_k").sortWithinPartitions("_k", "_cell")
+
+    entries = keys.where("_from = _to").select("_k", F.col("_from").alias("_cell"), F.col("_known").alias("_entry"))
+    if cut.take(1):
+        wide = dealt.join(cut, dealt["_k"].eqNullSafe(cut["_ck"])).select("_k", "_t", "_id", "_cell")
+        maps = by_cell(wide, "_t", "_id").mapInPandas(
+            _levels(limit), f"{key}, _cell int, _first long, _last long, _shift long, _low long, _high long")
+        maps = maps.join(cut, maps["_k"].eqNullSafe(cut["_ck"])).drop("_ck")
+        levels = write_and_read(by_key(maps).mapInPandas(_entry_levels(limit), f"{key}, _cell int, _level long"), "levels")
+        marked = levels.select("_k", F.lit(None).cast("long").alias("_t"), F.lit(None).cast(kinds["_id"]).alias("_id"), "_cell",
+                               F.lit(0).alias("_kind"), F.col("_level").alias("_entry"))
+        rows = marked.unionByName(wide.select("*", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_entry")))
+        phases = by_cell(rows, "_kind", "_t", "_id").mapInPandas(
+            _phases(limit), f"{key}, _cell int, _starts array<long>, _values array<long>, _grows array<int>")
+        p = phases.select(F.col("_k").alias("_pk"), F.col("_cell").alias("_pc"), "_starts", "_values", "_grows")
+        both = levels.join(p, levels["_k"].eqNullSafe(p["_pk"]) & (levels["_cell"] == p["_pc"])).drop("_pk", "_pc")
+        entries = entries.unionByName(by_key(both).mapInPandas(_entry_tokens(limit), f"{key}, _cell int, _entry long"))
+    marked = entries.select("_k", F.lit(0).cast("long").alias("_t"), F.lit(None).cast(kinds["_id"]).alias("_id"), "_cell",
+                            F.lit(0).alias("_kind"), "_entry")
+    rows = marked.unionByName(dealt.select("_k", "_t", "_id", "_cell", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_entry")))
+    return by_cell(rows, "_kind", "_t", "_id").mapInPandas(_replay(limit), f"{key}, _t long, {rid}, admitted boolean, tokens_left long")
 
 
 def token_bucket(requests: DataFrame, *, key: str = "key", time_col: str = "t_ms", id_col: str = "request_id",
                  tokens_per_period: int = K.RATE_PER_SECOND, period_ms: int = 1000,
-                 burst: int = K.RATE_BURST, cost: int = 1, cell_ms: int | None = None,
-                 rounds: int = ROUNDS) -> DataFrame:
+                 burst: int = K.RATE_BURST, cost: int = 1, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Every request with ``admitted`` and ``tokens_left`` (in units of 1/period_ms token).
 
     ``requests`` needs ``key``, ``time_col`` (epoch ms) and an ``id_col`` that is
     unique per key; other columns are joined back at the end.  Building the
-    frame runs jobs: busy keys are looked for, their slim rows written once,
-    and each round writes what it settles.
+    frame runs jobs: the slim rows are written once with their cells, and so are
+    the keys that cross a border and their levels.
     """
-    b, c, q = burst * period_ms, cost * period_ms, tokens_per_period
-    full_gap = -(-b // q)  # ms of silence that refill any bucket completely
-    cell = cell_ms or 60_000  # one-minute cells spread a busy key over many tasks
-    order = ["_t", "_id"]
-    slim = requests.select(
-        F.col(key).alias("_k"), F.lit(0).cast("long").alias("_seg"), F.col(time_col).cast("bigint").alias("_t"),
-        F.col(id_col).alias("_id"))
-    ship_by_value(__name__)
-    kinds = dict(slim.dtypes)
-
-    def fold(rows: DataFrame) -> DataFrame:
-        return (rows.repartition("_k", "_seg").sortWithinPartitions("_k", "_seg", *order)
-                .mapInPandas(_fold_runs(b, c, q), f"_k {kinds['_k']}, _id {kinds['_id']}, admitted boolean, tokens_left long"))
-
-    busy = heavy_keys(slim, ["_k"])
-    if busy.isEmpty():
-        settled, left = [fold(slim)], None
-    else:
-        busy = F.broadcast(busy)  # at most rows / MIN_ROWS keys
-        settled = [fold(slim.join(busy, "_k", "left_anti"))]
-        left = write_and_read(slim.join(busy, "_k", "left_semi"), "requests")
-
-    def run(df: DataFrame, hot: DataFrame, keys: list[str], value, out: str, fn: str, inclusive: bool) -> DataFrame:
-        return running_agg(df, keys, order, value, out, F.floor(F.col("_t") / F.lit(cell)), fn=fn, inclusive=inclusive, hot=hot)
-
-    def stretches(df: DataFrame) -> DataFrame:
-        """The rows with new ``_seg`` numbers that start at full points."""
-        keys = ["_k", "_seg"]
-        hot = heavy_keys(df, keys)
-        x = run(run(df, hot, keys, F.lit(1), "_i", "sum", False), hot, keys, "_t", "_prev", "max", False)
-        x = write_and_read(x.withColumn("_x", F.lit(c) * F.coalesce("_i", F.lit(0)) - F.lit(q) * F.col("_t")), "refill")
-        x = run(x, hot, keys, "_x", "_low", "min", False)
-        full = F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") >= full_gap) | (F.col("_x") <= F.col("_low"))
-        x = write_and_read(x.withColumn("_start", full.cast("int")), "full-points")
-        return run(x, hot, keys, "_start", "_part", "sum", True).select(
-            "_k", F.xxhash64("_seg", "_part").alias("_seg"), "_t", "_id")
-
-    for _ in range(rounds if left is not None else 0):
-        seg = write_and_read(stretches(left), "stretches")
-        keys = ["_k", "_seg"]
-        hot = heavy_keys(seg, keys)
-        x = run(run(seg, hot, keys, F.lit(1), "_i", "sum", True), hot, keys, "_t", "_t0", "min", True)
-        a = F.lit(b) + F.lit(q) * (F.col("_t") - F.col("_t0"))
-        x = write_and_read(x.withColumn("_a", a).withColumn("_h", F.floor(F.col("_a") / F.lit(c)) - F.col("_i")), "supply")
-        x = run(run(x, hot, keys, "_h", "_m", "min", True), hot, keys, "_h", "_mp", "min", False)
-        n = F.col("_i") + F.least(F.lit(0), F.col("_m"))
-        before = F.col("_i") - 1 + F.least(F.lit(0), F.coalesce("_mp", F.lit(0)))
-        x = write_and_read(x.select("_k", "_seg", "_t", "_id", "_i", (n > before).alias("admitted"),
-                                    (F.col("_a") - c * n).alias("tokens_left"),
-                                    (F.col("_a") - c * before > b).alias("_over")), "counted")
-        # the first request of a stretch that the count lets run over; a stretch without one is settled
-        over = x.where("_over").groupBy(*keys).agg(F.min("_i").alias("_from"))
-        over = write_and_read(over, "overruns")
-        if over.isEmpty():
-            settled.append(x.select("_k", "_id", "admitted", "tokens_left"))
-            left = None
-            break
-        over = over.select(F.col("_k").alias("_ok"), F.col("_seg").alias("_oseg"), "_from")
-        same = x["_k"].eqNullSafe(over["_ok"]) & (x["_seg"] == over["_oseg"])
-        x = write_and_read(x.join(over, same, "left").drop("_ok", "_oseg"), "cut")
-        settled.append(x.where("_from IS NULL OR _i < _from").select("_k", "_id", "admitted", "tokens_left"))
-        left = x.where("_i >= _from").select("_k", "_seg", "_t", "_id")
-    if left is not None:
-        settled.append(fold(stretches(left)))
-    out = settled[0]
-    for s in settled[1:]:
-        out = out.unionByName(s)
+    slim = requests.select(F.col(key).alias("_k"), F.col(time_col).cast("bigint").alias("_t"), F.col(id_col).alias("_id"))
+    out = replay(slim, Limit(tokens_per_period, period_ms, burst, cost), cell_rows)
     if set(requests.columns) <= {key, id_col}:
         return out.select(*[F.col("_k" if n == key else "_id").alias(n) for n in requests.columns], "admitted", "tokens_left")
+    out = out.drop("_t")
     same = requests[key].eqNullSafe(out["_k"]) & requests[id_col].eqNullSafe(out["_id"])
     return requests.join(out, same).select(*requests.columns, "admitted", "tokens_left")

@@ -10,6 +10,7 @@ from sifter.operators import reports
 from sifter.operators import results as res
 from sifter.operators import ordered
 from sifter.operators.ordered import heavy_keys, running_agg
+from sifter.operators import ratelimit
 from sifter.operators.ratelimit import token_bucket
 
 
@@ -103,39 +104,77 @@ def _bucket_reference(rows, q, unit, burst, cost):
     return out
 
 
-@pytest.mark.parametrize("q,unit,burst,cost,split", [(200, 1000, 400, 1, False), (1, 50, 3, 1, True),
-                                                     (3, 10, 2, 2, True)])
-def test_token_bucket_matches_sequential_fold(spark, monkeypatch, q, unit, burst, cost, split):
-    if split:  # make the busy key take the celled path
-        monkeypatch.setattr(ordered, "MIN_ROWS", 1)
-        monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
+@pytest.mark.parametrize("q,unit,burst,cost,cell_rows", [(200, 1000, 400, 1, 10**6), (1, 50, 3, 1, 50), (3, 10, 2, 2, 300), (5, 10, 1, 3, 100)])
+def test_token_bucket_matches_sequential_fold(spark, q, unit, burst, cost, cell_rows):
     rng = random.Random(q + unit)
     rows = []
     for i in range(4000):
-        key = "hot" if rng.random() < 0.5 else f"k{rng.randint(0, 9)}"
+        key = "hot" if rng.random() < 0.5 else None if rng.random() < 0.2 else f"k{rng.randint(0, 9)}"
         t = rng.randint(0, 20000) if rng.random() < 0.9 else rng.randint(0, 20000) * 50
         rows.append((key, t, i))
     df = spark.createDataFrame(rows, "key string, t_ms long, request_id long")
     got = {r.request_id: r.admitted for r in token_bucket(df, tokens_per_period=q, period_ms=unit,
-                                                          burst=burst, cost=cost).collect()}
-    assert got == _bucket_reference(rows, q, unit, burst, cost)
+                                                          burst=burst, cost=cost, cell_rows=cell_rows).collect()}
+    assert got == _bucket_reference([(k or "", t, i) for k, t, i in rows], q, unit, burst, cost)
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 3])
-def test_busy_global_key_has_no_task_with_all_rows(spark, monkeypatch, rounds):
-    """One key under load, overload and pauses: the closed form and what is left of it equal the fold."""
-    monkeypatch.setattr(ordered, "MIN_ROWS", 1)
-    monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
-    rng = random.Random(rounds)
+def _peaks(peak, trough, cycles, up, down):
+    """One key: ``peak`` requests ``up`` ms apart, then ``trough`` requests ``down`` ms apart, again and again."""
     rows, t = [], 0
-    for i in range(3000):
-        t += rng.choice([0, 1, 4, 30] if (i // 300) % 2 else [3, 6, 9, 200])
-        rows.append(("post:create", t, i))
+    for _ in range(cycles):
+        for n, gap in ((peak, up), (trough, down)):
+            for _ in range(n):
+                t += gap
+                rows.append(("post:create", t, len(rows)))
+    return rows
+
+
+@pytest.mark.parametrize("name,limit", [("load, overload, pauses", (50, 1000, 20, 1)), ("contiguous peaks", (1, 1000, 20, 1)),
+                                        ("never full", (1, 1000, 3, 1)), ("a cost that does not divide", (7, 30, 5, 3))])
+def test_no_task_folds_more_than_a_cell_of_a_busy_key(spark, monkeypatch, name, limit):
+    """One key in cells of about 100 rows: each pass folds cells only, and the answers equal the fold of the whole key."""
+    rng = random.Random(4)
+    if name == "contiguous peaks":  # 10/s, then 0.67/s against 1/s: no pause refills the bucket
+        rows = _peaks(400, 600, 3, 100, 1500)
+    elif name == "never full":
+        rows = _peaks(300, 300, 4, 250, 1001)
+    else:
+        rows, t = [], 0
+        for i in range(3000):
+            t += rng.choice([0, 1, 4, 30] if (i // 300) % 2 else [3, 6, 9, 200])
+            rows.append(("post:create", t, i))
+    q, unit, burst, cost = limit
     df = spark.createDataFrame(rows, "key string, t_ms long, request_id long")
-    got = {r.request_id: r.admitted for r in token_bucket(df, tokens_per_period=50, period_ms=1000, burst=20,
-                                                          cell_ms=1000, rounds=rounds).collect()}
-    expect = _bucket_reference(rows, 50, 1000, 20, 1)
-    assert got == expect and 0 < sum(expect.values()) < 3000
+    tables = {}
+
+    def keep(frame, kind, real=ratelimit.write_and_read):
+        tables[kind] = real(frame, kind)
+        return tables[kind]
+
+    monkeypatch.setattr(ratelimit, "write_and_read", keep)
+    out = token_bucket(df, tokens_per_period=q, period_ms=unit, burst=burst, cost=cost, cell_rows=100).collect()
+    got = {r.request_id: r.admitted for r in out}
+    expect = _bucket_reference(rows, q, unit, burst, cost)
+    assert got == expect and 0 < sum(expect.values()) < len(rows)
+    sizes = [r["count"] for r in tables["requests"].groupBy("_cell").count().collect()]
+    assert len(sizes) >= len(rows) / 200 and max(sizes) <= 300
+    assert tables["levels"].count() == len(sizes)
+
+
+def test_phase_maps_compose_as_the_single_steps_do():
+    rng = random.Random(3)
+    for cost in (1, 2, 10, 97):
+        for _ in range(60):
+            steps = [(rng.random() < 0.5, rng.randint(0, cost - 1)) for _ in range(rng.randint(0, 12))]
+            m = ratelimit.PhaseMap(cost)
+            for cut, x in steps:
+                (m.cut if cut else m.turn)(x)
+            starts, values, grows = zip(*m.settled())
+            for phase in range(cost):
+                expect = phase
+                for cut, x in steps:
+                    expect = min(expect, x) if cut else (expect + x) % cost
+                assert ratelimit.apply_phase(starts, values, grows, phase) == expect
 
 
 def test_token_bucket_burst_cap(spark):
