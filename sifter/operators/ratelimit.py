@@ -294,7 +294,8 @@ def replay(slim: DataFrame, limit: Limit, cell_rows: int = CELL_ROWS, state: Dat
         # in whole numbers that cannot run over: a gap that refills any bucket is as good as a longer one
         gap = F.least(F.col("_first") - F.col("_ts"), F.lit(limit.capacity))
         keys = keys.join(s, keys["_k"].eqNullSafe(s["_sk"]), "left").withColumn(
-            "_known", F.least(F.lit(limit.capacity), F.col("_tokens") + gap * limit.per_ms)).drop("_sk", "_tokens", "_ts")
+            "_known", F.when(F.col("_ts").isNotNull(), F.least(F.lit(limit.capacity), F.col("_tokens") + gap * limit.per_ms))) \
+            .drop("_sk", "_tokens", "_ts")
     else:
         keys = keys.withColumn("_known", F.lit(None).cast("long"))
     keys = write_and_read(keys.where("_from < _to OR _known IS NOT NULL"), "cut-keys")  # without state at most a key per border

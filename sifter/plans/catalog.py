@@ -667,6 +667,29 @@ def q_admission_global(spark, sf):
         .select("request_id", "admitted", "admitted_by_default")
 
 
+ADMISSION_FLUSHES = 3
+
+
+# =========================================================================== R1 (stream)
+@register("admission_stream", "WITH RECURSIVE " + ",".join([O.REQUESTS, _R1_SQL]) + """
+SELECT request_id, key, admitted FROM tb""")
+def q_admission_stream(spark, sf):
+    """The request log in time-ordered flushes; the stream stops after each and starts again from its checkpoint."""
+    from sifter.streaming.admission_stream import admission_stream
+
+    root = checkpoint_root(spark, "queries", f"admission_stream-{uuid.uuid4().hex}")
+    req = TD.requests(spark, sf).select("request_id", "key", "t_ms")
+    first, last = req.agg(F.min("t_ms"), F.max("t_ms")).first()
+    span = ((last or 0) - (first or 0)) // ADMISSION_FLUSHES + 1
+    flushes = req.withColumn("flush", F.floor((F.col("t_ms") - F.lit(first or 0)) / span))
+    for k in range(ADMISSION_FLUSHES):
+        flushes.where(F.col("flush") == k).drop("flush").write.mode("append").parquet(f"{root}/source")
+        admission_stream(spark, spark.readStream.schema(req.schema).parquet(f"{root}/source"), f"{root}/answers", f"{root}/state",
+                         checkpoint=f"{root}/checkpoint", tokens_per_period=R1_TOKENS_PER_PERIOD, period_ms=R1_PERIOD_MS,
+                         burst=R1_BURST).awaitTermination()
+    return spark.read.parquet(f"{root}/answers").select("request_id", "key", "admitted")
+
+
 # =========================================================================== R2
 @register("admission_summary", "WITH RECURSIVE " + ",".join([O.REQUESTS, _R1_SQL]) + f"""
 SELECT (t_ms // {DAY_MS}) * {DAY_MS} AS bucket_start_ms, count(*) AS offered, CAST(count_if(admitted) AS BIGINT) AS admitted,
