@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter import constants as K
-from sifter.operators.results import dedup_deliveries, unmoderated
+from sifter.operators.results import dedup_deliveries, skip_judged, unmoderated
 from sifter.operators.rules import (
     content_rules,
     prior_violations,
@@ -39,7 +39,8 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
              reputation_floor: int = K.REPUTATION_FLOOR, strategy: str = "auto",
              bucket_ms: int = 60_000, dedup: bool = True, keep_time: bool = False,
              materialize: bool = True, split_heavy: bool = True,
-             max_words: int | None = None, max_bytes: int | None = None) -> DataFrame:
+             max_words: int | None = None, max_bytes: int | None = None,
+             skip_first: bool = True) -> DataFrame:
     """Judge every task once.
 
     ``tasks``: post_id, user_id, title, content_snapshot, image_count,
@@ -59,6 +60,9 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     the scan goes chunk by chunk with the same verdicts.
     Building the frame runs jobs: the list is collected, the slim rows are
     written, and heavy authors are looked for.
+    ``skip_first``: drop judged posts where their tasks are read, by a filter of
+    the new ids, so a re-run over a judged history scans next to no text; the
+    exact check stays behind it.  A micro-batch, nearly all of it new, skips it.
     ``split_heavy``: sample for heavy authors and spread them over time cells.
     A bounded input (one micro-batch) can skip it; with ``materialize=False``
     the scan output is then read exactly once and nothing is written.
@@ -67,6 +71,8 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     pos_cols = ["partition", "offset"] if positions else []
     t = tasks.select("post_id", "user_id", "title", "content_snapshot", "image_count", "submitted_at", *pos_cols)
 
+    if prior_results is not None and skip_first:
+        t = skip_judged(t, prior_results)
     # Rules 1-3 and the scan first, map-only; from here on rows are slim, so
     # dedup (A1) and the done-work check (J2) shuffle ids, never post text.
     # A repeated delivery costs one more scan of its text instead.

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sifter import constants as K
 from sifter.operators.ratelimit import CELL_ROWS, Limit, replay
 from sifter.session import checkpoint_root
-from sifter.sources.sinks import read_batches, run_id, write_batch
+from sifter.sources.sinks import read_batch, run_id, write_batch
 from sifter.streaming.state import StateTable
 
 
@@ -46,11 +46,11 @@ def admit_batch(spark: SparkSession, requests: DataFrame, batch_id: int, out_pat
     out = replay(slim, Limit(tokens_per_period, period_ms, burst, cost), cell_rows, known if before["segments"] else None)
     write_batch(out.select(F.col("_id").alias("request_id"), F.col("_k").alias("key"), F.col("_t").alias("counted_ms"),
                            "admitted", "tokens_left"), out_path, batch_id)
-    stored = read_batches(spark, out_path, f"request_id {kinds['request_id']}, key {kinds['key']}, counted_ms bigint, admitted boolean, tokens_left bigint") \
-        .where((F.col("run") == run) & (F.col("batch_id") == int(batch_id)))
+    stored = read_batch(spark, out_path, batch_id, f"request_id {kinds['request_id']}, key {kinds['key']}, counted_ms bigint, "
+                                                   "admitted boolean, tokens_left bigint")
     table.append(run, batch_id, stored.groupBy("key").agg(
         F.max_by(F.struct("tokens_left", "counted_ms"), F.struct("counted_ms", "request_id")).alias("_b")).select(
-        "key", F.col("_b.tokens_left").alias("tokens"), F.col("_b.counted_ms").alias("t_ms")))
+        "key", F.col("_b.tokens_left").alias("tokens"), F.col("_b.counted_ms").alias("t_ms")), stored.count())
 
 
 def admission_stream(spark: SparkSession, requests: DataFrame, out_path: str, state_path: str, *, checkpoint: str | None = None,

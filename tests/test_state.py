@@ -27,7 +27,7 @@ def contents(t, **options):
 
 def put(spark, t, run, batch, rows):
     t.begin(run, batch)
-    t.append(run, batch, spark.createDataFrame(rows, "k bigint, v string"))
+    t.append(run, batch, spark.createDataFrame(rows, "k bigint, v string"), len(rows))
 
 
 def test_a_thousand_batches_leave_few_segments():
@@ -44,7 +44,7 @@ def test_a_thousand_batches_leave_few_segments():
 
 
 def test_batches_merge_and_the_latest_row_wins(spark, scratch):
-    t, expect, rng = table(spark, scratch, fanout=3, file_rows=4), {}, random.Random(1)
+    t, expect, rng = table(spark, scratch, fanout=3, file_rows=4, filter_rows=8), {}, random.Random(1)
     for batch in range(14):
         rows = {rng.choice([None, *range(12)]): f"b{batch}" for _ in range(5)}
         expect.update(rows)
@@ -97,7 +97,7 @@ def test_a_checkpoint_older_than_merged_state_is_refused(spark, scratch):
 
 
 def test_an_old_key_opens_only_files_that_may_hold_it(spark, scratch):
-    t = table(spark, scratch, fanout=100, file_rows=50)
+    t = table(spark, scratch, fanout=100, file_rows=50, filter_rows=0)
     for batch in range(6):  # even ids only, so that ranges alone would admit odd ones
         put(spark, t, "q", batch, [(2 * i, "x") for i in range(200 * batch, 200 * batch + 200)])
     every = sum(len(s["files"]) for s in t.manifest()["segments"])
