@@ -17,13 +17,15 @@ recursion (W1).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter import constants as K
 from sifter.functions.text import code_points, scan_text
 from sifter.operators.ordered import no_heavy_keys, running_agg
-from sifter.operators.scan import chunked_hits, first_match_col, first_of_hits, prepare_scan_text, word_list_or_table
+from sifter.operators.scan import first_match_col, first_of_hits, prepare_scan_text, probed_hits, word_list_or_table
 
 
 def content_reason(content: Column, image_count: Column, max_content: int = K.MAX_CONTENT_CHARS,
@@ -37,7 +39,8 @@ def content_reason(content: Column, image_count: Column, max_content: int = K.MA
 
 def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_CHARS,
                   max_images: int = K.MAX_IMAGES, strategy: str = "auto",
-                  max_words: int | None = None, max_bytes: int | None = None) -> DataFrame:
+                  max_words: int | None = None, max_bytes: int | None = None,
+                  keep: Sequence[str] | None = None) -> DataFrame:
     """Adds ``rule_reason`` (NULL when rules 1-3 pass) and ``matched_word`` (NULL when none).
 
     Only rows that pass the cheap rules reach the scan; the others hand the
@@ -45,10 +48,12 @@ def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_C
     The scan text is projected once before the scan: Catalyst does not share
     sub-expressions inside lambda functions, so inlining it would rebuild it
     for every word.  A list over the broadcast bound (``max_words``,
-    ``max_bytes``) is scanned in chunks, delivery by delivery, with the same
-    answers.
+    ``max_bytes``) is scanned in one pass too, delivery by delivery, with the same
+    answers; its rows are written once, so callers name the columns they need
+    (``keep``; all, if not given).
     """
     cols = list(tasks.columns)
+    kept = list(keep or cols)
     # Go zero values for NULLs (as the decoder gives them): "" text, 0 images.
     zeroed = {"title": F.coalesce(F.col("title"), F.lit("")),
               "content_snapshot": F.coalesce(F.col("content_snapshot"), F.lit("")),
@@ -59,15 +64,14 @@ def content_rules(tasks: DataFrame, words, *, max_content: int = K.MAX_CONTENT_C
     text = F.when(F.col("_pre").isNull(), scan_text("title", "content_snapshot"))
     wl = word_list_or_table(tasks.sparkSession, words, max_words, max_bytes)
     if isinstance(wl, DataFrame):
-        rows, hits = chunked_hits(staged.withColumn("_text", text), "_text", wl, strategy,
-                                  max_words=max_words, max_bytes=max_bytes)
+        rows, hits = probed_hits(staged.select(*kept, "_pre", text.alias("_text")), "_text", wl)
         judged = first_of_hits(rows, hits)
     else:
         staged = staged.select(*cols, "_pre", prepare_scan_text(text, wl, strategy).alias("_text"))
         hit = first_match_col(F.col("_text"), wl, strategy, prepared=True)
         judged = staged.select(*cols, "_pre", hit.alias("matched_word"))
     return judged.select(
-        *cols,
+        *kept,
         F.coalesce(F.col("_pre"), F.when(F.col("matched_word").isNotNull(),
                                          F.lit(K.REASON_SENSITIVE))).alias("rule_reason"),
         F.when(F.col("_pre").isNull(), F.col("matched_word")).alias("matched_word"),

@@ -11,20 +11,26 @@ answer:
                 batches; cost grows with the text only, best for long lists.
 
 ``strategy="auto"`` picks ``native`` up to ``NATIVE_MAX_WORDS`` words.
+
+A list over the broadcast bound has a third form (:func:`probed_hits`): one
+pass over the texts with a filter of bounded size, then a join of what may be
+words with the word table.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from sifter.functions import automaton as ac
+from sifter.functions import wordprobe
 from sifter.functions.text import all_matches, ascii_fold, contains_any, first_match, fold_for_scan
-from sifter.session import checkpoint_root, write_and_read
+from sifter.session import write_and_read
 from sifter.sources import tables
 from sifter.sources.tables import collect_block_list
 
@@ -43,7 +49,7 @@ def as_word_list(words: DataFrame | Sequence[str], max_words: int | None = None,
 
 def word_list_or_table(spark, words: DataFrame | Sequence[str], max_words: int | None = None,
                        max_bytes: int | None = None) -> list[str] | DataFrame:
-    """The list to ship, or the word table when it is over the bound (then the scan goes chunk by chunk)."""
+    """The list to ship, or the word table when it is over the bound (then texts are probed with a filter of it)."""
     try:
         return as_word_list(words, max_words, max_bytes)
     except tables.BlockListTooLarge:
@@ -102,8 +108,7 @@ def scan_texts(df: DataFrame, text_col: str, words, strategy: str = "auto", keep
     """S2+S3 over a table: keep columns, ``hit`` and ``matched_word`` (NULL when none), for a list of any size."""
     wl = word_list_or_table(df.sparkSession, words, max_words, max_bytes)
     if isinstance(wl, DataFrame):
-        rows, hits = chunked_hits(df.select(*keep, F.col(text_col).alias("_text")), "_text", wl, strategy,
-                                  max_words=max_words, max_bytes=max_bytes)
+        rows, hits = probed_hits(df.select(*keep, F.col(text_col).alias("_text")), "_text", wl)
         found = first_of_hits(rows, hits)
     else:
         staged = df.select(*keep, prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"))
@@ -120,8 +125,7 @@ def word_hits(df: DataFrame, id_col: str, text_col: str, words, strategy: str =
     """
     wl = word_list_or_table(df.sparkSession, words, max_words, max_bytes)
     if isinstance(wl, DataFrame):
-        rows, hits = chunked_hits(df.select(id_col, F.col(text_col).alias("_text")), "_text", wl, strategy, every=True,
-                                  max_words=max_words, max_bytes=max_bytes)
+        rows, hits = probed_hits(df.select(id_col, F.col(text_col).alias("_text")), "_text", wl)
         # one text's words: at most the words of the list that it has room for
         order = Window.partitionBy("_rk").orderBy("h")
         return (hits.withColumn("rank", F.row_number().over(order)).join(rows.select("_rk", id_col), "_rk")
@@ -142,66 +146,57 @@ def block_list_fits(words: DataFrame, max_words: int | None = None,
     return st["n"] <= max_words and st["b"] <= max_bytes, st["n"], st["b"]
 
 
-def word_chunks(words: DataFrame, max_words: int, max_bytes: int) -> tuple[DataFrame, int]:
-    """The words with a chunk number, and how many chunks: each fits the broadcast bound."""
-    _, n, b = block_list_fits(words, max_words, max_bytes)
-    chunks = max(math.ceil(n / max_words), math.ceil(b / max_bytes))
-    while True:  # hash buckets are uneven: double the count until every chunk fits
-        tagged = words.select("word", F.pmod(F.xxhash64("word"), F.lit(chunks)).alias("_chunk"))
-        worst = tagged.groupBy("_chunk").agg(F.count(F.lit(1)).alias("n"),
-                                             F.sum(F.octet_length("word")).alias("b")) \
-            .agg(F.max("n").alias("n"), F.max("b").alias("b")).first()
-        if worst["n"] <= max_words and worst["b"] <= max_bytes:
-            return tagged, chunks
-        if chunks >= 4 * n:
-            raise ValueError("a single block-list word is larger than the broadcast byte bound")
-        chunks *= 2
-
-
-def chunked_hits(df: DataFrame, text_col: str, words: DataFrame, strategy: str = "auto", *, every: bool = False,
-                 max_words: int | None = None, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows, hits) for a block list over the broadcast bound.
-
-    ``rows`` is ``df`` with a row number ``_rk``, written once, so repeated
-    ids stay apart and each chunk pass reads two columns.  The word table is
-    written once with its chunk numbers; each chunk fits the bound, is
-    collected alone and scanned in its own pass.  ``hits`` has (_rk, h) with h
-    = (end, -length, word), the order in which words are reported: per chunk
-    the first one, or with ``every`` all of them.
+def list_probe(words: DataFrame) -> wordprobe.Probe:
+    """What the texts are probed with: built in tasks over the word table, at most 17 MB for any list."""
+    by_length = words.groupBy(F.char_length("word").alias("n")).agg(F.count(F.lit(1)).alias("words")).collect()  # a row per length
+    size = wordprobe.filter_words(sum(r["words"] for r in by_length))
+    rows = words.select("word").mapInArrow(lambda b: wordprobe.list_bits(b, size), "kind int, w long, bits long") \
+        .groupBy("kind", "w").agg(F.bit_or("bits").alias("bits")).toPandas()  # at most a row per 64 bits
+    arrays = [np.zeros(n, np.int64) for n in (size, wordprobe.GATE_WORDS)]
+    for kind, array in enumerate(arrays):
+        some = rows[rows["kind"] == kind]
+        array[some["w"].to_numpy()] = some["bits"].to_numpy()
+    return wordprobe.Probe(*(x.view(np.uint64) for x in arrays), [r["n"] for r in by_length])
+
+
+def probed_hits(df: DataFrame, text_col: str, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, hits) for a block list of any size, in one pass over the texts.
+
+    ``rows`` is ``df`` without its text and with a row number ``_rk``, so
+    repeated ids stay apart.  The pass finds candidates
+    (:mod:`sifter.functions.wordprobe`) and writes them with the rows; they are
+    then joined to the word table by the substring itself.  A substring that
+    very many texts have is a skewed key of a plain join, which adaptive
+    execution splits.  ``hits`` has (_rk, h) with h = (end, -length, word), the
+    order in which words are reported, at each word's first end.
     """
-    max_words = max_words or tables.MAX_BLOCK_WORDS
-    max_bytes = max_bytes or tables.MAX_BLOCK_BYTES
     spark = df.sparkSession
-    rows = write_and_read(df.withColumn("_rk", F.monotonically_increasing_id()), "scan-rows")
-    tagged, chunks = word_chunks(write_and_read(words.select("word"), "scan-words"), max_words, max_bytes)
-    tagged = write_and_read(tagged, "scan-chunks")
-    root = checkpoint_root(spark, "word-chunks", uuid.uuid4().hex)
-    wrote = False
-    for c in range(chunks):
-        wl = collect_block_list(tagged.where(F.col("_chunk") == c).select("word"), max_words, max_bytes)
-        if not wl:
-            continue
-        staged = rows.select("_rk", prepare_scan_text(F.col(text_col), wl, strategy).alias("_text"),
-                             F.col(text_col).alias("_raw"))
-        if every:
-            found = staged.select("_rk", "_raw", F.explode(
-                all_matches_col(F.col("_text"), wl, strategy, prepared=True)).alias("word"))
-        else:
-            found = staged.select("_rk", "_raw", first_match_col(F.col("_text"), wl, strategy, prepared=True)
-                                  .alias("word")).where(F.col("word").isNotNull())
-        end = F.instr(ascii_fold(F.col("_raw")), F.col("word")) + F.char_length("word") - 1
-        found.select("_rk", F.struct(end.alias("end"), (-F.char_length("word")).alias("neg_len"),
-                                     F.col("word").alias("word")).alias("h")) \
-            .write.mode("overwrite").parquet(f"{root}/chunk={c}")
-        wrote = True
-    schema = "_rk long, h struct<end:int,neg_len:int,word:string>"
-    hits = spark.read.schema(schema + ", chunk int").parquet(root).drop("chunk") if wrote \
-        else spark.createDataFrame([], schema)
-    return rows, hits
+    listed = write_and_read(words.select("word", F.substring("word", 1, wordprobe.LONG).alias("probe"),
+                                         F.char_length("word").alias("n")), "scan-words")
+    shared = spark.sparkContext.broadcast(vars(list_probe(listed)))
+    others = [c for c in df.columns if c != text_col]
+    number = "_rk"
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probe = wordprobe.Probe.__new__(wordprobe.Probe)
+        vars(probe).update(shared.value)
+        for batch in batches:
+            found = wordprobe.probe_column(probe, batch.column(len(others)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names)
+
+    plain = df.select(*others, F.col(text_col).alias("_text"))
+    names = [*others, "_found"]
+    found = StructType().add("at", IntegerType()).add("probe", StringType()).add("tail", StringType())
+    schema = StructType([*plain.drop("_text").schema.fields, StructField("_found", ArrayType(found))])
+    rows = write_and_read(plain.mapInArrow(find, schema).withColumn(number, F.monotonically_increasing_id()), "scan-rows")
+    cand = rows.select(number, F.explode("_found").alias("_c")).select(number, "_c.at", "_c.probe", "_c.tail")
+    hits = cand.join(listed, "probe").where((F.col("n") <= wordprobe.LONG) | F.startswith("tail", "word"))
+    h = F.struct((F.col("at") + F.col("n")).alias("end"), (-F.col("n")).alias("neg_len"), F.col("word").alias("word"))
+    return rows.drop("_found"), hits.groupBy(number, "word").agg(F.min(h).alias("h")).select(number, "h")
 
 
 def first_of_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """``rows`` with ``matched_word``: the earliest-ending (then longest) hit of each row over all chunks."""
+    """``rows`` with ``matched_word``: the earliest-ending (then longest) hit of each row."""
     best = hits.groupBy("_rk").agg(F.min("h").getField("word").alias("matched_word"))
     return rows.join(best, "_rk", "left")
 

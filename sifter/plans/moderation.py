@@ -57,7 +57,7 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     them more than once (heavy-author sample, then the windows); without this
     the scan would run again for each read.
     ``max_words``, ``max_bytes``: broadcast bound of the block list; beyond it
-    the scan goes chunk by chunk with the same verdicts.
+    the texts are probed with a filter of it, in one pass, with the same verdicts.
     Building the frame runs jobs: the list is collected, the slim rows are
     written, and heavy authors are looked for.
     ``skip_first``: drop judged posts where their tasks are read, by a filter of
@@ -77,7 +77,7 @@ def moderate(tasks: DataFrame, words, users: DataFrame, prior_results: DataFrame
     # dedup (A1) and the done-work check (J2) shuffle ids, never post text.
     # A repeated delivery costs one more scan of its text instead.
     judged = content_rules(t, words, max_content=max_content, max_images=max_images, strategy=strategy,
-                           max_words=max_words, max_bytes=max_bytes) \
+                           max_words=max_words, max_bytes=max_bytes, keep=["post_id", "user_id", "submitted_at", *pos_cols]) \
         .select("post_id", "user_id", "submitted_at", "rule_reason", "matched_word", *pos_cols)
     if positions:
         judged = dedup_deliveries(judged).drop(*pos_cols)

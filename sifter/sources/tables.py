@@ -17,7 +17,7 @@ from sifter.functions.text import ascii_fold
 # Bound for collecting the block list into one broadcast (see collect_block_list).
 # Every Python worker process builds its own automaton from it (an 8-core
 # executor holds 8), so the bound is set by per-process memory, not by the
-# broadcast itself; larger lists are scanned exactly in chunks of this size.
+# broadcast itself; larger lists are scanned exactly by operators.scan.probed_hits.
 MAX_BLOCK_WORDS = 500_000
 MAX_BLOCK_BYTES = 16 * 1024 * 1024
 
@@ -109,8 +109,8 @@ def collect_block_list(words: DataFrame, max_words: int | None = None,
     memory).  One job: at most ``max_words + 1`` rows ever reach the driver,
     so an oversize list is detected without collecting it.  A list over the
     bound raises :class:`BlockListTooLarge` instead of being truncated;
-    :func:`sifter.operators.scan.chunked_hits` scans such a list exactly, one
-    bounded chunk at a time.
+    :func:`sifter.operators.scan.probed_hits` scans such a list exactly, in one
+    pass over the texts.
     """
     max_words = max_words or MAX_BLOCK_WORDS
     rows = [r["word"] for r in words.select("word").limit(max_words + 1).collect()]
@@ -125,5 +125,5 @@ def check_block_list(rows: list[str], max_words: int | None = None, max_bytes: i
     if len(rows) > max_words or size > max_bytes:
         raise BlockListTooLarge(
             f"block list has over {max_words} words or {max_bytes} bytes: over the broadcast bound. "
-            "sifter.operators.scan.chunked_hits scans it exactly in bounded chunks.")
+            "sifter.operators.scan.probed_hits scans it exactly.")
     return rows

@@ -119,7 +119,7 @@ def test_repeated_delivery_is_judged_on_its_own_text(spark, bound):
     assert [(r.post_id, r.status) for r in got] == [(1, "approved")]
 
 
-def test_long_list_gives_the_same_hits_in_chunks(spark):
+def test_long_list_gives_the_same_hits(spark):
     rng = random.Random(4)
     words = ["he", "she", "his", "hers", "less", "worthless", "nce", "announce"]
     texts = ["".join(rng.choice("hersiwotlnacu ") for _ in range(rng.randint(0, 40))) for _ in range(200)]
@@ -142,8 +142,8 @@ def test_block_list_size_check(spark):
         collect_block_list(words, max_words=1)
 
 
-def test_oversize_block_list_is_scanned_in_chunks(spark, monkeypatch):
-    """A list over the broadcast bound gives the same verdicts through the chunked path."""
+def test_oversize_block_list_gives_the_same_verdicts(spark, monkeypatch):
+    """A list over the broadcast bound gives the same verdicts through the probe."""
     from conftest import SF_SMALL
     from sifter.plans import catalog
     from sifter.plans.moderation import moderate
