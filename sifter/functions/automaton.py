@@ -88,7 +88,7 @@ def _matcher(bc, key: str) -> Matcher:
 _SHARED: dict[tuple[str, str], object] = {}  # one broadcast per list and application
 
 
-def _broadcast(words: Sequence[str]):
+def share_words(words: Sequence[str]):
     """(broadcast of the list, content hash of the list); a list met before reuses its broadcast.
 
     Without a SparkContext (Spark Connect) the size-checked list travels in
@@ -109,7 +109,7 @@ def _broadcast(words: Sequence[str]):
 
 def automaton_first_match(text: Column, words: Sequence[str]) -> Column:
     """S3 as an Arrow-batched UDF; ``text`` is raw (folding happens in the worker)."""
-    bc, key = _broadcast(words)
+    bc, key = share_words(words)
 
     @F.pandas_udf("string")
     def first_match_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -122,7 +122,7 @@ def automaton_first_match(text: Column, words: Sequence[str]) -> Column:
 
 def automaton_all_matches(text: Column, words: Sequence[str]) -> Column:
     """S4 as an Arrow-batched UDF."""
-    bc, key = _broadcast(words)
+    bc, key = share_words(words)
 
     @F.pandas_udf("array<string>")
     def all_matches_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

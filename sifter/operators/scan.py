@@ -2,19 +2,21 @@
 
 The scan is map-only: every text is matched where it lies, against a block
 list that is collected once (size-checked) and shipped with the task.  No
-text is shuffled, joined or exploded.  Two physical forms give the same
+text is shuffled, joined or exploded.  Three physical forms give the same
 answer:
 
 * ``native``    literal word array + ``instr`` higher-order functions; all
                 JVM, best for short lists (cost grows with words x text);
-* ``automaton`` one Aho-Corasick automaton per Python worker over Arrow
-                batches; cost grows with the text only, best for long lists.
+* ``probe``     hashed substrings in numpy over Arrow batches
+                (:mod:`sifter.functions.wordprobe`), for long lists; cost grows
+                with the text and with the beginnings of words in it;
+* ``automaton`` a library's Aho-Corasick automaton per Python worker, when asked
+                for: faster where texts are full of words.
 
 ``strategy="auto"`` picks ``native`` up to ``NATIVE_MAX_WORDS`` words.
 
-A list over the broadcast bound has a third form (:func:`probed_hits`): one
-pass over the texts with a filter of bounded size, then a join of what may be
-words with the word table.
+A list over the broadcast bound (:func:`probed_hits`) is probed too, with a
+filter of bounded size, and what may be words is joined with the word table.
 """
 
 from __future__ import annotations
@@ -57,10 +59,10 @@ def word_list_or_table(spark, words: DataFrame | Sequence[str], max_words: int |
 
 
 def pick_strategy(words: Sequence[str], strategy: str = "auto") -> str:
-    if strategy not in ("auto", "native", "automaton"):
+    if strategy not in ("auto", "native", "probe", "automaton"):
         raise ValueError(f"unknown scan strategy {strategy!r}")
     if strategy == "auto":
-        return "native" if len(words) <= NATIVE_MAX_WORDS else "automaton"
+        return "native" if len(words) <= NATIVE_MAX_WORDS else "probe"
     return strategy
 
 
@@ -82,7 +84,13 @@ def first_match_col(text: Column, words: Sequence[str], strategy: str = "auto",
         return F.lit(None).cast("string")
     if pick_strategy(words, strategy) == "native":
         return first_match(text if prepared else ascii_fold(text), words)
-    return ac.automaton_first_match(text, words)
+    return _shipped_match(text, words, strategy, every=False)
+
+
+def _shipped_match(text: Column, words: Sequence[str], strategy: str, every: bool) -> Column:
+    if pick_strategy(words, strategy) == "automaton":
+        return ac.automaton_all_matches(text, words) if every else ac.automaton_first_match(text, words)
+    return wordprobe.match_words(text, *ac.share_words(words), every)
 
 
 def all_matches_col(text: Column, words: Sequence[str], strategy: str = "auto", prepared: bool = False) -> Column:
@@ -91,7 +99,7 @@ def all_matches_col(text: Column, words: Sequence[str], strategy: str = "auto",
         return F.array().cast("array<string>")
     if pick_strategy(words, strategy) == "native":
         return all_matches(text if prepared else ascii_fold(text), words)
-    return ac.automaton_all_matches(text, words)
+    return _shipped_match(text, words, strategy, every=True)
 
 
 def contains_any_col(text: Column, words: Sequence[str], strategy: str = "auto", prepared: bool = False) -> Column:
@@ -100,7 +108,7 @@ def contains_any_col(text: Column, words: Sequence[str], strategy: str = "auto",
         return F.lit(False)
     if pick_strategy(words, strategy) == "native":
         return contains_any(text if prepared else ascii_fold(text), words)
-    return ac.automaton_first_match(text, words).isNotNull()
+    return _shipped_match(text, words, strategy, every=False).isNotNull()
 
 
 def scan_texts(df: DataFrame, text_col: str, words, strategy: str = "auto", keep: Sequence[str] = (),
@@ -147,11 +155,11 @@ def block_list_fits(words: DataFrame, max_words: int | None = None,
 
 
 def list_probe(words: DataFrame) -> wordprobe.Probe:
-    """What the texts are probed with: built in tasks over the word table, at most 17 MB for any list."""
+    """What the texts are probed with: built in tasks over the word table, at most 20 MB for any list."""
     by_length = words.groupBy(F.char_length("word").alias("n")).agg(F.count(F.lit(1)).alias("words")).collect()  # a row per length
     size = wordprobe.filter_words(sum(r["words"] for r in by_length))
     rows = words.select("word").mapInArrow(lambda b: wordprobe.list_bits(b, size), "kind int, w long, bits long") \
-        .groupBy("kind", "w").agg(F.bit_or("bits").alias("bits")).toPandas()  # at most a row per 64 bits
+        .groupBy("kind", "w").agg(F.bit_or("bits").alias("bits")).toPandas()  # at most a row per entry of either
     arrays = [np.zeros(n, np.int64) for n in (size, wordprobe.GATE_WORDS)]
     for kind, array in enumerate(arrays):
         some = rows[rows["kind"] == kind]

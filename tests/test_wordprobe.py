@@ -22,9 +22,15 @@ def brute(texts, words):
 
 
 def hits(spark, texts, words):
+    """By the join with the word table; the list shipped whole gives the same."""
     df = spark.createDataFrame(texts, "id long, text string").repartition(3)
-    got = scan.word_hits(df, "id", "text", block_list_from_values(spark, words), max_words=1)
-    return sorted((r.id, r.word, r["rank"]) for r in got.collect())
+    listed = block_list_from_values(spark, words)
+    got, local = (sorted((r.id, r.word, r["rank"]) for r in scan.word_hits(df, "id", "text", listed, **o).collect())
+                  for o in ({"max_words": 1}, {"strategy": "probe"}))
+    assert got == local
+    firsts = {r.id: r.matched_word for r in scan.scan_texts(df, "text", listed, "probe", keep=["id"]).collect()}
+    assert firsts == {**{i: None for i, _ in texts}, **{i: w for i, w, rank in got if rank == 1}}
+    return got
 
 
 def random_words(rng, n, longest):
