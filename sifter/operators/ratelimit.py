@@ -280,11 +280,14 @@ def replay(slim: DataFrame, limit: Limit, cell_rows: int = CELL_ROWS, state: Dat
     """
     ship_by_value(__name__)
     spark = slim.sparkSession
+    kinds = dict(slim.dtypes)
+    # keys travel as text and helper rows have no NULLs: whole numbers stay whole on their way through pandas
+    slim = slim.withColumn("_k", F.col("_k").cast("string"))
+    key, rid = "_k string", f"_id {kinds['_id']}"
     if state is not None:
+        state = state.withColumn("_k", F.col("_k").cast("string"))
         s = state.select(F.col("_k").alias("_sk"), "_ts")
         slim = slim.join(s, slim["_k"].eqNullSafe(s["_sk"]), "left").select("_k", F.greatest("_t", "_ts").alias("_t"), "_id")
-    kinds = dict(slim.dtypes)
-    key, rid = f"_k {kinds['_k']}", f"_id {kinds['_id']}"
     cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-slim.count() // cell_rows))
     # (key, time, id) is a row of its own, so no key is too busy to be cut
     dealt = write_and_read(slim.repartitionByRange(cells, "_k", "_t", "_id").withColumn("_cell", F.spark_partition_id()), "requests")
@@ -314,7 +317,7 @@ def replay(slim: DataFrame, limit: Limit, cell_rows: int = CELL_ROWS, state: Dat
             _levels(limit), f"{key}, _cell int, _first long, _last long, _shift long, _low long, _high long")
         maps = maps.join(cut, maps["_k"].eqNullSafe(cut["_ck"])).drop("_ck")
         levels = write_and_read(by_key(maps).mapInPandas(_entry_levels(limit), f"{key}, _cell int, _level long"), "levels")
-        marked = levels.select("_k", F.lit(None).cast("long").alias("_t"), F.lit(None).cast(kinds["_id"]).alias("_id"), "_cell",
+        marked = levels.select("_k", F.lit(0).cast("long").alias("_t"), F.lit(0).cast(kinds["_id"]).alias("_id"), "_cell",
                                F.lit(0).alias("_kind"), F.col("_level").alias("_entry"))
         rows = marked.unionByName(wide.select("*", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_entry")))
         phases = by_cell(rows, "_kind", "_t", "_id").mapInPandas(
@@ -322,10 +325,11 @@ def replay(slim: DataFrame, limit: Limit, cell_rows: int = CELL_ROWS, state: Dat
         p = phases.select(F.col("_k").alias("_pk"), F.col("_cell").alias("_pc"), "_starts", "_values", "_grows")
         both = levels.join(p, levels["_k"].eqNullSafe(p["_pk"]) & (levels["_cell"] == p["_pc"])).drop("_pk", "_pc")
         entries = entries.unionByName(by_key(both).mapInPandas(_entry_tokens(limit), f"{key}, _cell int, _entry long"))
-    marked = entries.select("_k", F.lit(0).cast("long").alias("_t"), F.lit(None).cast(kinds["_id"]).alias("_id"), "_cell",
+    marked = entries.select("_k", F.lit(0).cast("long").alias("_t"), F.lit(0).cast(kinds["_id"]).alias("_id"), "_cell",
                             F.lit(0).alias("_kind"), "_entry")
     rows = marked.unionByName(dealt.select("_k", "_t", "_id", "_cell", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_entry")))
-    return by_cell(rows, "_kind", "_t", "_id").mapInPandas(_replay(limit), f"{key}, _t long, {rid}, admitted boolean, tokens_left long")
+    out = by_cell(rows, "_kind", "_t", "_id").mapInPandas(_replay(limit), f"{key}, _t long, {rid}, admitted boolean, tokens_left long")
+    return out.withColumn("_k", F.col("_k").cast(kinds["_k"]))
 
 
 def token_bucket(requests: DataFrame, *, key: str = "key", time_col: str = "t_ms", id_col: str = "request_id",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sifter import constants as K
+from sifter.operators import intervals
 from sifter.session import write_and_read
 
 
@@ -198,19 +199,13 @@ def throughput(results: DataFrame, bucket_ms: int = 60_000, time_col: str = "rev
 
 
 # --------------------------------------------------------------------------- J5
-def degraded_during(results: DataFrame, outages: DataFrame, interval_ms: int = 60_000,
-                    time_col: str = "reviewed_ms") -> DataFrame:
-    """Degraded verdicts that fall inside an outage window [start, end).
-
-    The join is on the cell of a time grid as wide as the windows
-    (``interval_ms``): a tumbling window is one cell, so a verdict meets its
-    own window only; other windows are spread over the cells they touch.  The
-    exact bounds are checked after the equi-join.
+def degraded_during(results: DataFrame, outages: DataFrame, time_col: str = "reviewed_ms",
+                    part_rows: int = intervals.PART_ROWS) -> DataFrame:
+    """Degraded verdicts that fall inside an outage window [start, end), windows of any length and overlap.
+
+    A sweep over range-dealt verdicts (:mod:`sifter.operators.intervals`).
     """
-    cells = F.sequence(F.floor(F.col("window_start_ms") / interval_ms),
-                       F.floor((F.col("window_end_ms") - 1) / interval_ms))
-    o = outages.select("window_start_ms", "window_end_ms", F.explode(cells).alias("_cell"))
-    r = results.where(F.col("degraded")).select("post_id", F.col(time_col).alias("_t"),
-                                                F.floor(F.col(time_col) / interval_ms).alias("_cell"))
-    j = r.join(o, "_cell").where((F.col("_t") >= F.col("window_start_ms")) & (F.col("_t") < F.col("window_end_ms")))
-    return j.select("post_id", "window_start_ms", "window_end_ms")
+    points = results.where(F.col("degraded")).select(F.col("post_id").alias("_id"), F.col(time_col).alias("_t"))
+    windows = outages.select(F.col("window_start_ms").alias("_start"), F.col("window_end_ms").alias("_end"))
+    return intervals.points_in_intervals(points, windows, part_rows).select(
+        F.col("_id").alias("post_id"), F.col("_start").alias("window_start_ms"), F.col("_end").alias("window_end_ms"))

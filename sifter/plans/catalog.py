@@ -445,7 +445,32 @@ FROM results r JOIN outages o ON r.reviewed_ms >= o.window_start_ms AND r.review
 WHERE r.degraded"""))
 def q_degraded_in_outage(spark, sf):
     outages = reports.outage_windows(TD.lookups(spark, sf), interval_ms=HOUR_MS)
-    return reports.degraded_during(_results(spark, sf), outages, interval_ms=HOUR_MS)
+    return reports.degraded_during(_results(spark, sf), outages)
+
+
+# =========================================================================== J5 with long windows that overlap
+_LONG_WINDOWS = f"""
+long_windows AS (
+  SELECT DISTINCT o_custkey % 40 * {HOUR_MS} // 2 + {TD.EPOCH_MS} AS window_start_ms,
+         o_custkey % 40 * {HOUR_MS} // 2 + {TD.EPOCH_MS} + (1 + o_orderkey % 50) * {HOUR_MS} AS window_end_ms
+  FROM orders
+)"""
+
+
+@register("verdicts_in_long_windows", W(RS + [_LONG_WINDOWS], """
+SELECT w.window_start_ms, w.window_end_ms, count(*) AS verdicts, min(r.post_id) AS first_post, max(r.post_id) AS last_post
+FROM results r JOIN long_windows w ON r.reviewed_ms >= w.window_start_ms AND r.reviewed_ms < w.window_end_ms
+GROUP BY ALL"""))
+def q_verdicts_in_long_windows(spark, sf):
+    """All verdicts in windows of one to fifty hours, drawn from the orders: most verdicts are in many of them."""
+    from sifter.operators.intervals import points_in_intervals
+
+    o = TD.table(spark, sf, "orders")
+    start = F.floor(F.col("o_custkey") % 40 * HOUR_MS / 2) + F.lit(TD.EPOCH_MS)
+    windows = o.select(start.alias("_start"), (start + (1 + F.col("o_orderkey") % 50) * HOUR_MS).alias("_end")).distinct()
+    points = _results(spark, sf).select(F.col("post_id").alias("_id"), F.col("reviewed_ms").alias("_t"))
+    return points_in_intervals(points, windows).groupBy(F.col("_start").alias("window_start_ms"), F.col("_end").alias("window_end_ms")).agg(
+        F.count(F.lit(1)).alias("verdicts"), F.min("_id").alias("first_post"), F.max("_id").alias("last_post"))
 
 
 # =========================================================================== A1

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sifter.operators import reports
+from sifter.operators import intervals, reports
 from sifter.operators import results as res
 from sifter.operators import ordered
 from sifter.operators.ordered import heavy_keys, running_agg
@@ -220,10 +220,55 @@ def test_degraded_during_range_join(spark):
     res_df = spark.createDataFrame([(1, 5_000, True), (2, 7_000, True), (3, 7_000, False), (4, 20_000, True)],
                                    "post_id int, reviewed_ms long, degraded boolean")
     outages = spark.createDataFrame([(4_000, 9_000), (19_000, 20_000)], "window_start_ms long, window_end_ms long")
-    got = sorted(r.post_id for r in reports.degraded_during(res_df, outages, interval_ms=1_000).collect())
+    got = sorted(r.post_id for r in reports.degraded_during(res_df, outages).collect())
     assert got == [1, 2]
 
 
+@pytest.mark.parametrize("part_rows", [5, 10**6])
+def test_points_in_intervals_of_any_length_and_overlap(spark, part_rows):
+    rng = random.Random(part_rows)
+    big = 2 ** 60
+    points = [(big + i, rng.choice([None, 500, 500, rng.randint(0, 1000)])) for i in range(300)]
+    windows = [(a, a + rng.choice([0, 1, 5, 100, 10**7, -3])) for a in (rng.randint(-100, 1100) for _ in range(60))]
+    windows += [(-10**12, 10**12), (500, 501), (500, 501), (None, 5), (5, None)]
+    got = intervals.points_in_intervals(spark.createDataFrame(points, "_id long, _t long"),
+                                        spark.createDataFrame(windows, "_start long, _end long"), part_rows).collect()
+    expect = [(i, t, a, b) for i, t in points for a, b in windows if t is not None and a is not None and b is not None and a <= t < b]
+    assert sorted(tuple(r) for r in got) == sorted(expect)
+
+
+def test_a_year_long_window_is_a_row_per_part_and_a_hot_hour_many_parts(spark, monkeypatch):
+    tables = {}
+
+    def keep(frame, kind, real=intervals.write_and_read):
+        tables[kind] = real(frame, kind)
+        return tables[kind]
+
+    monkeypatch.setattr(intervals, "write_and_read", keep)
+    points = spark.range(4000).select(F.col("id").alias("_id"), F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("_t"))
+    year = spark.createDataFrame([(0, 365 * 86_400_000)], "_start long, _end long")
+    out = intervals.points_in_intervals(points, year, part_rows=100)
+    assert out.count() == 4000
+    sizes = [r["count"] for r in tables["points"].groupBy("_part").count().collect()]
+    assert len(sizes) >= 30 and max(sizes) <= 300
+
+
+def test_no_points_and_no_intervals(spark):
+    none = spark.createDataFrame([], "_id long, _t long")
+    some = spark.createDataFrame([(1, 5)], "_id long, _t long")
+    assert intervals.points_in_intervals(none, some.toDF("_start", "_end")).count() == 0
+    assert intervals.points_in_intervals(some, spark.createDataFrame([], "_start long, _end long")).count() == 0
+
+
+def test_large_keys_and_ids_stay_whole_beside_null_keys(spark):
+    big = 2 ** 62 + 1
+    rows = [(big + i % 2 if i % 3 else None, i // 4, big + i) for i in range(400)]
+    df = spark.createDataFrame(rows, "key long, t_ms long, request_id long")
+    out = token_bucket(df, tokens_per_period=1, period_ms=10, burst=3, cell_rows=40).collect()
+    assert {r.request_id: r.admitted for r in out} == _bucket_reference([(k or 0, t, i) for k, t, i in rows], 1, 10, 3, 1)
+    assert {r.key for r in out} == {big, big + 1, None}
+
+
 def test_latency_per_post(spark):
     tasks = spark.createDataFrame([(1, 1000), (2, 2000), (3, 3000)], "post_id long, ms long") \
         .withColumn("submitted_at", F.timestamp_millis("ms"))
