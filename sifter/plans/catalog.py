@@ -548,6 +548,35 @@ def q_status_lookup(spark, sf):
     return res.status_lookup(_post_status(spark, sf), ids)
 
 
+# =========================================================================== T1, T2 over a table by post id
+def _status_table(spark, sf, name: str):
+    """All posts as created, then the statuses that results set, as two batches of a table by post id."""
+    from sifter.streaming.status_table import put_statuses, status_table
+
+    table = status_table(spark, checkpoint_root(spark, "queries", f"{name}-{uuid.uuid4().hex}"))
+    put_statuses(table, TD.posts(spark, sf).select("post_id", "review_status"), "created", 0)
+    put_statuses(table, _results(spark, sf).select("post_id", F.col("status").alias("review_status")), "applied", 0)
+    return table
+
+
+@register("approved_feed_by_id", W(RS + [_POST_STATUS], f"""
+SELECT post_id FROM post_status WHERE review_status = 'approved' ORDER BY post_id DESC LIMIT {FEED_LIMIT}"""))
+def q_approved_feed_by_id(spark, sf):
+    from sifter.streaming.status_table import newest_approved
+
+    return newest_approved(_status_table(spark, sf, "approved_feed"), FEED_LIMIT).select("post_id")
+
+
+@register("status_lookup_by_id", W(RS + [_POST_STATUS], """
+SELECT l.doc_id * 2 AS post_id, s.post_id IS NOT NULL AS found, s.review_status
+FROM labels l LEFT JOIN post_status s ON s.post_id = l.doc_id * 2"""))
+def q_status_lookup_by_id(spark, sf):
+    from sifter.streaming.status_table import lookup
+
+    ids = TD.table(spark, sf, "labels").select((F.col("doc_id") * 2).alias("post_id"))
+    return lookup(_status_table(spark, sf, "status_lookup"), ids)
+
+
 # =========================================================================== A5
 @register("load_report", W([O.REQUESTS], """
 SELECT count(*) AS total, CAST(count_if(http_status = 202) AS BIGINT) AS accepted,
