@@ -8,15 +8,20 @@ single task receives the raw rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from sifter import constants as K
 from sifter.operators import intervals
 from sifter.session import write_and_read
 
+SKETCH_ACCURACY = 10_000  # a sketch's rank error is at most one part in this many
+SKETCH_MARGIN = 3 / SKETCH_ACCURACY  # on both sides of a wanted rank
+
 
 # --------------------------------------------------------------------------- A5
 def load_report(requests: DataFrame) -> DataFrame:
@@ -46,41 +51,81 @@ def rank_percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[
                      max_alias: str | None = None) -> DataFrame:
     """For each p, the element at 0-based rank ``min(int(p * n), n - 1)`` of the sorted values.
 
-    Exact (not ``percentile_approx``; not ``percentile_disc``, which rounds
-    differently).  Rows are first reduced to (value, multiplicity) with a
-    partial aggregate, and those are range-dealt into bands of about equal
-    depth, whatever the values' spread.  The few band totals tell which bands
-    hold a wanted rank; only those are sorted.  NULL ``by`` values are a group.
+    Exact (not ``percentile_disc``, which rounds differently).  A mergeable
+    sketch per group gives, for each p, two values that enclose the wanted
+    rank; its rank error is at most n / SKETCH_ACCURACY.  A second pass counts:
+    values between such a pair are kept, all others only add to the count of
+    the pair below them.  So what is shuffled is the sketches and some
+    thousandths of the values.  Whether each wanted rank fell on a kept value is
+    checked; where one did not, all distinct values are ranked, as they are
+    for a column that is no number.  NULL ``by`` values are a group.
     """
     by = list(by)
+    rows = df.where(F.col(col).isNotNull()).select(*by, col)
+    wanted = [(_pname(p), float(p)) for p in ps] + ([(max_alias, 1.0)] if max_alias else [])
+    if wanted and isinstance(rows.schema[col].dataType, NumericType):
+        found = _ranked(_near_ranks(rows, col, [p for _, p in wanted], by), col, wanted, by)
+        found = write_and_read(found, "rank-values")
+        missed = functools.reduce(Column.__or__, [F.col(name).isNull() for name, _ in wanted])
+        if found.where(missed).isEmpty():
+            return found
+    counts = rows.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
+    return _ranked(counts.withColumn("_kept", F.col("_c")), col, wanted, by)
+
+
+def _near_ranks(rows: DataFrame, col: str, ps: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by, value, _c, _kept): counts of the values near the ranks ``ps``; rows elsewhere count for the next kept value
+    below (NULL: none), in ``_c`` only."""
     v = F.col(col)
-    counts = df.where(v.isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
+    pairs = [(max(p - SKETCH_MARGIN, 0.0), min(p + SKETCH_MARGIN, 1.0)) if p < 1 else (1.0, 1.0) for p in ps]
+    sketch = rows.groupBy(*by).agg(
+        F.percentile_approx(v, [q for pair in pairs for q in pair], SKETCH_ACCURACY).alias("_at"))
+    if by:
+        sketch = write_and_read(sketch.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_at"), "rank-sketches")
+        same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+        rows = rows.join(sketch, same)
+        at = [F.col("_at")[i] for i in range(2 * len(pairs))]
+    else:  # two values for each p
+        values = sketch.first()["_at"] or [None] * 2 * len(pairs)
+        at = [F.lit(x).cast(rows.schema[col].dataType) for x in values]
+    kept = functools.reduce(Column.__or__, [(v >= low) & (v <= high) for low, high in zip(at[::2], at[1::2])])
+    below = F.array_max(F.array(*[F.when(v > high, high) for high in at[1::2]]))
+    return rows.groupBy(*by, F.when(kept, v).otherwise(below).alias(col)) \
+        .agg(F.count(F.lit(1)).alias("_c"), F.count_if(kept).alias("_kept"))
+
+
+def _ranked(counts: DataFrame, col: str, wanted: Sequence[tuple[str, float]], by: Sequence[str]) -> DataFrame:
+    """The value at each wanted rank, NULL if it is none of the kept ones, from counts of values.
+
+    The counts are range-dealt into bands of about equal depth, whatever the
+    values' spread.  The few band totals tell which bands hold a wanted rank;
+    only those are sorted.
+    """
     counts = write_and_read(counts.repartitionByRange(*by, col).withColumn("_band", F.spark_partition_id()), "rank-bands")
     bands = counts.groupBy(*by, "_band").agg(F.sum("_c").alias("_bc"))
     earlier = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     bands = bands.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_band").alias("_b"), "_bc",
                          F.coalesce(F.sum("_bc").over(earlier), F.lit(0)).alias("_before"),
                          F.sum("_bc").over(Window.partitionBy(*by)).alias("_n"))
-    ranks = [F.least(F.floor(F.lit(p) * F.col("_n")), F.col("_n") - 1) for p in ps] + [F.col("_n") - 1]
-    wanted = F.lit(False)
-    for r in ranks:
-        wanted = wanted | ((r >= F.col("_before")) & (r < F.col("_before") + F.col("_bc")))
-    bands = bands.where(wanted)
+    ranks = [F.least(F.floor(F.lit(p) * F.col("_n")), F.col("_n") - 1) for _, p in wanted]
+    inside_band = functools.reduce(Column.__or__, [
+        (r >= F.col("_before")) & (r < F.col("_before") + F.col("_bc")) for r in ranks] or [F.col("_before") == 0])
+    bands = bands.where(inside_band)
     same = counts["_band"] == bands["_b"]
     for c in by:
         same = same & counts[c].eqNullSafe(bands[f"_by_{c}"])
     inside = Window.partitionBy(*by, "_band").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.join(bands, same).withColumn("_cum", F.col("_before") + F.sum("_c").over(inside))
-    aggs = [F.min(F.when(F.col("_cum") > r, v)).alias(_pname(p)) for p, r in zip(ps, ranks)]
-    if max_alias:
-        aggs.append(F.max(v).alias(max_alias))
-    return cum.groupBy(*by).agg(F.max("_n").alias("n"), *aggs)
+    cells = counts.join(bands, same).withColumn("_first", F.col("_before") + F.sum("_c").over(inside) - F.col("_c"))
+    return cells.groupBy(*by).agg(F.max("_n").alias("n"), *[
+        F.max(F.when((r >= F.col("_first")) & (r < F.col("_first") + F.col("_kept")), F.col(col))).alias(name)
+        for (name, _), r in zip(wanted, ranks)])
 
 
 # --------------------------------------------------------------------------- A7
 def moderation_latency(results: DataFrame, ps: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
     """Reviewed - submitted per post, summarised by exact rank percentiles and max."""
     lat = results.select((F.col("reviewed_ms") - F.col("submitted_ms")).alias("latency_ms"))
+    lat = write_and_read(lat, "latencies")  # read twice, and results may be dear to compute
     return rank_percentiles(lat, "latency_ms", ps, max_alias="max_latency_ms")
 
 

@@ -912,15 +912,19 @@ def q_latency_per_post(spark, sf):
     return reports.latency_per_post(TD.tasks(spark, sf), _results(spark, sf))
 
 
-def _run_append_stream(spark, name: str, frame: DataFrame, to_stream) -> DataFrame:
-    """Write ``frame`` as files, run ``to_stream`` over them (append mode, availableNow), read the sink back."""
+def _run_append_stream(spark, name: str, frames: DataFrame | list[DataFrame], to_stream) -> DataFrame:
+    """Write the frames as files, run ``to_stream`` over them (append mode, availableNow), read the sink back."""
+    frames = frames if isinstance(frames, list) else [frames]
     root = checkpoint_root(spark, "queries", f"{name}-{uuid.uuid4().hex}")
-    frame.write.parquet(f"{root}/source")
-    stream = spark.readStream.schema(frame.schema).parquet(f"{root}/source")
-    to_stream(stream).writeStream.format("parquet").option("path", f"{root}/sink") \
+    streams = []
+    for i, frame in enumerate(frames):
+        frame.write.parquet(f"{root}/source-{i}")
+        streams.append(spark.readStream.schema(frame.schema).parquet(f"{root}/source-{i}"))
+    out = to_stream(*streams)
+    out.writeStream.format("parquet").option("path", f"{root}/sink") \
         .option("checkpointLocation", f"{root}/checkpoint").outputMode("append") \
         .trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/sink")
+    return spark.read.schema(out.schema).parquet(f"{root}/sink")
 
 
 # =========================================================================== X5 (stream form)
@@ -949,3 +953,41 @@ def q_throughput_stream(spark, sf):
     r = _results(spark, sf).withColumn("reviewed_at", F.timestamp_millis("reviewed_ms"))
     return _run_append_stream(spark, "throughput_stream", r,
                               lambda s: throughput_stream(s, interval="10 minutes", delay="0 seconds"))
+
+
+# =========================================================================== A10, A7 (stream forms)
+def _posts_and_reviews(spark, sf) -> list[DataFrame]:
+    """Posts by submission time and stored results by review time, as the two streams."""
+    posts = TD.posts(spark, sf).select("post_id", "user_id", "review_status",
+                                       F.timestamp_millis("submitted_ms").alias("submitted_at"))
+    return [posts, _results(spark, sf).select("post_id", F.timestamp_millis("reviewed_ms").alias("reviewed_at"))]
+
+
+_CLOSED = "least((SELECT max(submitted_ms) FROM posts), (SELECT max(reviewed_ms) FROM results))"
+
+
+@register("stuck_pending_stream", W(RS, f"""
+SELECT post_id, user_id, submitted_ms FROM posts p
+WHERE review_status = 'pending' AND submitted_ms + {STUCK_AGE_MS} < {_CLOSED}
+  AND NOT EXISTS (SELECT 1 FROM results r WHERE r.post_id = p.post_id
+                  AND r.reviewed_ms BETWEEN p.submitted_ms AND p.submitted_ms + {STUCK_AGE_MS})"""))
+def q_stuck_pending_stream(spark, sf):
+    """Pending posts that the two streams (delay 0) closed without a result within the hour."""
+    from sifter.streaming.pending import stuck_pending_stream
+
+    return _run_append_stream(spark, "stuck_pending_stream", _posts_and_reviews(spark, sf),
+                              lambda p, r: stuck_pending_stream(p, r, age="1 hour", delay="0 seconds"))
+
+
+@register("latency_stream", W(RS, f"""
+SELECT bucket_start_ms, count(*) AS results, CAST(sum(ms) AS BIGINT) AS total_latency_ms,
+       quantile_disc(ms, 0.5) AS p50, quantile_disc(ms, 0.99) AS p99, max(ms) AS max_latency_ms
+FROM (SELECT reviewed_ms // {THROUGHPUT_BUCKET_MS} * {THROUGHPUT_BUCKET_MS} AS bucket_start_ms, reviewed_ms - submitted_ms AS ms FROM results)
+WHERE ms <= {STUCK_AGE_MS} AND bucket_start_ms + {THROUGHPUT_BUCKET_MS} <= {_CLOSED} - {STUCK_AGE_MS}
+GROUP BY bucket_start_ms"""))
+def q_latency_stream(spark, sf):
+    """Latency of results within the hour per ten minutes, for the windows that the two streams (delay 0) closed."""
+    from sifter.streaming.pending import latency_stream
+
+    return _run_append_stream(spark, "latency_stream", _posts_and_reviews(spark, sf),
+                              lambda p, r: latency_stream(p, r, interval="10 minutes", age="1 hour", delay="0 seconds"))

@@ -209,6 +209,36 @@ def test_rank_percentiles_keep_null_groups_and_spread_an_outlier(spark):
     assert max(r["count"] for r in counts.collect()) < 2000
 
 
+def test_rank_percentiles_shuffle_values_near_the_ranks_only(spark):
+    """Values far from a wanted rank are counted, not kept; the answers are those of a sort."""
+    from sifter.operators.reports import _near_ranks
+
+    df = spark.range(200_000).select((F.col("id") % 2).alias("g"), (F.xxhash64("id") % 10**9).cast("double").alias("v"))
+    kept = _near_ranks(df, "v", [0.5, 0.99], ["g"])
+    assert kept.count() < 2000 and kept.agg(F.sum("_c")).first()[0] == 200_000
+    got = {r.g: (r.n, r.p50, r.p99, r.m) for r in reports.rank_percentiles(df, "v", [0.5, 0.99], by=["g"], max_alias="m").collect()}
+    for g, rows in df.toPandas().groupby("g"):
+        xs = sorted(rows["v"])
+        assert got[g] == (len(xs), xs[int(0.5 * len(xs))], xs[int(0.99 * len(xs))], xs[-1])
+
+
+def test_rank_percentiles_when_the_sketch_misses(spark, monkeypatch):
+    """A rank outside its pair of values (here: pairs around other ranks) is seen, and all values are ranked."""
+    monkeypatch.setattr(reports, "SKETCH_MARGIN", -0.05)
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v"))
+    assert reports.rank_percentiles(df, "v", [0.5, 0.9], max_alias="m").first()[:] == (1000, 500, 900, 999)
+
+
+def test_rank_percentiles_of_wide_numbers_no_numbers_and_nothing(spark):
+    big = 2**62  # neighbours are one double
+    df = spark.range(101).select((F.lit(big) + F.col("id")).alias("v"), F.format_string("%04d", "id").alias("s"))
+    assert reports.rank_percentiles(df, "v", [0.5, 1.0]).first()[:] == (101, big + 50, big + 100)
+    assert reports.rank_percentiles(df, "s", [0.5], max_alias="m").first()[:] == (101, "0050", "0100")
+    empty = df.where("v < 0")
+    assert reports.rank_percentiles(empty, "v", [0.5], by=["s"]).count() == 0
+    assert reports.rank_percentiles(empty, "v", [0.5]).count() == reports.rank_percentiles(empty, "s", [0.5]).count()
+
+
 def test_outage_windows_strict_ratio(spark):
     rows = [(1, 10, True)] * 3 + [(1, 20, False)] * 2 + [(2, 60_010, True)] * 4 + [(2, 60_020, False)] * 1
     df = spark.createDataFrame(rows, "user_id int, t_ms long, failed boolean")
