@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sifter.functions.pyworker import ship_by_value
@@ -29,7 +29,7 @@ from sifter.llm.common import materialize
 K = 20
 SCALE = 64
 SHARD_ROWS = 8192
-TASK_SHARDS = 16  # shards' worth of vectors in a task, at least
+TASK_SHARDS = 16  # shards' worth of vectors in a cell, at most
 GROUP_ROWS = 512  # vectors around a sampled one, about
 GROUPS = 1024
 SAMPLE = 4096
@@ -151,30 +151,36 @@ def nearest(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.argmax(x.astype(np.float64) @ p.T - (p ** 2).sum(axis=1) / 2, axis=1)
 
 
-def _query_blocks(queries: DataFrame, dims: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """All queries (id, v, floor) in blocks of bounded size, read one after the other."""
-    rows, limit = [], max(1, QUERY_BLOCK_BYTES // (8 * max(dims, 1)))
+def deal_groups(sizes: dict[int, int], room: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Cells of about ``room`` vectors: each group's first cell, how many cells it fills, and the number of all cells.
 
-    def block() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        ids, v, floor = zip(*rows)
-        return np.array(ids, np.int64), _matrix(pa.array(v, pa.list_(pa.int64())), dims), np.array(floor, np.int64)
-
-    for r in queries.toLocalIterator():
-        rows.append((r["id"], r["v"], r["floor"]))
-        if len(rows) == limit:
-            yield block()
-            rows = []
-    if rows:
-        yield block()
+    Small groups that follow each other share a cell; a large one is split.
+    """
+    start, parts = np.zeros(max(sizes, default=0) + 1, np.int64), np.ones(max(sizes, default=0) + 1, np.int64)
+    cell, used = 0, 0
+    for group in sorted(sizes):
+        if used and used + sizes[group] > room:
+            cell, used = cell + 1, 0
+        start[group], parts[group] = cell, max(1, -(-sizes[group] // room))
+        if parts[group] > 1:
+            cell, used = cell + int(parts[group]), 0
+        else:
+            used += sizes[group]
+    return start, parts, cell + (1 if used else 0)
 
 
 def task_hits(vectors: DataFrame, queries: str, k: int, scale: int, id_col: str, vector_col: str) -> DataFrame:
-    """A row per query and task: its best there, the shards it met and those that a bound stopped."""
+    """A row per query and cell: its best there, the shards it met and those that a bound stopped.
+
+    Queries are numbered in blocks and vectors in cells by Spark; a task gets
+    one block and one cell, so the driver holds only their numbers.
+    """
     spark = vectors.sparkSession
     whole = materialize(whole_vectors(vectors, id_col, vector_col, scale), "vectors")
-    rows, dims = whole.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    rows, dims, asking = whole.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count_if(F.expr(queries))).first()
     dims = dims or 0
-    some = whole.orderBy(F.xxhash64("id", "v"), "id").limit(max(1, min(SAMPLE, QUERY_BLOCK_BYTES // (8 * max(dims, 1))))).collect()
+    room = max(1, QUERY_BLOCK_BYTES // (8 * max(dims, 1)))
+    some = whole.orderBy(F.xxhash64("id", "v"), "id").limit(min(SAMPLE, room)).collect()
     sample = np.array([r["id"] for r in some], np.int64), _matrix(pa.array([r["v"] for r in some], pa.list_(pa.int64())), dims)
     pivots = np.unique(sample[1][:max(1, min(GROUPS, rows // GROUP_ROWS))], axis=0)
     given = spark.sparkContext.broadcast((sample, pivots))
@@ -189,49 +195,40 @@ def task_hits(vectors: DataFrame, queries: str, k: int, scale: int, id_col: str,
             floor = floors(batch.column(0).to_numpy(), _matrix(batch.column(1), dims), *given.value[0], k)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floor)], ["id", "v", "floor"])
 
-    tasks = max(-(-rows // (SHARD_ROWS * TASK_SHARDS)), spark.sparkContext.defaultParallelism)
-    dealt = (whole.mapInArrow(group, "id long, v array<long>, near int").repartitionByRange(tasks, "near", "id")
-             .sortWithinPartitions("near", "id"))
-    asked = whole.filter(queries).dropDuplicates(["id", "v"]).mapInArrow(bound, "id long, v array<long>, floor long")
-    hits = None
-    for block in _query_blocks(asked, dims):
-        shared = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            query_ids, q, floor = shared.value
-            best = Best(len(q), k, floor)
-            held: list[pa.RecordBatch] = []
-            shards, stopped = 0, np.zeros(len(q), np.int64)
-
-            def shard() -> None:
-                nonlocal shards, stopped
-                ids = np.concatenate([b.column(0).to_numpy() for b in held])
-                x = np.concatenate([_matrix(b.column(1), dims) for b in held])
-                stopped += search_shard(ids, x, query_ids, q, best)
+    grouped = materialize(whole.mapInArrow(group, "id long, v array<long>, near int"), "vectors-grouped")
+    sizes = {r["near"]: r["n"] for r in grouped.groupBy("near").agg(F.count(F.lit(1)).alias("n")).collect()}  # GROUPS at most
+    start, parts, cells = deal_groups(sizes, min(SHARD_ROWS * TASK_SHARDS, -(-rows // (2 * spark.sparkContext.defaultParallelism))))
+    blocks = max(1, -(-asking // room))
+
+    def at(values: np.ndarray) -> Column:
+        return F.element_at(F.array(*[F.lit(int(x)) for x in values]), F.col("near") + 1)
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(max(n, 1) - 1)))
+
+    candidates = (grouped.withColumn("cell", (at(start) + F.pmod(F.monotonically_increasing_id(), at(parts))).cast("int"))
+                  .withColumn("block", every(blocks)))
+    asked = (grouped.filter(queries).select("id", "v").distinct().mapInArrow(bound, "id long, v array<long>, floor long")
+             .withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).withColumn("cell", every(cells)))
+
+    def search(vectors: pa.Table, asked: pa.Table) -> pa.Table:
+        def column(table: pa.Table, name: str) -> pa.Array:
+            return table.column(name).combine_chunks()
+
+        query_ids, q = column(asked, "id").to_numpy(), _matrix(column(asked, "v"), dims)
+        best, shards, stopped = Best(len(q), k, column(asked, "floor").to_numpy()), 0, np.zeros(len(q), np.int64)
+        ids, near, x = column(vectors, "id").to_numpy(), column(vectors, "near").to_numpy(), column(vectors, "v")
+        order = np.lexsort((ids, near))
+        cuts = [0, *(np.flatnonzero(np.diff(near[order])) + 1).tolist(), len(order)]
+        for a, b in zip(cuts[:-1], cuts[1:]) if len(q) else ():
+            for first in range(a, b, SHARD_ROWS):
+                mine = order[first:min(first + SHARD_ROWS, b)]
+                stopped += search_shard(ids[mine], _matrix(x.take(pa.array(mine)), dims), query_ids, q, best)
                 shards += 1
-                held.clear()
-
-            for batch in batches:
-                near = batch.column(2).to_numpy()
-                cuts = [0, *(np.flatnonzero(near[1:] != near[:-1]) + 1).tolist(), len(near)]
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    for first in range(a, b, SHARD_ROWS):
-                        piece = batch.slice(first, min(SHARD_ROWS, b - first))
-                        if held and (held[0].column(2)[0] != piece.column(2)[0]
-                                     or sum(p.num_rows for p in held) + piece.num_rows > SHARD_ROWS):
-                            shard()
-                        held.append(piece)
-            if held:
-                shard()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids), pa.array(best.id, pa.list_(pa.int64())), pa.array(best.score, pa.list_(pa.int64())),
-                 pa.array(np.full(len(q), shards)), pa.array(stopped)], ["query_id", "vec_id", "score", "shards", "stopped"])
-
-        found = dealt.mapInArrow(search, HIT_SCHEMA)
-        hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
-        hits = spark.createDataFrame([], HIT_SCHEMA)
-    return hits
+        return pa.table([pa.array(query_ids), pa.array(best.id, pa.list_(pa.int64())), pa.array(best.score, pa.list_(pa.int64())),
+                         pa.array(np.full(len(q), shards)), pa.array(stopped)], ["query_id", "vec_id", "score", "shards", "stopped"])
+
+    return candidates.groupBy("block", "cell").cogroup(asked.groupBy("block", "cell")).applyInArrow(search, HIT_SCHEMA)
 
 
 def top_k(vectors: DataFrame, queries: str = "id % 20 = 0", k: int = K, scale: int = SCALE, id_col: str = "vec_id",
@@ -244,9 +241,9 @@ def top_k(vectors: DataFrame, queries: str = "id % 20 = 0", k: int = K, scale: i
     candidates give them all; an empty table or one without queries gives no
     rows.
 
-    The queries are broadcast in blocks of at most 16 MB, and each block meets
-    all candidates that a bound does not rule out; a task gives at most ``k`` rows per query, and a ranking
-    window cuts them to ``k``.
+    The queries are dealt into blocks of about 16 MB, and each block meets all cells
+    of candidates that a bound does not rule out; a task gives at most ``k`` rows per
+    query, and a ranking window cuts them to ``k``.
     """
     hits = task_hits(vectors, queries, k, scale, id_col, vector_col)
     each = hits.select("query_id", F.explode(F.arrays_zip("vec_id", "score")).alias("h")).select("query_id", "h.vec_id", "h.score")

@@ -59,6 +59,21 @@ def test_bounds_stop_queries_of_the_whole_table(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_many_blocks_and_split_groups(spark, monkeypatch):
+    """Blocks of a few queries, cells of a few vectors and one vector that a third of the rows have."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK_BYTES", 8 * 6 * 4)
+    monkeypatch.setattr(topk, "SHARD_ROWS", 8)
+    rng = random.Random(8)
+    rows = [(i, [0.5] * 6 if i % 3 == 0 else [rng.gauss(0, 1) for _ in range(6)]) for i in range(400)] + [(60, [0.5] * 6)] * 100
+    check(spark, rows)
+
+
+def test_groups_share_cells_and_large_ones_are_split():
+    start, parts, cells = topk.deal_groups({0: 3, 1: 4, 3: 25, 4: 9, 5: 2}, 10)
+    assert (start[[0, 1, 3, 4, 5]].tolist(), parts[[0, 1, 3, 4, 5]].tolist(), cells) == ([0, 0, 1, 4, 5], [1, 1, 3, 1, 1], 6)
+    assert topk.deal_groups({}, 10)[2] == 0
+
+
 def test_a_floor_keeps_ties_and_short_tables():
     ids, x = np.arange(6), np.array([[5], [4], [4], [4], [1], [0]])
     floor = topk.floors(ids[:1], x[:1], ids, x, 2)
