@@ -79,6 +79,59 @@ def test_the_negative_part_of_the_risk_does_not_fall_below_zero():
     assert signal in keep and w[list(keep).index(signal)] + b > 0 > b
 
 
+def plain_nnpu(positive, unlabelled, keep, prior):
+    """The same descent on the risk as written down, over dense rows and with gradients by differences."""
+    x_p, x_u = (np.array([np.isin(keep, r) for r in rows], float) for rows in (positive, unlabelled))
+
+    def losses(theta):
+        f_p, f_u = x_p @ theta[:-1] + theta[-1], x_u @ theta[:-1] + theta[-1]
+        negative = np.mean(np.log1p(np.exp(f_u))) - prior * np.mean(np.log1p(np.exp(f_p)))
+        return prior * np.mean(np.log1p(np.exp(-f_p))), negative, tx.RIDGE / 2 * np.sum(theta[:-1] ** 2)
+
+    theta = np.append(np.zeros(len(keep)), np.log(prior / (1 - prior)))
+    m, v, below = np.zeros_like(theta), np.zeros_like(theta), 0
+    for step in range(1, tx.STEPS + 1):
+        back = losses(theta)[1] < 0  # then only its own part steps, the other way
+        below += back
+
+        def goal(t):
+            first, negative, ridge = losses(t)
+            return (-negative if back else first + negative) + ridge
+
+        grad = np.array([(goal(theta + e) - goal(theta - e)) / 2e-6 for e in np.eye(len(theta)) * 1e-6])
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
+        theta = theta - tx.RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    return theta[:-1], theta[-1], below
+
+
+def test_training_descends_the_risk_as_written_down(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(tx, "STEPS", 60)
+    for prior, share in ((0.05, 0.6), (0.4, 0.02)):
+        p = [rng.choice(12, 8, replace=False) for _ in range(60)]
+        u = [rng.choice(12, 4, replace=False) if rng.random() < share else 12 + rng.choice(40, 4, replace=False) for _ in range(300)]
+        keep, w, b = tx.train_nnpu(p, u, prior)
+        want_w, want_b, below = plain_nnpu(p, u, keep, prior)
+        assert len(keep) >= 10 and np.abs(w - want_w).max() < 1e-3 and abs(b - want_b) < 1e-3
+        assert 0 < below < tx.STEPS  # both kinds of step are taken
+
+
+def test_one_bag_is_the_classifier_of_all_its_rows(spark):
+    """Below the sample's bounds the trained weights and every score are those of plain training on all rows."""
+    docs, labels = corpus(300)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    learn = {i for i, _ in docs if zlib.crc32(str(i).encode()) % 5}
+    known = {i: y for i, y in labels if i in learn}
+    rows = {i: np.unique([f for w in t.replace(",", " ").split() for f in tx.word_features(w)]) for i, t in docs}
+    prior = (sum(known.values()) + 0.5) / (len(known) + 1.0)
+    keep, w, b = tx.train_nnpu([rows[i] for i, y in known.items() if y], [rows[i] for i in learn], prior)
+    weight = dict(zip(keep.tolist(), w))
+    for r in tx.classify(df, lab).collect():
+        f = b + sum(weight.get(x, 0.0) for x in rows[r.doc_id].tolist())
+        assert abs(r.score - 1 / (1 + np.exp(-f))) < 1e-6
+
+
 def test_rows_are_judged_by_their_own_text(spark):
     docs, labels = corpus(300)
     df = spark.createDataFrame(docs, "doc_id long, text string")
