@@ -106,3 +106,37 @@ def test_a_re_run_over_a_judged_history_scans_next_to_no_text(spark, monkeypatch
     assert scanned[0] == len(verdicts) and len(again) <= scanned[1] <= len(again) + 0.1 * len(verdicts)
     plan = moderation.skip_judged(tasks, stored)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Python" not in plan
+
+
+def test_a_candidate_is_listed_once_for_its_block_and_texts_have_numbers(spark):
+    """What many texts hold is neither written nor shuffled once a text."""
+    words = ["alpha", "beta", "gamma"]
+    probe = scan.list_probe(block_list_from_values(spark, words))
+    codes, places, listed = wordprobe.block_candidates(probe, ["Beta alpha beta", None, "alpha", "none"] * 200)
+    subs = [c["probe"] for c in listed[0].as_py()]
+    assert set(words[:2]) <= set(subs) and len(subs) == len(set(subs)) and listed.null_count == 799
+    assert [[subs[i] for i in x if subs[i] in words] for x in codes.to_pylist()[:4]] == [["beta", "alpha"], [], ["alpha"], []]
+    assert places.null_count == 800  # only words over LONG need them
+
+    texts = spark.createDataFrame([(i, "beta alpha gamma " * 3) for i in range(50)], "id long, text string")
+    got = scan.word_hits(texts, "id", "text", block_list_from_values(spark, words), max_words=2)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.word, r["rank"]) for r in got.where("id = 7").collect()) == [("alpha", 2), ("beta", 1), ("gamma", 3)]
+    # numbers to the blocks, and the blocks' words: no shuffle of a row per text and word, nor of the texts' ids beside it
+    assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_kept_columns_of_any_type_stay_as_they_are(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.range(20).selectExpr("id", "IF(id % 3 = 0, NULL, concat('has word', id % 5)) AS text", "timestamp_millis(id * 1000) AS t",
+                                        "timestamp_millis(id)::timestamp_ntz AS z", "array(struct(id, 'x' AS s)) AS a", "map('k', id) AS m",
+                                        "id::decimal(9,2) AS d", "date_add(date'2024-01-01', id::int) AS day")
+        words = block_list_from_values(spark, [f"word{i}" for i in range(4)])
+        keep = [c for c in df.columns if c != "text"]
+        got, local = (sorted(map(str, scan.scan_texts(df, "text", words, "probe", keep, max_words=n).collect())) for n in (2, None))
+        assert got == local and sum("hit=True" in x for x in got) == 10
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
